@@ -2,12 +2,12 @@
 
 Two rules of the data model meet here:
 
-* ``round(x, n)`` rounds ``x * 10^n`` half away from zero.  Spark's own ``round`` on a double goes
-  through its decimal text instead (1.005 -> 1.01, not 1.0), and allocates a BigDecimal per row.
+* ``round(x, n)`` rounds ``x * 10^n`` half away from zero.  Spark's own ``round`` to n digits looks at the
+  decimal text of ``x`` instead (1.005 -> 1.01, not 1.0).
 * Sums of doubles depend on the order in which partitions arrive and lose cents once a group holds
   billions of rows, while a reconciliation compares against a tolerance of one cent.  ``exact_sum``
-  keeps two long counters (whole units and millionths) next to a double remainder, so its result is
-  the same for every partitioning, and every step stays in generated code.
+  counts millionths in longs, so its result is the same for every partitioning, at about the cost of a
+  plain sum (a sum of decimals takes ten times as long).
 """
 
 from __future__ import annotations
@@ -15,41 +15,36 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MICRO = 1_000_000
-# Above this a double no longer resolves millionths; such rows go to the remainder as they are.
-EXACT_LIMIT = 1e9
+MICRO = 1e6
+# Two units in the last place: what storing and multiplying a decimal as a double can add.
+DOUBLE_NOISE = 4.5e-16
 
 
 def round_half_away(col: Column, digits: int) -> Column:
     """``round(col, digits)`` on the scaled double, ties away from zero."""
     scale = F.lit(float(10**digits))
-    scaled = col * scale
-    nearest = F.rint(scaled)
-    tie = F.abs(scaled - nearest) == 0.5
-    return F.when(tie, scaled + F.signum(scaled) * 0.5).otherwise(nearest) / scale
+    return F.round(col * scale) / scale
 
 
-def _exact_parts(col: Column) -> tuple[Column, Column, Column]:
-    outside = F.abs(col) >= EXACT_LIMIT  # NaN and infinities compare as larger, too
-    floor = F.floor(col)
-    millionths = F.rint((col - floor) * MICRO).cast("bigint")
-    whole = F.when(outside, F.lit(0).cast("bigint")).otherwise(floor)
-    micro = F.when(outside, F.lit(0).cast("bigint")).otherwise(millionths)
-    rest = F.when(outside, col).otherwise(col - (floor * MICRO + millionths) / F.lit(float(MICRO)))
-    return F.sum(whole), F.sum(micro), F.sum(rest)
-
-
-def exact_sum(col: Column, digits: int | None = None) -> Column:
+def exact_sum(col: Column, digits: int | None = None, divisor: Column | None = None) -> Column:
     """Order-independent ``sum(col)`` of a double, optionally ``round(sum(col), digits)``.
 
-    Values with up to six decimals are summed without any error; what is left of longer values is
-    summed apart as a double.  Rounding happens on the exact total, ties away from zero.  The result
-    is a double; null when the group has no value.
+    Values that stand for up to six decimals are summed without any error; what is left of longer
+    values (and NaN, infinities, amounts beyond nine trillion) is summed apart as a double.  The result is the
+    double nearest to the total, null when the group has no value.  ``divisor`` (an integer aggregate)
+    divides that total: shares with one common denominator are summed as numerators.
+
+    ``col`` is used several times, so compute it in a ``select`` before the grouping.
     """
-    whole, micro, rest = _exact_parts(col)
-    units = whole.cast("decimal(20,0)") + micro.cast("decimal(19,0)") * F.expr("0.000001BD")
-    if digits is None:
-        return units.cast("double") + rest
-    total = units + rest.try_cast("decimal(24,12)")
-    # A remainder beyond that decimal is NaN, infinite or too large to carry cents.
-    return F.coalesce(F.round(total, digits).cast("double"), F.round(units.cast("double") + rest, digits))
+    micro = F.coalesce(F.rint(col * MICRO).try_cast("bigint"), F.lit(0).cast("bigint"))
+    left = col - micro / MICRO
+    rest = F.sum(F.when(F.abs(left) <= F.abs(col) * DOUBLE_NOISE, 0.0).otherwise(left))
+    # Two halves of the long: neither sum can overflow.
+    high = F.sum(F.shiftright(micro, 32)).cast("decimal(20,0)")
+    low = F.sum(micro.bitwiseAND(0xFFFFFFFF)).cast("decimal(20,0)")
+    units = ((high * F.expr("4294967296BD") + low) * F.expr("0.000001BD")).cast("decimal(32,6)")
+    # A remainder that is no decimal is NaN, infinite or too large to carry cents.
+    total = F.coalesce((units + rest.try_cast("decimal(24,12)")).cast("double"), units.cast("double") + rest)
+    if divisor is not None:
+        total = total / divisor
+    return total if digits is None else round_half_away(total, digits)

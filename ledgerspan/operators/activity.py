@@ -46,13 +46,25 @@ def contract_windows(customers: DataFrame, as_of=None, start=None, end=None) ->
     return windows.where(F.col("window_start") <= F.col("window_end"))
 
 
-def contract_months(customers: DataFrame, as_of=None, start=None, end=None) -> DataFrame:
+def spread(contracts: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Contracts dealt evenly over ``tasks`` (default: twice the cores) before they are expanded.
+
+    A contract grows into a thousand rows, so a split that is comfortable to read is too large to expand, and
+    adaptive execution would even merge small inputs into one task.  Dealing round-robin
+    keeps a customer with very many contracts from gathering in one task.  0 leaves the partitions as they are.
+    """
+    if tasks is None:
+        tasks = 2 * contracts.sparkSession.sparkContext.defaultParallelism
+    return contracts.repartition(tasks) if tasks else contracts
+
+
+def contract_months(customers: DataFrame, as_of=None, start=None, end=None, tasks: int | None = None) -> DataFrame:
     """One row per customer and calendar month: the days active in it and the daily premium.
 
     The daily premium is constant within a month, so everything that depends on the month is computed here,
     about thirty times less often than per day.
     """
-    months = contract_windows(customers, as_of, start, end).withColumn(
+    months = spread(contract_windows(customers, as_of, start, end), tasks).withColumn(
         "month_start", F.explode(month_series(F.col("window_start"), F.col("window_end")))
     )
     month = F.col("month_start")
@@ -75,20 +87,30 @@ def expand_days(months: DataFrame) -> DataFrame:
     ).select(*MART_COLUMNS)
 
 
-def customer_activity_daily(customers: DataFrame, as_of=None, start=None, end=None) -> DataFrame:
-    """The mart: one row per customer and active day, both window ends included.  No shuffle."""
-    return expand_days(contract_months(customers, as_of, start, end))
+def customer_activity_daily(
+    customers: DataFrame, as_of=None, start=None, end=None, tasks: int | None = None
+) -> DataFrame:
+    """The mart: one row per customer and active day, both window ends included.
+
+    Only contracts are shuffled, to spread the work; days are expanded in place.
+    """
+    return expand_days(contract_months(customers, as_of, start, end, tasks))
 
 
-def activity_for_storage(customers: DataFrame, as_of=None, files_per_month: int = 1) -> DataFrame:
+def activity_for_storage(
+    customers: DataFrame, as_of=None, files_per_month: int = 1, tasks: int | None = None
+) -> DataFrame:
     """The mart laid out for a write partitioned by month.
 
     Rows are moved while they are still contract months, then expanded inside the writing tasks: the shuffle
-    carries a thirtieth of the mart.  Each month is spread over ``files_per_month`` tasks by user.
+    carries a thirtieth of the mart.  A month lies in ``files_per_month`` tasks, its contracts dealt out by
+    their whole content, so that no customer or month can fill a task alone.
     """
-    months = contract_months(customers, as_of)
-    spread = F.pmod(F.xxhash64("user_id"), F.lit(files_per_month))
-    return expand_days(months.repartition(F.col("activity_month"), spread))
+    months = contract_months(customers, as_of, tasks=0)
+    if tasks is None:
+        tasks = 2 * customers.sparkSession.sparkContext.defaultParallelism
+    share = F.pmod(F.xxhash64("user_id", "started_at", "monthly_premium"), F.lit(files_per_month))
+    return expand_days(months.repartition(tasks, F.col("activity_month"), share))
 
 
 def activity_summary(mart: DataFrame) -> DataFrame:

@@ -86,19 +86,15 @@ def correction_impact(before: DataFrame, after: DataFrame, key: str = "user_id")
 
     Pass both versions filtered to the changed entities; one aggregation covers the two.
     """
-    sides = before.select(key, "daily_premium", F.lit(True).alias("_old")).unionByName(
-        after.select(key, "daily_premium", F.lit(False).alias("_old"))
+    none = F.lit(None).cast("double")
+    sides = before.select(key, F.col("daily_premium").alias("old"), none.alias("new"), F.lit(1).alias("sign")).unionByName(
+        after.select(key, none.alias("old"), F.col("daily_premium").alias("new"), F.lit(-1).alias("sign"))
     )
-    old, amount = F.col("_old"), F.col("daily_premium")
-
-    def total(side):
-        return F.coalesce(exact_sum(F.when(side, amount), 2), F.lit(0.0))
-
     sums = sides.groupBy(key).agg(
-        F.count_if(old).alias("rows_before"),
-        F.count_if(~old).alias("rows_after"),
-        total(old).alias("amount_before"),
-        total(~old).alias("amount_after"),
+        F.count_if(F.col("sign") > 0).alias("rows_before"),
+        F.count_if(F.col("sign") < 0).alias("rows_after"),
+        F.coalesce(exact_sum(F.col("old"), 2), F.lit(0.0)).alias("amount_before"),
+        F.coalesce(exact_sum(F.col("new"), 2), F.lit(0.0)).alias("amount_after"),
     )
     return sums.select(
         "*",

@@ -154,5 +154,5 @@ def active_customers_from_contracts(
         "activity_date",
         "product_group",
         "active_customers",
-        F.round(exact, 4).cast("double").alias("daily_premium_total"),
+        round_half_away(exact.cast("double"), 4).alias("daily_premium_total"),
     )

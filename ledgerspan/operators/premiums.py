@@ -13,12 +13,14 @@ def is_chargeable() -> Column:
     return F.col("_is_clean") & (F.col("premium_amount") > 0)
 
 
-def earned_share() -> Column:
-    """The part of a charge that falls on the days left in its month, day of charge included."""
-    date = F.col("transaction_date")
-    return (
-        F.col("premium_amount") * days_left_in_month(date).cast("double") / days_in_month(date).cast("double")
-    )
+def amount_days() -> Column:
+    """Amount times the days left in its month, day of charge included: the numerator of the earned share.
+
+    All charges of a month share its length as denominator, so the numerators are summed exactly and divided
+    once.  Half cents are common here (half of an odd amount in a 30-day month), and a sum of quotients would decide
+    them by chance.
+    """
+    return F.col("premium_amount") * days_left_in_month(F.col("transaction_date"))
 
 
 def monthly_premiums(silver: DataFrame, include_unmatched: bool = False) -> DataFrame:
@@ -29,19 +31,24 @@ def monthly_premiums(silver: DataFrame, include_unmatched: bool = False) -> Data
     """
     processed = F.col("status") == "processed"
     refunded = F.col("status_raw") == "refunded"
-    amount = F.col("premium_amount")
-    sums = (
-        silver.where(is_chargeable() & (processed | refunded))
-        .groupBy("party", F.col("transaction_month").alias("month"))
-        .agg(
-            exact_sum(F.when(processed, amount), 2).alias("written_premium"),
-            exact_sum(F.when(processed, earned_share()), 2).alias("earned_premium"),
-            F.count_if(processed).alias("transaction_count"),
-            F.min(F.when(processed, F.col("transaction_date"))).alias("first_transaction_date"),
-            F.max(F.when(processed, F.col("transaction_date"))).alias("last_transaction_date"),
-            F.coalesce(exact_sum(F.when(refunded, amount), 2), F.lit(0.0)).alias("refunded_premium"),
-            F.count_if(refunded).alias("refund_count"),
-        )
+    date = F.col("transaction_date")
+    rows = silver.where(is_chargeable() & (processed | refunded)).select(
+        "party",
+        F.col("transaction_month").alias("month"),
+        F.when(processed, F.col("premium_amount")).alias("written"),
+        F.when(processed, amount_days()).alias("written_days"),
+        F.when(refunded, F.col("premium_amount")).alias("refunded"),
+        F.when(processed, date).alias("written_on"),
+        days_in_month(date).alias("month_days"),
+    )
+    sums = rows.groupBy("party", "month").agg(
+        exact_sum(F.col("written"), 2).alias("written_premium"),
+        exact_sum(F.col("written_days"), 2, divisor=F.max("month_days")).alias("earned_premium"),
+        F.count("written").alias("transaction_count"),
+        F.min("written_on").alias("first_transaction_date"),
+        F.max("written_on").alias("last_transaction_date"),
+        F.coalesce(exact_sum(F.col("refunded"), 2), F.lit(0.0)).alias("refunded_premium"),
+        F.count("refunded").alias("refund_count"),
     )
     if include_unmatched:
         sums = sums.fillna(0.0, ["written_premium", "earned_premium"])
@@ -65,16 +72,21 @@ def monthly_premiums(silver: DataFrame, include_unmatched: bool = False) -> Data
 
 def rounding_order(silver: DataFrame) -> DataFrame:
     """Sum-then-round against round-each-then-sum, by (party, month), over written premium rows."""
-    amount, earned = F.col("premium_amount"), earned_share()
-    sums = (
-        silver.where(is_chargeable() & (F.col("status") == "processed"))
-        .groupBy("party", F.col("transaction_month").alias("month"))
-        .agg(
-            exact_sum(amount, 2).alias("written_sum_then_round"),
-            exact_sum(round_half_away(amount, 2), 2).alias("written_round_then_sum"),
-            exact_sum(earned, 2).alias("earned_sum_then_round"),
-            exact_sum(round_half_away(earned, 2), 2).alias("earned_round_then_sum"),
-        )
+    amount, length = F.col("premium_amount"), days_in_month(F.col("transaction_date"))
+    rows = silver.where(is_chargeable() & (F.col("status") == "processed")).select(
+        "party",
+        F.col("transaction_month").alias("month"),
+        "premium_amount",
+        round_half_away(amount, 2).alias("rounded"),
+        amount_days().alias("amount_days"),
+        round_half_away(amount_days() / length.cast("double"), 2).alias("rounded_share"),
+        length.alias("month_days"),
+    )
+    sums = rows.groupBy("party", "month").agg(
+        exact_sum(amount, 2).alias("written_sum_then_round"),
+        exact_sum(F.col("rounded"), 2).alias("written_round_then_sum"),
+        exact_sum(F.col("amount_days"), 2, divisor=F.max("month_days")).alias("earned_sum_then_round"),
+        exact_sum(F.col("rounded_share"), 2).alias("earned_round_then_sum"),
     )
     return sums.select(
         "*",

@@ -74,16 +74,17 @@ def status_sweep_detail(
     All scenarios share one scan and one aggregation: each is a conditional sum.
     """
     wanted = sorted({status for statuses in scenarios.values() for status in statuses})
-    amount, status = F.col("premium_amount"), F.col("status")
-    finance = (
-        silver.where(is_chargeable() & status.isin(wanted))
-        .groupBy("party", F.col("transaction_month").alias("month"))
-        .agg(
-            *[
-                exact_sum(F.when(status.isin(list(statuses)), amount), 2).alias(f"_finance_{rank}")
-                for rank, statuses in enumerate(scenarios.values())
-            ]
-        )
+    status = F.col("status")
+    chosen = silver.where(is_chargeable() & status.isin(wanted)).select(
+        "party",
+        F.col("transaction_month").alias("month"),
+        *[
+            F.when(status.isin(list(statuses)), F.col("premium_amount")).alias(f"_amount_{rank}")
+            for rank, statuses in enumerate(scenarios.values())
+        ],
+    )
+    finance = chosen.groupBy("party", "month").agg(
+        *[exact_sum(F.col(f"_amount_{rank}"), 2).alias(f"_finance_{rank}") for rank in range(len(scenarios))]
     )
     per_scenario = F.array(
         *[
@@ -113,8 +114,9 @@ def status_sweep_detail(
 
 def status_sweep_totals(detail: DataFrame) -> DataFrame:
     """Total absolute gap per scenario."""
-    return detail.groupBy("scenario", "scenario_rank").agg(
-        exact_sum(F.abs(F.col("delta")), 2).alias("total_abs_delta"),
+    gaps = detail.select("scenario", "scenario_rank", F.abs(F.col("delta")).alias("gap"))
+    return gaps.groupBy("scenario", "scenario_rank").agg(
+        exact_sum(F.col("gap"), 2).alias("total_abs_delta"),
         F.count(F.lit(1)).alias("compared_rows"),
     )
 
@@ -145,7 +147,7 @@ def reconciliation_alerts(reconciliation: DataFrame, max_abs_delta: float = 1.0)
 
 def gross_vs_net_gap(reconciliation: DataFrame) -> DataFrame:
     """Total gap of gross figures beside that of figures net of refunds."""
-    return reconciliation.agg(
-        exact_sum(F.abs(F.col("delta")), 2).alias("gross_abs_delta"),
-        exact_sum(F.abs(F.col("net_delta")), 2).alias("net_abs_delta"),
+    gaps = reconciliation.select(F.abs(F.col("delta")).alias("gross"), F.abs(F.col("net_delta")).alias("net"))
+    return gaps.agg(
+        exact_sum(F.col("gross"), 2).alias("gross_abs_delta"), exact_sum(F.col("net"), 2).alias("net_abs_delta")
     ).withColumn("net_widens_gap", F.col("net_abs_delta") > F.col("gross_abs_delta"))

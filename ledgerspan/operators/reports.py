@@ -72,11 +72,10 @@ def status_counts(silver: DataFrame, statuses: Sequence[str] = STATUSES) -> Data
 
 def status_amounts(silver: DataFrame, statuses: Sequence[str] = STATUSES) -> DataFrame:
     """Clean premium amounts by party and month, one column per status; 0 where there are none."""
-    return _by_status(silver, statuses).agg(
-        *[
-            F.coalesce(exact_sum(F.when(F.col("status") == s, F.col("premium_amount")), 2), F.lit(0.0)).alias(s)
-            for s in statuses
-        ]
+    status = F.col("status")
+    amounts = silver.withColumns({f"_{s}": F.when(status == s, F.col("premium_amount")) for s in statuses})
+    return _by_status(amounts, statuses).agg(
+        *[F.coalesce(exact_sum(F.col(f"_{s}"), 2), F.lit(0.0)).alias(s) for s in statuses]
     )
 
 

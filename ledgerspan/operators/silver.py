@@ -18,16 +18,22 @@ def to_silver(bronze: DataFrame, require_party: bool = True, booking_zone: str |
     created = parse_us_timestamp(F.col("created_at"))
     if booking_zone:
         created = F.convert_timezone(F.lit("UTC"), F.lit(booking_zone), created)
-    # Two steps: the parsed columns are computed once and then referred to.
+    # The parsed values pass through a one-element inline.  Catalyst would otherwise push a filter on them below
+    # this select and parse every row again there, once per mention of a column.
     parsed = bronze.select(
         "transaction_id",
-        created.alias("created_at_ts"),
-        parse_amount(F.col("premium_amount")).alias("premium_amount"),
         "premium_currency",
         F.col("charged_party").alias("party"),
         F.col("status").alias("status_raw"),
         "_source_file",
         F.col("_ingested_at").alias("_bronze_ingested_at"),
+        F.inline(
+            F.array(
+                F.struct(
+                    created.alias("created_at_ts"), parse_amount(F.col("premium_amount")).alias("premium_amount")
+                )
+            )
+        ),
     )
     ts, amount, party, raw = (F.col(c) for c in ("created_at_ts", "premium_amount", "party", "status_raw"))
     flags = F.concat_ws(

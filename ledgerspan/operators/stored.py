@@ -20,9 +20,11 @@ from .keyed import delete_insert, replace_entities
 OPEN_RUN = "open"
 
 
-def create_activity_mart(customers: DataFrame, table: str, as_of=None, files_per_month: int = 1) -> None:
+def create_activity_mart(
+    customers: DataFrame, table: str, as_of=None, files_per_month: int = 1, tasks: int | None = None
+) -> None:
     """First run: the mart partitioned by month."""
-    rows = with_lineage(activity_for_storage(customers, as_of, files_per_month), "_loaded_at")
+    rows = with_lineage(activity_for_storage(customers, as_of, files_per_month, tasks), "_loaded_at")
     rows.write.mode("overwrite").format("parquet").partitionBy("activity_month").saveAsTable(table)
 
 

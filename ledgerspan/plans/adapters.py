@@ -22,15 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text rows from ``orders``, with a share of bad timestamps, amounts and parties."""
-    key = F.col("o_orderkey")
-    at = F.col("o_orderdate") + F.make_dt_interval(secs=(key * 7919 % 86400).cast("decimal(18,6)"))
-    text = F.format_string(
-        "%d/%d/%d %d:%02d:%02d",
-        F.month(at), F.dayofmonth(at), F.year(at), F.hour(at), F.minute(at), F.second(at).cast("int"),
+    key, at = F.col("o_orderkey"), F.col("at")
+    text = F.concat(
+        F.month(at), F.lit("/"), F.dayofmonth(at), F.lit("/"), F.year(at), F.lit(" "),
+        F.hour(at), F.lit(":"), F.lpad(F.minute(at), 2, "0"), F.lit(":"), F.lpad(F.second(at), 2, "0"),
     )
     amount = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
     party = F.element_at(F.array(*[F.lit(p) for p in PARTIES]), (F.col("o_custkey") % 4 + 1).cast("int"))
-    return table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders").withColumn(
+        "at", F.col("o_orderdate") + F.make_dt_interval(secs=(key * 7919 % 86400).cast("decimal(18,6)"))
+    )
+    return orders.select(
         key.cast("string").alias("transaction_id"),
         F.when(key % 97 == 0, "not a date").otherwise(text).alias("created_at"),
         F.when(key % 101 == 0, "n/a")
@@ -60,29 +62,29 @@ def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_premiums(silver(spark, sf_dir))
 
 
-def accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+def accounting_from(monthly: DataFrame) -> DataFrame:
     """An accounting close that agrees, nearly agrees, differs or is silent, by month."""
-    cents = F.rint(F.col("written_premium") * 100).cast("bigint")
     turn = (F.substring("month", 1, 4).cast("int") * 12 + F.substring("month", 6, 2).cast("int")) % 5
-    figures = monthly(spark, sf_dir).where(turn != 3)
-    figures = figures.select(
-        "party",
-        "month",
-        F.when((F.col("party") == "berlinre") & (F.col("month") == "1995-02"), 0.0)
-        .otherwise(
-            F.when(turn == 1, F.expr("cast(rint(written_premium * 100) as bigint) * 1004 div 1000"))
-            .when(turn == 2, F.expr("cast(rint(written_premium * 100) as bigint) * 103 div 100"))
-            .otherwise(cents)
-            / F.lit(100.0)
-        )
-        .alias("accounting_premium"),
+    figures = monthly.where(turn != 3).select(
+        "party", "month", F.rint(F.col("written_premium") * 100).cast("bigint").alias("cents"), turn.alias("turn")
     )
+    stated = (
+        F.when(F.col("turn") == 1, F.expr("cents * 1004 div 1000"))
+        .when(F.col("turn") == 2, F.expr("cents * 103 div 100"))
+        .otherwise(F.col("cents"))
+    ) / F.lit(100.0)
+    silent = (F.col("party") == "berlinre") & (F.col("month") == "1995-02")
+    close = figures.select("party", "month", F.when(silent, 0.0).otherwise(stated).alias("accounting_premium"))
     # Two accounting rows finance knows nothing of.
-    extra = spark.createDataFrame(
+    extra = monthly.sparkSession.createDataFrame(
         [("getland", "2010-01", 100.0), ("dronant", "2010-02", -50.0)],
         "party string, month string, accounting_premium double",
     )
-    return figures.unionByName(extra)
+    return close.unionByName(extra)
+
+
+def accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return accounting_from(monthly(spark, sf_dir))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """SQL counterparts of the named queries, for DuckDB over the same tables.
 
-Each statement is put together from the common table expressions it needs.  Sums of daily premiums are
-taken as decimals: they hold exactly six decimals, and a sum of doubles would round ties at random.
+Each statement is put together from the common table expressions it needs.  Sums of daily premiums and of
+earned shares are taken as decimals and rounded as doubles: half cents are common there, and a plain sum of doubles decides
+them by the order of its rows, so that not even two runs need agree.
 Contracts are materialised because DuckDB 2.0 fails when it unnests next to dictionary-encoded text.
 """
 
@@ -71,9 +72,9 @@ MONTHLY = """refunds as (
 written as (
   select party, transaction_month as month,
          round(sum(premium_amount), 2) as written_premium,
-         round(sum(premium_amount
-                   * cast(date_diff('day', transaction_date, last_day(transaction_date)) + 1 as double)
-                   / cast(day(last_day(transaction_date)) as double)), 2) as earned_premium,
+         round(cast(sum(cast(premium_amount as decimal(18,2))
+                        * (date_diff('day', transaction_date, last_day(transaction_date)) + 1)) as double)
+               / max(day(last_day(transaction_date))), 2) as earned_premium,
          count(*) as transaction_count,
          min(transaction_date) as first_transaction_date,
          max(transaction_date) as last_transaction_date
@@ -138,7 +139,7 @@ sweep as (
   from accounting a cross join scenarios c
   left join finance f on f.scenario = c.scenario and f.party = a.party and f.month = a.month),
 totals as (
-  select scenario, scenario_rank, cast(round(sum(abs(cast(delta as decimal(18,2)))), 2) as double) as total_abs_delta,
+  select scenario, scenario_rank, round(cast(sum(abs(cast(delta as decimal(18,2)))) as double), 2) as total_abs_delta,
          count(*) as compared_rows
   from sweep group by all)"""
 
@@ -239,7 +240,7 @@ IN_SLICE = "activity_date between date '1997-02-01' and date '1997-02-28'"
 
 
 def decimal_sum(column: str, digits: int, scale: int = 6) -> str:
-    return f"cast(round(sum(cast({column} as decimal(18,{scale}))), {digits}) as double)"
+    return f"round(cast(sum(cast({column} as decimal(18,{scale}))) as double), {digits})"
 
 
 DAILY_KPI = f"""select activity_date, product_group, count(distinct user_id) as active_customers,
@@ -457,14 +458,16 @@ where created_at_ts <= date_trunc('month', created_at_ts) + interval 48 hours
         BASE
         + [
             """charged as (
-  select party, transaction_month as month, premium_amount,
+  select party, transaction_month as month, premium_amount, transaction_date,
          premium_amount * cast(date_diff('day', transaction_date, last_day(transaction_date)) + 1 as double)
            / cast(day(last_day(transaction_date)) as double) as earned
   from silver where status = 'processed' and _is_clean and premium_amount > 0),
 sums as (
   select party, month, round(sum(premium_amount), 2) as written_sum_then_round,
          round(sum(round(premium_amount, 2)), 2) as written_round_then_sum,
-         round(sum(earned), 2) as earned_sum_then_round,
+         round(cast(sum(cast(premium_amount as decimal(18,2))
+                        * (date_diff('day', transaction_date, last_day(transaction_date)) + 1)) as double)
+               / max(day(last_day(transaction_date))), 2) as earned_sum_then_round,
          round(sum(round(earned, 2)), 2) as earned_round_then_sum
   from charged group by party, month)"""
         ],
@@ -531,9 +534,9 @@ group by d.as_of_date""",
   union all select user_id, daily_premium, false from rebuilt),
 sums as (
   select user_id, count(*) filter (old) as rows_before, count(*) filter (not old) as rows_after,
-         coalesce(cast(round(sum(cast(daily_premium as decimal(18,6))) filter (old), 2) as double), 0)
+         coalesce(round(cast(sum(cast(daily_premium as decimal(18,6))) filter (old) as double), 2), 0)
            as amount_before,
-         coalesce(cast(round(sum(cast(daily_premium as decimal(18,6))) filter (not old), 2) as double), 0)
+         coalesce(round(cast(sum(cast(daily_premium as decimal(18,6))) filter (not old) as double), 2), 0)
            as amount_after
   from sides group by user_id)
 select *, rows_before - rows_after as rows_removed, round(amount_before - amount_after, 2) as amount_removed

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import activity, diagnostics, history, keyed, kpis, quality, reports, stored
 from ..operators import reconciliation as recon
 from ..operators.premiums import monthly_premiums, rounding_order
+from ..operators.silver import to_silver
 from ..session import shared_folder
 from ..sources.landing import ingest_transactions
 from . import adapters as data
@@ -33,8 +34,16 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def _stored(spark, df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder and read back, for queries that use them several times."""
+    folder = shared_folder(spark, "stage")
+    df.write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 def _reconciliation(spark, sf_dir, **options):
-    return recon.reconcile(data.accounting(spark, sf_dir), data.monthly(spark, sf_dir), **options)
+    monthly = data.monthly(spark, sf_dir)
+    return recon.reconcile(data.accounting_from(monthly), monthly, **options)
 
 
 def _mart(spark, sf_dir, start=None, end=None):
@@ -336,8 +345,11 @@ def stored_mart_refresh(spark, sf_dir):
 
 def _states(spark, sf_dir):
     """Three states of the transactions: as first seen, changed with deletions, deletions undone."""
-    first = data.silver(spark, sf_dir).select(
-        "transaction_id", "transaction_month", "premium_amount", "party", "status", "status_raw", "_is_clean"
+    first = _stored(
+        spark,
+        data.silver(spark, sf_dir).select(
+            "transaction_id", "transaction_month", "premium_amount", "party", "status", "status_raw", "_is_clean"
+        ),
     )
     return first, data.silver_next(first), data.silver_next(first, with_deletes=False)
 
@@ -401,13 +413,16 @@ def dq_unique_combination(spark, sf_dir):
 
 @query
 def dq_suite(spark, sf_dir):
-    """All declared checks over the five tables."""
-    silver, monthly = data.silver(spark, sf_dir), data.monthly(spark, sf_dir)
+    """All declared checks over the five tables, each layer stored once and read by the next."""
+    bronze = _stored(spark, data.bronze(spark, sf_dir))
+    silver = _stored(spark, to_silver(bronze))
+    monthly = _stored(spark, monthly_premiums(silver))
+    compared = _stored(spark, recon.reconcile(data.accounting_from(monthly), monthly))
     suites = [
-        ("bronze", data.bronze(spark, sf_dir), quality.BRONZE_CHECKS),
+        ("bronze", bronze, quality.BRONZE_CHECKS),
         ("silver", silver, quality.SILVER_CHECKS),
         ("monthly", monthly, quality.MONTHLY_CHECKS),
-        ("reconciliation", _reconciliation(spark, sf_dir), quality.RECONCILIATION_CHECKS),
+        ("reconciliation", compared, quality.RECONCILIATION_CHECKS),
         ("activity", _mart(spark, sf_dir, *SLICE), quality.ACTIVITY_CHECKS),
     ]
     results = [quality.run_checks(df, checks, name) for name, df, checks in suites]
