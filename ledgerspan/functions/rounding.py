@@ -38,7 +38,7 @@ def exact_sum(col: Column, digits: int | None = None, divisor: Column | None = N
     """
     micro = F.coalesce(F.rint(col * MICRO).try_cast("bigint"), F.lit(0).cast("bigint"))
     left = col - micro / MICRO
-    rest = F.sum(F.when(F.abs(left) <= F.abs(col) * DOUBLE_NOISE, 0.0).otherwise(left))
+    rest = F.sum(F.when(F.abs(left) < F.abs(col) * DOUBLE_NOISE, 0.0).otherwise(left))
     # Two halves of the long: neither sum can overflow.
     high = F.sum(F.shiftright(micro, 32)).cast("decimal(20,0)")
     low = F.sum(micro.bitwiseAND(0xFFFFFFFF)).cast("decimal(20,0)")
