@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import with_lineage, write_table
 from .activity import activity_for_storage, activity_summary
 from .history import VALIDITY_COLUMNS, initial_history, scd2_step
-from .keyed import delete_insert, replace_entities
+from .keyed import BROADCAST_ROWS, delete_insert, few, replace_entities
 
 OPEN_RUN = "open"
 
@@ -36,9 +36,7 @@ def _partitions(rows: DataFrame, column: str) -> set[str]:
 def _overwrite_partitions(spark: SparkSession, table: str, rows: DataFrame, column: str) -> set[str]:
     """Overwrites the partitions found in ``rows`` and returns their values."""
     written = Observation()
-    columns = spark.table(table).columns
-    out = rows.select(*columns).hint("rebalance", F.col(column))
-    out = out.observe(written, F.collect_set(column).alias("partitions"))
+    out = rows.select(*spark.table(table).columns).observe(written, F.collect_set(column).alias("partitions"))
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
@@ -64,21 +62,32 @@ def _rewrite(
     return {"rewritten": sorted(written), "dropped": sorted(emptied)}
 
 
+def _by_partition(rows: DataFrame, column: str) -> DataFrame:
+    """Rows gathered by partition for writing; adaptive execution splits the large ones."""
+    return rows.hint("rebalance", F.col(column))
+
+
 def upsert_into_table(
     spark: SparkSession,
     table: str,
     batch: DataFrame,
     keys: Sequence[str],
     partition_by: str = "activity_month",
+    broadcast_rows: int | None = BROADCAST_ROWS,
 ) -> dict[str, list[str]]:
     """``delete_insert`` on a stored table.
 
     The partition column must follow from the keys (a month from its day), so that only the
-    batch's partitions can hold a match.
+    batch's partitions can hold a match.  While the batch is small enough to broadcast, the rows kept are not
+    shuffled: they are read and written back partition by partition.
     """
     touched = _partitions(batch, partition_by)
     target = spark.table(table).where(F.col(partition_by).isin(sorted(touched)))
-    return _rewrite(spark, table, delete_insert(target, batch, keys), touched, partition_by)
+    if few(batch.select(*keys).distinct(), broadcast_rows):
+        result = delete_insert(target, _by_partition(batch, partition_by), keys, broadcast_rows=broadcast_rows)
+    else:
+        result = _by_partition(delete_insert(target, batch, keys), partition_by)
+    return _rewrite(spark, table, result, touched, partition_by)
 
 
 def replace_entities_in_table(
@@ -88,13 +97,20 @@ def replace_entities_in_table(
     changed_ids: DataFrame,
     key: str = "user_id",
     partition_by: str = "activity_month",
+    broadcast_rows: int | None = BROADCAST_ROWS,
 ) -> dict[str, list[str]]:
     """``replace_entities`` on a stored table: rewrites the months the changed entities had or now have."""
     target = spark.table(table)
     ids = changed_ids.select(key).distinct()
-    touched = _partitions(target.join(ids, key, "left_semi"), partition_by) | _partitions(rebuilt, partition_by)
+    small = few(ids, broadcast_rows)
+    affected = target.join(F.broadcast(ids) if small else ids, key, "left_semi")
+    touched = _partitions(affected, partition_by) | _partitions(rebuilt, partition_by)
     kept = target.where(F.col(partition_by).isin(sorted(touched)))
-    return _rewrite(spark, table, replace_entities(kept, rebuilt, ids, key), touched, partition_by)
+    if small:
+        result = replace_entities(kept, _by_partition(rebuilt, partition_by), ids, key, broadcast_rows)
+    else:
+        result = _by_partition(replace_entities(kept, rebuilt, ids, key), partition_by)
+    return _rewrite(spark, table, result, touched, partition_by)
 
 
 def refresh_activity_summary(spark: SparkSession, mart: str, summary: str, months: Sequence[str] | None = None) -> None:
@@ -106,7 +122,7 @@ def refresh_activity_summary(spark: SparkSession, mart: str, summary: str, month
         return
     daily = activity_summary(rows.where(F.col("activity_month").isin(list(months))))
     daily = daily.withColumn("activity_month", F.date_format("activity_date", "yyyy-MM"))
-    _rewrite(spark, summary, daily, set(months), "activity_month")
+    _rewrite(spark, summary, _by_partition(daily, "activity_month"), set(months), "activity_month")
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
@@ -137,5 +153,6 @@ def snapshot_table(
     fields = [c for c in opened.columns if c not in VALIDITY_COLUMNS]
     step = scd2_step(opened, current.select(*fields), as_of, key, **options)
     run = F.date_format(F.col("valid_to"), "yyyyMMdd'T'HHmmssSSS")
+    # Two partitions at most per task of the join, which is sized by the data: no further shuffle.
     step = step.withColumn("snapshot_run", F.coalesce(run, F.lit(OPEN_RUN)))
     _rewrite(spark, table, step, {OPEN_RUN}, "snapshot_run")

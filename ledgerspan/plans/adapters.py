@@ -83,10 +83,6 @@ def accounting_from(monthly: DataFrame) -> DataFrame:
     return close.unionByName(extra)
 
 
-def accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return accounting_from(monthly(spark, sf_dir))
-
-
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contracts from ``customer`` and the first and last order of each."""
     spans = (
@@ -114,19 +110,18 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same contracts with a change time: every tenth closed contract was corrected later."""
+def customer_feed(contracts: DataFrame) -> DataFrame:
+    """The contracts with a change time: every tenth closed contract was corrected later."""
     changed = (F.col("user_id").cast("bigint") % 10 == 0) & F.col("churned_at").isNotNull()
-    return customers(spark, sf_dir).withColumn(
+    return contracts.withColumn(
         "updated_at",
         F.when(changed, F.lit("2001-08-02")).otherwise(F.lit("2001-08-01")).cast("timestamp_ntz"),
     )
 
 
-def contract_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def contract_changes(contracts: DataFrame) -> DataFrame:
     """New end dates: thirty days after the start, for the corrected contracts."""
-    feed = customer_feed(spark, sf_dir)
-    return feed.where(F.col("updated_at") > F.lit("2001-08-01").cast("timestamp_ntz")).select(
+    return customer_feed(contracts).where(F.col("updated_at") > F.lit("2001-08-01").cast("timestamp_ntz")).select(
         "user_id", F.date_add("started_at", 30).alias("new_end")
     )
 

@@ -14,6 +14,7 @@ from ..operators.premiums import monthly_premiums, rounding_order
 from ..operators.silver import to_silver
 from ..session import shared_folder
 from ..sources.landing import ingest_transactions
+from ..sources.tables import with_lineage
 from . import adapters as data
 from .adapters import AS_OF
 
@@ -42,7 +43,7 @@ def _stored(spark, df: DataFrame) -> DataFrame:
 
 
 def _reconciliation(spark, sf_dir, **options):
-    monthly = data.monthly(spark, sf_dir)
+    monthly = _stored(spark, data.monthly(spark, sf_dir))
     return recon.reconcile(data.accounting_from(monthly), monthly, **options)
 
 
@@ -103,8 +104,9 @@ def reconciliation_with_unmatched(spark, sf_dir):
 
 
 def _sweep(spark, sf_dir):
-    rows = data.silver(spark, sf_dir, require_party=False)
-    return recon.status_sweep_detail(rows, data.accounting(spark, sf_dir))
+    rows = _stored(spark, data.silver(spark, sf_dir, require_party=False))
+    close = data.accounting_from(monthly_premiums(rows.where(F.col("party").isNotNull())))
+    return recon.status_sweep_detail(rows, close)
 
 
 @query
@@ -265,63 +267,70 @@ def _by_month(mart: DataFrame) -> DataFrame:
     )
 
 
-def _changed_ids(spark, sf_dir):
-    return data.contract_changes(spark, sf_dir).select("user_id")
+def _contracts(spark, sf_dir):
+    """Contracts, stored because a correction reads them several times, and their changed end dates."""
+    contracts = _stored(spark, data.customers(spark, sf_dir))
+    return contracts, data.contract_changes(contracts)
 
 
-def _changed_mart(spark, sf_dir):
+def _rebuilt(contracts, changes):
     """The recomputed windows of the changed customers."""
-    customers, changes = data.customers(spark, sf_dir), data.contract_changes(spark, sf_dir)
-    changed = customers.join(changes.select("user_id"), "user_id", "left_semi")
+    changed = contracts.join(changes.select("user_id"), "user_id", "left_semi")
     return activity.customer_activity_daily(keyed.apply_contract_changes(changed, changes), AS_OF)
 
 
 @query
 def changed_since(spark, sf_dir):
-    feed = data.customer_feed(spark, sf_dir)
+    feed = data.customer_feed(data.customers(spark, sf_dir))
     return keyed.changed_since(feed, F.lit(AS_OF).cast("timestamp_ntz"))
 
 
 @query
 def next_watermark(spark, sf_dir):
-    return keyed.next_watermark(data.customer_feed(spark, sf_dir))
+    return keyed.next_watermark(data.customer_feed(data.customers(spark, sf_dir)))
 
 
 @query
 def contract_updates(spark, sf_dir):
-    return keyed.apply_contract_changes(data.customers(spark, sf_dir), data.contract_changes(spark, sf_dir))
+    return keyed.apply_contract_changes(*_contracts(spark, sf_dir))
 
 
 @query
 def delete_insert(spark, sf_dir):
     """Upsert by (user, day): days a shortened window lost stay in the mart."""
+    contracts, changes = _contracts(spark, sf_dir)
+    mart, batch = activity.customer_activity_daily(contracts, AS_OF), _rebuilt(contracts, changes)
     keys = ["user_id", "activity_date"]
-    return _by_month(keyed.delete_insert(_mart(spark, sf_dir), _changed_mart(spark, sf_dir), keys))
+    return _by_month(keyed.delete_insert(mart, batch, keys, broadcast_rows=keyed.BROADCAST_ROWS))
 
 
 @query
 def retro_truncate(spark, sf_dir):
-    return _by_month(keyed.truncate_entities_after(_mart(spark, sf_dir), data.contract_changes(spark, sf_dir)))
+    contracts, changes = _contracts(spark, sf_dir)
+    mart = activity.customer_activity_daily(contracts, AS_OF)
+    return _by_month(keyed.truncate_entities_after(mart, changes, broadcast_rows=keyed.BROADCAST_ROWS))
 
 
 @query
 def retro_replace_entities(spark, sf_dir):
-    customers, changes = data.customers(spark, sf_dir), data.contract_changes(spark, sf_dir)
-    return _by_month(keyed.retroactive_churn(_mart(spark, sf_dir), customers, changes, AS_OF))
+    contracts, changes = _contracts(spark, sf_dir)
+    mart = activity.customer_activity_daily(contracts, AS_OF)
+    return _by_month(keyed.retroactive_churn(mart, contracts, changes, AS_OF, keyed.BROADCAST_ROWS))
 
 
 @query
 def retro_impact(spark, sf_dir):
-    customers = data.customers(spark, sf_dir).join(_changed_ids(spark, sf_dir), "user_id", "left_semi")
-    before = activity.customer_activity_daily(customers, AS_OF)
-    return keyed.correction_impact(before, _changed_mart(spark, sf_dir))
+    contracts, changes = _contracts(spark, sf_dir)
+    changed = contracts.join(changes.select("user_id"), "user_id", "left_semi")
+    before = activity.customer_activity_daily(changed, AS_OF)
+    return keyed.correction_impact(before, _rebuilt(contracts, changes))
 
 
 @query
 def sync_columns(spark, sf_dir):
     """Contracts brought to the layout of the change feed: one column new, one gone."""
-    feed = data.customer_feed(spark, sf_dir).drop("product_group")
-    return keyed.sync_columns(data.customers(spark, sf_dir), feed)
+    contracts = data.customers(spark, sf_dir)
+    return keyed.sync_columns(contracts, data.customer_feed(contracts).drop("product_group"))
 
 
 def _scratch_database(spark) -> str:
@@ -333,10 +342,11 @@ def _scratch_database(spark) -> str:
 @query
 def stored_mart_refresh(spark, sf_dir):
     """The mart written by month, then corrected in place for the changed customers."""
+    contracts, changes = _contracts(spark, sf_dir)
     mart = f"{_scratch_database(spark)}.activity"
-    stored.create_activity_mart(data.customers(spark, sf_dir), mart, AS_OF)
-    rebuilt = _changed_mart(spark, sf_dir).withColumn("_loaded_at", F.current_timestamp())
-    stored.replace_entities_in_table(spark, mart, rebuilt, _changed_ids(spark, sf_dir))
+    stored.create_activity_mart(contracts, mart, AS_OF)
+    rebuilt = with_lineage(_rebuilt(contracts, changes), "_loaded_at")
+    stored.replace_entities_in_table(spark, mart, rebuilt, changes)
     return _by_month(spark.table(mart))
 
 
@@ -357,7 +367,7 @@ def _states(spark, sf_dir):
 def _history(spark, sf_dir):
     first, second, third = _states(spark, sf_dir)
     rows = history.initial_history(first, SNAPSHOTS[0])
-    rows = history.scd2_merge(rows, second, SNAPSHOTS[1])
+    rows = _stored(spark, history.scd2_merge(rows, second, SNAPSHOTS[1]))
     return history.scd2_merge(rows, third, SNAPSHOTS[2])
 
 
