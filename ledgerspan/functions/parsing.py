@@ -6,32 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The accepted text forms.
-US_TIMESTAMP = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})\s*$"
-US_TIMESTAMP_SHORT_YEAR = r"^\s*(\d{1,2})/(\d{1,2})/(\d{1,3})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})\s*$"
+US_DATE_START = r"^\s*\d{1,2}/"
+US_TIMESTAMP = r"^\s*(\d{1,2})/(\d{1,2})/(\d{2,4})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})\s*$"
 PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-NOT_A_NUMBER = r"^[+-]?nan$"
-INFINITE = r"^[+-]?inf(inity)?$"
+RARE_NUMBER = r"^([+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?|[+-]?inf(inity)?|nan)$"
+RARE_NUMBER_NOISE = r"(?<=\d)_(?=\d)|^[+-](?=nan$)"
 
 
 def parse_us_timestamp(text: Column) -> Column:
     """``M/D/YYYY H:MM:SS`` (padded or not) as a timestamp without zone.
 
-    The text is rewritten to ISO order and cast, which is cheaper than a date-format parser that
-    throws on every bad row, and does not depend on the session time zone.  Years written with
-    fewer digits are taken literally, as ``strptime`` does; that branch runs only for rows the
-    first one rejects.
+    The text is rewritten to ISO order and cast, which does not depend on the session time zone and, unlike
+    a date-format parser, costs nothing extra on bad rows.  Text of any other form keeps its first slash, which no
+    ISO timestamp has, and becomes null.  Years of two or three digits are taken literally, as
+    ``strptime`` does: the two zeros make them long enough for the cast.
     """
-    iso = F.when(
-        text.rlike(US_TIMESTAMP), F.regexp_replace(text, US_TIMESTAMP, "$3-$1-$2 $4:$5:$6")
-    ).try_cast("timestamp_ntz")
-    short = F.when(
-        text.rlike(US_TIMESTAMP_SHORT_YEAR),
-        F.concat(
-            F.lpad(F.regexp_extract(text, US_TIMESTAMP_SHORT_YEAR, 3), 4, "0"),
-            F.regexp_replace(text, US_TIMESTAMP_SHORT_YEAR, "-$1-$2 $4:$5:$6"),
-        ),
-    ).try_cast("timestamp_ntz")
-    return F.coalesce(iso, short)
+    iso = F.regexp_replace(text, US_TIMESTAMP, "00$3-$1-$2 $4:$5:$6")
+    return F.when(text.rlike(US_DATE_START), iso).try_cast("timestamp_ntz")
 
 
 def parse_amount(text: Column) -> Column:
@@ -40,12 +31,5 @@ def parse_amount(text: Column) -> Column:
     Plain numbers take the direct cast.  The second branch handles the rare spellings: digit
     groups joined by ``_``, signed ``nan``, ``inf``.  Java-only forms (``5.0d``, ``5f``, hex) are null.
     """
-    plain = F.when(text.rlike(PLAIN_NUMBER), text).try_cast("double")
-    bare = F.lower(F.trim(text))
-    grouped = F.regexp_replace(bare, r"(?<=\d)_(?=\d)", "")
-    rare = (
-        F.when(bare.rlike(NOT_A_NUMBER), F.lit(float("nan")))
-        .when(bare.rlike(INFINITE), F.when(bare.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
-        .when(grouped.rlike(PLAIN_NUMBER), grouped.try_cast("double"))
-    )
-    return F.coalesce(plain, rare)
+    rare = F.regexp_replace(F.lower(F.trim(text)), RARE_NUMBER_NOISE, "")
+    return F.when(text.rlike(PLAIN_NUMBER), text).when(rare.rlike(RARE_NUMBER), rare).try_cast("double")

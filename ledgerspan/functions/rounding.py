@@ -39,10 +39,11 @@ def exact_sum(col: Column, digits: int | None = None, divisor: Column | None = N
     micro = F.coalesce(F.rint(col * MICRO).try_cast("bigint"), F.lit(0).cast("bigint"))
     left = col - micro / MICRO
     rest = F.sum(F.when(F.abs(left) < F.abs(col) * DOUBLE_NOISE, 0.0).otherwise(left))
-    # Two halves of the long: neither sum can overflow.
-    high = F.sum(F.shiftright(micro, 32)).cast("decimal(20,0)")
-    low = F.sum(micro.bitwiseAND(0xFFFFFFFF)).cast("decimal(20,0)")
-    units = ((high * F.expr("4294967296BD") + low) * F.expr("0.000001BD")).cast("decimal(32,6)")
+    # The long in two parts, whole multiples of 2^20 and the 20 bits below: no sum overflows before a group has
+    # trillions of rows.
+    high = F.sum(F.shiftright(micro, 20)).cast("decimal(20,0)")
+    low = F.sum(micro.bitwiseAND(0xFFFFF)).cast("decimal(20,0)")
+    units = ((high * F.expr("1048576BD") + low) * F.expr("0.000001BD")).cast("decimal(32,6)")
     # A remainder that is no decimal is NaN, infinite or too large to carry cents.
     total = F.coalesce((units + rest.try_cast("decimal(24,12)")).cast("double"), units.cast("double") + rest)
     if divisor is not None:

@@ -115,7 +115,7 @@ def active_customers_from_contracts(
     def micro(length: int) -> Column:
         # A missing premium counts as a customer and adds nothing.
         daily = round_half_away(F.col("monthly_premium").cast("double") / length, 6)
-        return F.coalesce(F.rint(daily * 1e6).cast("bigint"), F.lit(0).cast("bigint"))
+        return F.coalesce(F.rint(daily * 1e6).try_cast("bigint"), F.lit(0).cast("bigint"))
 
     changes = (
         windows.select(

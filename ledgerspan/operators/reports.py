@@ -11,7 +11,7 @@ from ..functions import exact_sum, round_half_away
 from ..schemas import PARTIES, STATUSES
 
 
-def written_grid(monthly: DataFrame, parties: Sequence[str] = PARTIES) -> DataFrame:
+def written_pivot(monthly: DataFrame, parties: Sequence[str] = PARTIES) -> DataFrame:
     """Written premium, one row per month and one column per party; 0 where a party has none."""
     parties = list(parties)
     wide = monthly.groupBy("month").pivot("party", parties).agg(F.max("written_premium"))
@@ -41,11 +41,14 @@ def finance_vs_accounting(reconciliation: DataFrame) -> DataFrame:
     )
 
 
+def in_order(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows in ascending order for presentation, nulls last.  Stored tables carry no order."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in columns])
+
+
 def delta_series(reconciliation: DataFrame) -> DataFrame:
     """Deltas with their status in party and month order."""
-    return reconciliation.select("party", "month", "delta", "reconciliation_status").orderBy(
-        F.col("party").asc_nulls_last(), F.col("month").asc_nulls_last()
-    )
+    return in_order(reconciliation.select("party", "month", "delta", "reconciliation_status"), "party", "month")
 
 
 def status_matrix(reconciliation: DataFrame, parties: Sequence[str] = PARTIES) -> DataFrame:

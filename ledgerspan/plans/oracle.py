@@ -347,8 +347,8 @@ ORACLE_SQL: dict[str, str] = {
     "bronze_rows": statement([RAW], "select *, 'orders.parquet' as _source_file from raw"),
     "silver_transactions": statement(BASE, "select * from silver"),
     "silver_without_party_test": statement(LOOSE, "select transaction_id, _dq_flags, _is_clean from silver"),
-    "monthly_premium_mart": statement(MONTHS, "select * from monthly"),
-    "monthly_premium_mart_with_unmatched": statement(
+    "monthly_premiums": statement(MONTHS, "select * from monthly"),
+    "monthly_premiums_with_unmatched": statement(
         MONTHS,
         """select coalesce(w.party, r.party) as party, coalesce(w.month, r.transaction_month) as month,
        coalesce(w.written_premium, 0) as premium, coalesce(w.written_premium, 0) as written_premium,
@@ -454,7 +454,7 @@ from silver
 where created_at_ts <= date_trunc('month', created_at_ts) + interval 48 hours
    or created_at_ts >= date_trunc('month', created_at_ts) + interval 1 month - interval 48 hours""",
     ),
-    "rounding_order_comparison": statement(
+    "rounding_order": statement(
         BASE
         + [
             """charged as (
@@ -569,7 +569,7 @@ where status not in ('processed', 'failed') group by status""",
         RECON + SPINE + [f"slice as (select * from mart where {IN_SLICE})"],
         "\nunion all ".join(_check_sql(*c) for c in CHECKS),
     ),
-    "rpt_written_grid": statement(MONTHS, _grid("written_premium", "monthly", "0.0::double")),
+    "rpt_written_pivot": statement(MONTHS, _grid("written_premium", "monthly", "0.0::double")),
     "rpt_written_vs_earned": statement(
         MONTHS,
         f"""select *, round(written_premium - earned_premium, 2) as unearned_premium from (

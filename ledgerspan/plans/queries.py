@@ -31,7 +31,7 @@ SNAPSHOTS = ("2001-08-01 00:00:00", "2001-08-02 00:00:00", "2001-08-03 00:00:00"
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__.removesuffix("_query")] = fn
     return fn
 
 
@@ -81,12 +81,12 @@ def silver_without_party_test(spark, sf_dir):
 
 
 @query
-def monthly_premium_mart(spark, sf_dir):
+def monthly_premiums_query(spark, sf_dir):
     return data.monthly(spark, sf_dir)
 
 
 @query
-def monthly_premium_mart_with_unmatched(spark, sf_dir):
+def monthly_premiums_with_unmatched(spark, sf_dir):
     return monthly_premiums(data.silver(spark, sf_dir), include_unmatched=True)
 
 
@@ -179,7 +179,7 @@ def boundary_transactions(spark, sf_dir):
 
 
 @query
-def rounding_order_comparison(spark, sf_dir):
+def rounding_order_query(spark, sf_dir):
     return rounding_order(data.silver(spark, sf_dir))
 
 
@@ -446,8 +446,8 @@ def dq_suite(spark, sf_dir):
 
 
 @query
-def rpt_written_grid(spark, sf_dir):
-    return reports.written_grid(data.monthly(spark, sf_dir))
+def rpt_written_pivot(spark, sf_dir):
+    return reports.written_pivot(data.monthly(spark, sf_dir))
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -27,6 +28,11 @@ def build_session(app_name: str = "ledgerspan", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_root(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="ledgerspan-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the cluster's ``spark.checkpoint.dir``.
 
@@ -37,6 +43,5 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="ledgerspan-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

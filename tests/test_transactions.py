@@ -141,7 +141,7 @@ def test_published_report_totals(published):
     assert by_party == [("dronant", 5856.3), ("liadigital", 4471.29), ("getland", 3802.78), ("berlinre", 3274.91)]
     months = {r.month: r for r in reports.written_vs_earned(published).collect()}
     assert months["2025-06"].written_premium == 8429.5 and months["2025-08"].earned_premium == 3311.19
-    grid = reports.written_grid(published.where("not (party = 'getland' and month = '2025-08')"))
+    grid = reports.written_pivot(published.where("not (party = 'getland' and month = '2025-08')"))
     assert {r.month: r.getland for r in grid.collect()}["2025-08"] == 0.0
 
 
