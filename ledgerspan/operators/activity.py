@@ -97,18 +97,31 @@ def customer_activity_daily(
     return expand_days(contract_months(customers, as_of, start, end, tasks))
 
 
-def activity_for_storage(
-    customers: DataFrame, as_of=None, files_per_month: int = 1, tasks: int | None = None
-) -> DataFrame:
-    """The mart laid out for a write partitioned by month.
+def months_touched(customers: DataFrame, as_of=None) -> DataFrame:
+    """The months any of the contracts was active in."""
+    return contract_months(customers, as_of, tasks=0).select("activity_month").distinct()
+
+
+def storage_layout(customers: DataFrame, as_of=None, rows_per_file: int = 10_000_000) -> tuple[int, int]:
+    """(files per month, writing tasks) for the mart, from the size of its largest month.
+
+    Counts contract months, not days; the result is one row.
+    """
+    days = days_between(F.col("active_to"), F.col("active_from")) + 1
+    by_month = contract_months(customers, as_of).groupBy("activity_month").agg(F.sum(days).alias("rows"))
+    size = by_month.agg(F.max("rows").alias("largest"), F.count(F.lit(1)).alias("months")).first()
+    files = max(1, -(-(size.largest or 0) // rows_per_file))
+    return files, max(size.months * files, 2 * customers.sparkSession.sparkContext.defaultParallelism)
+
+
+def activity_for_storage(customers: DataFrame, as_of=None, files_per_month: int = 1, tasks: int = 1) -> DataFrame:
+    """The mart laid out for a write partitioned by month; ``storage_layout`` gives the two numbers.
 
     Rows are moved while they are still contract months, then expanded inside the writing tasks: the shuffle
-    carries a thirtieth of the mart.  A month lies in ``files_per_month`` tasks, its contracts dealt out by
+    carries a thirtieth of the mart.  The contracts of a month are dealt over its files by
     their whole content, so that no customer or month can fill a task alone.
     """
     months = contract_months(customers, as_of, tasks=0)
-    if tasks is None:
-        tasks = 2 * customers.sparkSession.sparkContext.defaultParallelism
     share = F.pmod(F.xxhash64("user_id", "started_at", "monthly_premium"), F.lit(files_per_month))
     return expand_days(months.repartition(tasks, F.col("activity_month"), share))
 

@@ -13,18 +13,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import with_lineage, write_table
-from .activity import activity_for_storage, activity_summary
+from .activity import activity_for_storage, activity_summary, storage_layout
 from .history import VALIDITY_COLUMNS, initial_history, scd2_step
 from .keyed import BROADCAST_ROWS, delete_insert, few, replace_entities
 
 OPEN_RUN = "open"
 
 
-def create_activity_mart(
-    customers: DataFrame, table: str, as_of=None, files_per_month: int = 1, tasks: int | None = None
-) -> None:
-    """First run: the mart partitioned by month."""
-    rows = with_lineage(activity_for_storage(customers, as_of, files_per_month, tasks), "_loaded_at")
+def create_activity_mart(customers: DataFrame, table: str, as_of=None, rows_per_file: int = 10_000_000) -> None:
+    """First run: the mart partitioned by month, in files of about ``rows_per_file`` rows."""
+    files, tasks = storage_layout(customers, as_of, rows_per_file)
+    rows = with_lineage(activity_for_storage(customers, as_of, files, tasks), "_loaded_at")
     rows.write.mode("overwrite").format("parquet").partitionBy("activity_month").saveAsTable(table)
 
 
@@ -98,13 +97,19 @@ def replace_entities_in_table(
     key: str = "user_id",
     partition_by: str = "activity_month",
     broadcast_rows: int | None = BROADCAST_ROWS,
+    held: DataFrame | None = None,
 ) -> dict[str, list[str]]:
-    """``replace_entities`` on a stored table: rewrites the months the changed entities had or now have."""
+    """``replace_entities`` on a stored table: rewrites the months the changed entities had or now have.
+
+    ``held`` lists the partitions that may hold old rows of the changed entities, as ``months_touched`` tells from
+    their contracts before the change.  Without it, the keys of the whole table are scanned for them.
+    """
     target = spark.table(table)
     ids = changed_ids.select(key).distinct()
     small = few(ids, broadcast_rows)
-    affected = target.join(F.broadcast(ids) if small else ids, key, "left_semi")
-    touched = _partitions(affected, partition_by) | _partitions(rebuilt, partition_by)
+    if held is None:
+        held = target.join(F.broadcast(ids) if small else ids, key, "left_semi")
+    touched = _partitions(held, partition_by) | _partitions(rebuilt, partition_by)
     kept = target.where(F.col(partition_by).isin(sorted(touched)))
     if small:
         result = replace_entities(kept, _by_partition(rebuilt, partition_by), ids, key, broadcast_rows)

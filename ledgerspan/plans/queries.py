@@ -346,7 +346,9 @@ def stored_mart_refresh(spark, sf_dir):
     mart = f"{_scratch_database(spark)}.activity"
     stored.create_activity_mart(contracts, mart, AS_OF)
     rebuilt = with_lineage(_rebuilt(contracts, changes), "_loaded_at")
-    stored.replace_entities_in_table(spark, mart, rebuilt, changes)
+    before = contracts.join(changes.select("user_id"), "user_id", "left_semi")
+    held = activity.months_touched(before, AS_OF)
+    stored.replace_entities_in_table(spark, mart, rebuilt, changes, held=held)
     return _by_month(spark.table(mart))
 
 

@@ -110,6 +110,27 @@ def test_expansion_is_spread_over_tasks(customers):
     assert activity.customer_activity_daily(customers, AS_OF, tasks=5).rdd.getNumPartitions() == 5
 
 
+def test_hot_customer_and_group(spark):
+    """One customer and product group holds a third of all contracts; work stays spread and sums whole."""
+    rows = [("hot", i % 400, "big") if i % 3 == 0 else (f"u{i}", i % 400, f"p{i % 7}") for i in range(3000)]
+    customers = spark.createDataFrame(rows, "user_id string, shift int, product_group string").select(
+        "user_id",
+        F.lit("2024-01-01").cast("date").alias("acquisition_date"),
+        F.date_add(F.lit("2024-01-01").cast("date"), F.col("shift")).alias("started_at"),
+        F.date_add(F.lit("2024-01-01").cast("date"), F.col("shift") + 100).alias("churned_at"),
+        F.lit(31.0).alias("monthly_premium"),
+        "product_group",
+    )
+    mart = activity.customer_activity_daily(customers, AS_OF, tasks=8)
+    sizes = [r["count"] for r in mart.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8
+    assert mart.count() == 3000 * 101
+    totals = {r.user_id: r["count"] for r in mart.groupBy("user_id").count().collect()}
+    assert totals["hot"] == 1000 * 101
+    whole = kpis.premium_collected_from_contracts(customers, "2024-01-01", AS_OF, AS_OF)
+    assert sorted(whole.collect()) == sorted(kpis.premium_collected(mart, "2024-01-01", AS_OF).collect())
+
+
 # --- keyed replacement -------------------------------------------------------------------------
 
 

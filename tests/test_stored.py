@@ -26,7 +26,7 @@ def months_of(spark, table):
 
 def test_stored_mart_equals_the_mart(spark, database, customers):
     table = f"{database}.mart"
-    stored.create_activity_mart(customers, table, AS_OF, files_per_month=3)
+    stored.create_activity_mart(customers, table, AS_OF, rows_per_file=40)
     want = activity.customer_activity_daily(customers, AS_OF)
     assert sorted(spark.table(table).select(*want.columns).collect()) == sorted(want.collect())
     from ledgerspan.operators import kpis
@@ -58,6 +58,25 @@ def test_emptied_months_disappear(spark, database):
     assert done["dropped"] == []
 
 
+def test_known_months_spare_the_scan(spark, database, customers):
+    table = f"{database}.mart"
+    stored.create_activity_mart(customers, table, AS_OF)
+    mine = customers.where("user_id = 'USR005'")
+    changes = spark.createDataFrame([("USR005", dt.date(2025, 1, 31))], "user_id string, new_end date")
+    changed = keyed.apply_contract_changes(mine, changes)
+    rebuilt = activity.customer_activity_daily(changed, AS_OF).withColumn("_loaded_at", F.current_timestamp())
+    held = activity.months_touched(mine, AS_OF)
+    for broadcast_rows in (1000, None):
+        done = stored.replace_entities_in_table(
+            spark, table, rebuilt, changes, broadcast_rows=broadcast_rows, held=held
+        )
+        assert sorted(done["rewritten"] + done["dropped"]) == ["2025-01", "2025-02", "2025-03"]
+        assert spark.table(table).where("user_id = 'USR005'").count() == 22
+    others = activity.customer_activity_daily(customers.where("user_id <> 'USR005'"), AS_OF)
+    kept = spark.table(table).where("user_id <> 'USR005'").select(*others.columns)
+    assert sorted(kept.collect(), key=repr) == sorted(others.collect(), key=repr)
+
+
 def test_stored_upsert(spark, database):
     table = f"{database}.facts"
     schema = "user_id string, activity_date date, v int, activity_month string"
