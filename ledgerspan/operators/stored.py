@@ -156,8 +156,10 @@ def snapshot_table(
     history = spark.table(table)
     opened = history.where(F.col("snapshot_run") == OPEN_RUN).drop("snapshot_run")
     fields = [c for c in opened.columns if c not in VALIDITY_COLUMNS]
+    run = F.date_format(F.lit(as_of).cast("timestamp_ntz"), "yyyyMMdd'T'HHmmssSSS")
     step = scd2_step(opened, current.select(*fields), as_of, key, **options)
-    run = F.date_format(F.col("valid_to"), "yyyyMMdd'T'HHmmssSSS")
-    # Two partitions at most per task of the join, which is sized by the data: no further shuffle.
-    step = step.withColumn("snapshot_run", F.coalesce(run, F.lit(OPEN_RUN)))
-    _rewrite(spark, table, step, {OPEN_RUN}, "snapshot_run")
+    # The join's tasks, sized by the data, write two partitions at most each: no further shuffle.
+    step = step.withColumn("snapshot_run", F.when(F.col("valid_to").isNull(), OPEN_RUN).otherwise(run))
+    # Versions an earlier run of the same moment closed stay in its partition.
+    closed = history.where(F.col("snapshot_run") == run)
+    _rewrite(spark, table, step.unionByName(closed), {OPEN_RUN}, "snapshot_run")

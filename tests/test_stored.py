@@ -172,6 +172,19 @@ def test_stored_snapshots(spark, database):
         stored.snapshot_table(spark, table, state(spark, [("a", "x", 1.0, "p")] * 2), T4)
 
 
+def test_second_snapshot_of_one_moment(spark, database):
+    """A correction under the same time adds to what that run closed."""
+    table = f"{database}.history"
+    first, second, _ = states(spark)
+    stored.snapshot_table(spark, table, first, T1)
+    stored.snapshot_table(spark, table, second, T2)
+    stored.snapshot_table(spark, table, second, T2)
+    assert spark.table(table).where("valid_to is not null").count() == 3
+    stored.snapshot_table(spark, table, second.where("transaction_id <> 'same'"), T2)
+    assert spark.table(table).where("valid_to is not null").count() == 4
+    assert spark.table(table).where("valid_to is null").count() == 4
+
+
 def test_snapshot_of_an_emptied_source(spark, database):
     table = f"{database}.history"
     first = states(spark)[0]
