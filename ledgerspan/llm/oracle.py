@@ -49,6 +49,26 @@ select doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0):
   coalesce(n_live, 0)::bigint as n_live, coalesce(n_example, 0)::bigint as n_example
 from docs left join one using (doc_id)"""
 
+ORACLE_SQL["op5_ngram_join"] = f"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') as w
+  from documents),
+shingles as (
+  select distinct doc_id, array_to_string(w[pos:pos + 4], ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as pos from words where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+links as (
+  select a, b
+  from (select x.doc_id as a, y.doc_id as b, count(*) as common
+        from shingles x join shingles y on x.s = y.s and x.doc_id < y.doc_id group by all)
+  join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+  where 7 * common >= 3 * (p.n + q.n)),
+sym as (select a, b from links union all select b, a from links),
+reach as (select a, b from sym union select reach.a, sym.b from reach join sym on reach.b = sym.a),
+least as (select a as doc_id, min(b) as b from reach group by a)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, least(doc_id, coalesce(b, doc_id)) as component_id
+from documents left join sizes using (doc_id) left join least using (doc_id)"""
+
 _ESCAPE = r"regexp_replace({}, '<(\\*)\|', '<\\\1|', 'g')"
 
 ORACLE_SQL["op7_chat_format"] = f"""

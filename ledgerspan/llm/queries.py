@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspan.llm import bpe, chat_format, language_id, mixing, quality_rules, secret_scan, token_counts
+from ledgerspan.llm import bpe, chat_format, language_id, mixing, ngram_join, quality_rules, secret_scan, token_counts
 from ledgerspan.llm.common import table
 from ledgerspan.llm.oracle import ORACLE_SQL
 
@@ -33,6 +33,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
     return bpe.token_digest(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -69,6 +73,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mixing": op2_mixing,
+    "op5_ngram_join": op5_ngram_join,
     "op6_bpe": op6_bpe,
     "op7_chat_format": op7_chat_format,
     "op8_token_counts": op8_token_counts,
