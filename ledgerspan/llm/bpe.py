@@ -13,6 +13,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerspan.llm.common import map_arrow
 from ledgerspan.llm.splitting import CHUNK, pieces
 
 
@@ -68,7 +69,7 @@ def token_ids(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
                     names=["doc_id", "ids", "decoded"],
                 )
 
-    return _texts(docs).mapInArrow(run, "doc_id bigint, ids array<int>, decoded binary")
+    return map_arrow(_texts(docs), run, "doc_id bigint, ids array<int>, decoded binary")
 
 
 def token_digest(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
@@ -98,6 +99,7 @@ def token_digest(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
                 [batch.column(0), *map(pa.array, values, kinds)], names=["doc_id", *names]
             )
 
-    return _texts(docs).mapInArrow(
+    return map_arrow(
+        _texts(docs),
         run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_bytes bigint"
     )

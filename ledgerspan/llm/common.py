@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
 import tempfile
-from collections.abc import Iterable
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,12 +44,14 @@ def staged(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def free_name(taken: Iterable[str], wanted: str) -> str:
-    """``wanted``, or with underscores appended until no column has the name."""
-    lower = {name.lower() for name in taken}
-    while wanted.lower() in lower:
-        wanted += "_"
-    return wanted
+def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow``; workers also look for this package where the driver found it."""
+    root = str(pathlib.Path(__file__).resolve().parents[2])
+    environment = df.sparkSession.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
+    return df.mapInArrow(function, schema)
 
 
 def text_or_empty(column: str = "text") -> Column:

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspan.llm.common import held_out
+from ledgerspan.llm.common import held_out, map_arrow
 
 #: Label of a text without letters.
 UNDETERMINED = "und"
@@ -91,7 +91,7 @@ def learn(docs: DataFrame, settings: Settings = Settings()) -> Model:
             )
 
     counted = (
-        rows.select("lang", "text").mapInArrow(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+        map_arrow(rows.select("lang", "text"), count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     ).toArrow()
     names, keys, values = (counted.column(i) for i in range(3))
     langs = tuple(sorted(set(names.to_pylist())))
@@ -148,4 +148,4 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double")
+    return map_arrow(rows, run, "doc_id bigint, held_out boolean, lang_pred string, score double")

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspan.llm.common import staged
+from ledgerspan.llm.common import map_arrow, staged
 from ledgerspan.llm.components import components
 
 U = np.uint64
@@ -151,7 +151,7 @@ def _profile(docs: DataFrame, settings: Settings) -> DataFrame:
         empty = [pa.nulls(len(chunks), kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays([*empty, pa.array(chunks, pa.int32()), pa.array(blobs, pa.binary())], names=names)
 
-    return _texts(docs).mapInArrow(run, "doc_id bigint, n bigint, sig bigint, bands array<bigint>, chunk int, counts binary")
+    return map_arrow(_texts(docs), run, "doc_id bigint, n bigint, sig bigint, bands array<bigint>, chunk int, counts binary")
 
 
 def _order(counts: np.ndarray) -> np.ndarray:
@@ -184,7 +184,7 @@ def _marked(nodes: DataFrame, bits: int) -> np.ndarray:
         chunks, blobs = _chunk_rows(counts)
         yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(blobs, pa.binary())], names=["chunk", "counts"])
 
-    return _summed(nodes.select("sig", "doc").mapInArrow(run, "chunk int, counts binary"), 1 << bits) > 0
+    return _summed(map_arrow(nodes.select("sig", "doc"), run, "chunk int, counts binary"), 1 << bits) > 0
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, order, settings: Settings) -> DataFrame:
@@ -205,7 +205,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, order, settings: Settings) -> DataF
                 names=["sig", "n", "doc", "keys"],
             )
 
-    return _texts(docs).mapInArrow(run, "sig bigint, n bigint, doc bigint, keys binary")
+    return map_arrow(_texts(docs), run, "sig bigint, n bigint, doc bigint, keys binary")
 
 
 def _present(anchor: np.ndarray, part: np.ndarray) -> int:
@@ -300,7 +300,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, order, sett
             columns = list(zip(*out)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a_sig", "a_n", "b_sig", "b_n"])
 
-    found = rows.mapInArrow(run, "a_sig bigint, a_n bigint, b_sig bigint, b_n bigint")
+    found = map_arrow(rows, run, "a_sig bigint, a_n bigint, b_sig bigint, b_n bigint")
     return staged(found.select(_node("a_").alias("a"), _node("b_").alias("b")).distinct())
 
 
@@ -334,7 +334,7 @@ def _prefixes(docs: DataFrame, order, settings: Settings) -> DataFrame:
                 names=["sig", "n", "firsts"],
             )
 
-    return _texts(docs).mapInArrow(run, "sig bigint, n bigint, firsts array<bigint>")
+    return map_arrow(_texts(docs), run, "sig bigint, n bigint, firsts array<bigint>")
 
 
 def _late_pairs(docs: DataFrame, labels: DataFrame, order, settings: Settings) -> DataFrame:

@@ -49,6 +49,24 @@ select doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0):
   coalesce(n_live, 0)::bigint as n_live, coalesce(n_example, 0)::bigint as n_example
 from docs left join one using (doc_id)"""
 
+ORACLE_SQL["op3_embedding_dedup"] = """
+with recursive usable as (
+  select row_number() over (order by vec_id) as i, vec_id, label, embedding::double[] as e from embeddings
+  where label is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0 and len([x for x in embedding if x <> 0]) > 0),
+links as (
+  select x.i as a, y.i as b from usable x join usable y on x.label = y.label and len(x.e) = len(y.e) and x.i <> y.i
+  where list_cosine_similarity(x.e, y.e) >= 0.98),
+reach as (select a, b from links union select reach.a, links.b from reach join links on reach.b = links.a),
+least as (select a, min(vec_id) as id from reach join usable on usable.i = reach.b group by a),
+counts as (select a, count(*) as n from links group by a),
+known as (
+  select usable.vec_id, coalesce(n, 0)::bigint as n_links, least(usable.vec_id, coalesce(id, usable.vec_id)) as component_id
+  from usable left join counts on counts.a = i left join least on least.a = i)
+select vec_id, coalesce(n_links, 0)::bigint as n_links, coalesce(component_id, vec_id) as component_id,
+  vec_id = coalesce(component_id, vec_id) as kept
+from embeddings left join known using (vec_id)"""
+
 ORACLE_SQL["op5_ngram_join"] = f"""
 with recursive words as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') as w

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspan.llm import bpe, chat_format, language_id, mixing, ngram_join, quality_rules, secret_scan, token_counts
+from ledgerspan.llm import (
+    bpe,
+    chat_format,
+    embedding_dedup,
+    language_id,
+    mixing,
+    ngram_join,
+    quality_rules,
+    secret_scan,
+    token_counts,
+    toxicity,
+)
 from ledgerspan.llm.common import table
 from ledgerspan.llm.oracle import ORACLE_SQL
 
@@ -33,6 +44,15 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
 
@@ -73,6 +93,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mixing": op2_mixing,
+    "op3_embedding_dedup": op3_embedding_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_ngram_join": op5_ngram_join,
     "op6_bpe": op6_bpe,
     "op7_chat_format": op7_chat_format,

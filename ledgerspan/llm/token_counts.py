@@ -10,6 +10,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerspan.llm.common import map_arrow
 from ledgerspan.llm.splitting import pieces
 
 #: Words whose counts a worker remembers before it forgets them all, and the longest it remembers (memory, not result).
@@ -131,4 +132,4 @@ def token_counts(docs: DataFrame, vocabulary: Collection[bytes], pattern: str, c
             )
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, "doc_id bigint, n_words bigint, n_tokens bigint")
+    return map_arrow(texts, run, "doc_id bigint, n_words bigint, n_tokens bigint")
