@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from ledgerspan.llm.common import map_arrow
 from ledgerspan.llm.splitting import CHUNK, pieces
 
+#: Tokens sent to Spark at a time.
+_TOKENS = 1 << 20
+
 
 def read_ranks(path: str) -> bytes:
     """A rank file's bytes.  A vocabulary is about a megabyte whatever the corpus, so that it can be broadcast."""
@@ -46,60 +49,56 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def token_ids(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
-    """Rows ``doc_id``, ``ids`` (array of int) and ``decoded`` (binary): each text encoded, and decoded again.
+def token_digest(docs: DataFrame, ranks: bytes, pattern: str, with_ids: bool = False) -> DataFrame:
+    """Every text encoded, and its ids decoded again: ``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``, ``n_bytes``.
 
-    A null or empty text has no ids and no bytes; a repeated row gives a repeated result, a null ``doc_id``
-    stays null, an empty table gives no rows.  Other columns of ``docs`` are not read.
+    The hashes are of the ids as little-endian 32-bit integers and of the bytes decoded from them, whose number is ``n_bytes``;
+    ``with_ids`` adds the ids themselves.  Long texts go through a piece at a time.  A null or empty text has no ids and no bytes; a
+    repeated row gives a repeated result, a null ``doc_id`` stays null, an empty table gives no rows.  Other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    kinds = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("n_bytes", pa.int64())]
+    if with_ids:
+        kinds.append(("ids", pa.list_(pa.int32())))
+
+    def digest(enc: tiktoken.Encoding, text: str) -> tuple:
+        count, size, ids_hash, text_hash, kept = 0, 0, hashlib.sha256(), hashlib.sha256(), [np.empty(0, "<i4")]
+        for ids in encode(enc, text):
+            raw = decode(enc, ids)
+            count, size = count + len(ids), size + len(raw)
+            ids_hash.update(ids.tobytes())
+            text_hash.update(raw)
+            if with_ids:
+                kept.append(ids.view("<i4"))
+        row = count, ids_hash.hexdigest(), text_hash.hexdigest(), size
+        return (*row, np.concatenate(kept)) if with_ids else row
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(shared.value, pattern)
         for batch in batches:
-            for at in range(batch.num_rows):
-                ids = [x.astype("i4") for x in encode(enc, batch.column(1)[at].as_py() or "")]
-                raw = b"".join(decode(enc, x) for x in ids)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(at, 1),
-                        pa.array([np.concatenate([np.empty(0, "i4"), *ids])], pa.list_(pa.int32())),
-                        pa.array([raw], pa.binary()),
-                    ],
-                    names=["doc_id", "ids", "decoded"],
-                )
+            start, rows = 0, []
+            for at, text in enumerate(batch.column(1)):
+                rows.append(digest(enc, text.as_py() or ""))
+                if at + 1 == batch.num_rows or (with_ids and sum(row[0] for row in rows) > _TOKENS):
+                    columns = [pa.array(x, kind) for x, (_, kind) in zip(zip(*rows), kinds)]
+                    names = ["doc_id", *(name for name, _ in kinds)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(rows)), *columns], names=names)
+                    start, rows = at + 1, []
 
-    return map_arrow(_texts(docs), run, "doc_id bigint, ids array<int>, decoded binary")
+    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_bytes bigint"
+    return map_arrow(_texts(docs), run, schema + ", ids array<int>" * with_ids)
 
 
-def token_digest(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
-    """Per document the token count, the hash of its ids, the hash of the bytes decoded from them and their number.
-
-    Encodes and decodes as ``token_ids`` and treats nulls, repeated rows and other columns alike, but ids and
-    bytes are hashed piece by piece: neither is held whole for a long text, or sent to Spark.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
-
-    def digest(enc: tiktoken.Encoding, text: str) -> tuple[int, str, str, int]:
-        count, size, ids_hash, text_hash = 0, 0, hashlib.sha256(), hashlib.sha256()
-        for ids in encode(enc, text):
-            raw = decode(enc, ids)
-            count, size = count + len(ids), size + len(raw)
-            ids_hash.update(ids.tobytes())
-            text_hash.update(raw)
-        return count, ids_hash.hexdigest(), text_hash.hexdigest(), size
+def decode_ids(tokens: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
+    """``doc_id`` and ``decoded``, the bytes of the array column ``ids``; null ids give null."""
+    shared = tokens.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(shared.value, pattern)
-        names, kinds = ["n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"], [pa.int64(), pa.string(), pa.string(), pa.int64()]
         for batch in batches:
-            rows = [digest(enc, text.as_py() or "") for text in batch.column(1)]
-            values = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *map(pa.array, values, kinds)], names=["doc_id", *names]
-            )
-
-    return map_arrow(
-        _texts(docs),
-        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_bytes bigint"
-    )
+            for at in range(batch.num_rows):
+                ids = batch.column(1)[at].as_py()
+                raw = None if ids is None else enc.decode_bytes(ids)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1), pa.array([raw], pa.binary())], names=["doc_id", "decoded"])
+
+    return map_arrow(tokens.select("doc_id", F.col("ids").cast("array<int>").alias("ids")), run, "doc_id bigint, decoded binary")

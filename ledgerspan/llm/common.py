@@ -5,10 +5,12 @@ from __future__ import annotations
 import os
 import pathlib
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: White space that separates words: blank, tab to carriage return.
 BLANKS = " \t\n\x0b\f\r"
@@ -44,7 +46,13 @@ def staged(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder name that driver and executors all see."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{purpose}-{uuid.uuid4().hex}"
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow``; workers also look for this package where the driver found it."""
     root = str(pathlib.Path(__file__).resolve().parents[2])
     environment = df.sparkSession.sparkContext.environment

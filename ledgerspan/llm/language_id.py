@@ -10,6 +10,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerspan.llm.common import held_out, map_arrow
 
@@ -132,20 +133,32 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     ``und`` with score 0; equal scores go to the language first in order; repeated rows give repeated results; a null ``doc_id``
     counts as held out.  Only ``doc_id`` and ``text`` are read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(
+        F.col("text").cast("string").alias("text"), F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out")
+    )
+    return _with_language(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows whose language is told with a score of ``least`` or more, with it in ``lang``; other columns as they are.
+
+    Texts go by once: rows aren't joined back.
+    """
+    numbered = docs.select(F.col("text").cast("string"), F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text"))).toDF("text", "others")
+    found = _with_language(numbered, model).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
+    named = {"text": F.col("text"), "lang": F.col("lang_pred")}
+    return found.select(*((named[c] if c in named else F.col("others")[c]).alias(c) for c in docs.columns))
+
+
+def _with_language(rows: DataFrame, model: Model) -> DataFrame:
+    """``rows``, whose first column is the text, with ``lang_pred`` and ``score``."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [classify(shared.value, text.as_py()) for text in batch.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array([x for x, _ in found], pa.string()),
-                    pa.array([x for _, x in found], pa.float64()),
-                ],
-                names=["doc_id", "held_out", "lang_pred", "score"],
-            )
+            found = [classify(shared.value, text.as_py()) for text in batch.column(0)]
+            added = [pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, "lang_pred", "score"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
-    return map_arrow(rows, run, "doc_id bigint, held_out boolean, lang_pred string, score double")
+    schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return map_arrow(rows, run, schema)

@@ -122,12 +122,19 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def _row_key() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+
+
 def _profile(docs: DataFrame, settings: Settings) -> DataFrame:
-    """A row a document: size, signature and bands of its set; and rows that count shingles by bucket, one set a task."""
+    """A row a document: size, signature and bands of its set; and rows that count shingles by bucket, one set a task.
+
+    ``row`` is a hash that tells rows apart, but not repeated ones.
+    """
     shift = U(64 - settings.bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, names = np.zeros(1 << settings.bits, dtype=np.int64), ["doc_id", "n", "sig", "bands", "chunk", "counts"]
+        counts, names = np.zeros(1 << settings.bits, dtype=np.int64), ["doc_id", "row", "n", "sig", "bands", "chunk", "counts"]
         for batch in batches:
             n, sigs, bands = [], [], []
             for text in batch.column(1):
@@ -139,6 +146,7 @@ def _profile(docs: DataFrame, settings: Settings) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array(n, pa.int64()),
                     pa.array(sigs, pa.int64()),
                     pa.array(bands, pa.list_(pa.int64())),
@@ -148,10 +156,11 @@ def _profile(docs: DataFrame, settings: Settings) -> DataFrame:
                 names=names,
             )
         chunks, blobs = _chunk_rows(counts)
-        empty = [pa.nulls(len(chunks), kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))]
+        empty = [pa.nulls(len(chunks), kind) for kind in (*[pa.int64()] * 4, pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays([*empty, pa.array(chunks, pa.int32()), pa.array(blobs, pa.binary())], names=names)
 
-    return map_arrow(_texts(docs), run, "doc_id bigint, n bigint, sig bigint, bands array<bigint>, chunk int, counts binary")
+    rows = _texts(docs).withColumn("row", _row_key())
+    return map_arrow(rows, run, "doc_id bigint, row bigint, n bigint, sig bigint, bands array<bigint>, chunk int, counts binary")
 
 
 def _order(counts: np.ndarray) -> np.ndarray:
@@ -372,10 +381,40 @@ def ngram_join(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     words have one shingle.  Repeated rows are copies of each other; a null ``doc_id`` is reached but never the smallest unless
     it is alone, when the component is null.  An empty table gives no rows; other columns are not read.
     """
+    rows, ids = _grouped(docs, settings)
+    least = ids.groupBy("root").agg(F.min("first").alias("component_id"))
+    ids = ids.join(least, "root").select("sig", "n", "component_id")
+    some = rows.where("n > 0").join(ids, ["sig", "n"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return some.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs`` but for all of each component except the one with the smallest ``doc_id`` (nulls last).
+
+    Rows without words stay, repeated rows of the one that stays don't.  Rows to drop are joined away by a hash of id and text; only
+    rows that repeat are compared whole.
+    """
+    rows, ids = _grouped(docs, settings)
+    full = rows.where("n > 0")
+    members = full.join(ids.select("sig", "n", "root"), ["sig", "n"])
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
+    first = members.groupBy("root").agg(F.min(order).alias("_first")).select("root", F.col("_first.row").alias("_kept"))
+    dropped = members.join(first, "root").where(F.col("row") != F.col("_kept")).select(F.col("row").alias("_dropped")).distinct()
+    repeated = full.groupBy("row").agg(F.count("*").alias("_times")).where("_times > 1").select(F.col("row").alias("_repeated"))
+    names = docs.columns
+    kept = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"), _row_key().alias("_key"))
+    kept = kept.join(dropped, F.col("_key") == F.col("_dropped"), "left_anti")
+    same = F.col("_key") == F.col("_repeated")
+    single = kept.join(repeated, same, "left_anti").select("_row.*")
+    return single.unionByName(kept.join(repeated, same, "left_semi").dropDuplicates(["_key"]).select("_row.*"))
+
+
+def _grouped(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """A row a document (``doc_id``, ``row``, ``n``, ``sig``), and of every set its component's ``root`` and ``first`` id."""
     context = docs.sparkSession.sparkContext
     profile = staged(_profile(docs, settings))
     order = context.broadcast(_order(_summed(profile.where("chunk is not null").select("chunk", "counts"), 1 << settings.bits)))
-    rows = profile.where("chunk is null").select("doc_id", "n", "sig", "bands")
+    rows = profile.where("chunk is null").select("doc_id", "row", "n", "sig", "bands")
     full = rows.where("n > 0")
     classes = full.groupBy("sig", "n").agg(F.min(F.coalesce("doc_id", F.lit(_NULL_ID))).alias("doc"))
     nodes = full.groupBy("sig", "n").agg(F.any_value("bands").alias("bands"))
@@ -387,10 +426,5 @@ def ngram_join(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     late = _verified(docs, _late_pairs(docs, labels, order, settings), classes, order, settings)
     roots = components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(late))
 
-    roots = roots.select("node.sig", "node.n", "root")
-    ids = full.groupBy("sig", "n").agg(F.min("doc_id").alias("first")).join(roots, ["sig", "n"], "left")
-    ids = ids.withColumn("root", F.coalesce("root", _node()))
-    least = ids.groupBy("root").agg(F.min("first").alias("component_id"))
-    ids = ids.join(least, "root").select("sig", "n", "component_id")
-    some = full.join(ids, ["sig", "n"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return some.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    ids = full.groupBy("sig", "n").agg(F.min("doc_id").alias("first")).join(roots.select("node.sig", "node.n", "root"), ["sig", "n"], "left")
+    return rows.select("doc_id", "row", "n", "sig"), ids.withColumn("root", F.coalesce("root", _node()))

@@ -184,12 +184,14 @@ def redact(docs: DataFrame, owner: str = "source", repository: str = "doc_id", m
     )
     none = F.array().cast("array<string>")
     live = F.filter("findings", lambda x: ~F.array_contains(F.coalesce("_examples", none), x["value"]))
+    live = F.array_sort(live, lambda x, y: ((x["end"] - x["size"]) - (y["end"] - y["size"])).cast("int"))
     text = F.col("_row")["text"]
 
     def step(state: Column, x: Column) -> Column:
-        """Between findings the text is copied; of a finding that begins inside another only the rest is skipped."""
-        between = F.array(text.substr(state["at"] + 1, x["start"] - state["at"]), F.lit(mask))
-        parts = F.when(x["start"] < state["at"], state["parts"]).otherwise(F.concat(state["parts"], between))
+        """A value ends its finding.  Between values the text is copied; of one that begins inside another only the rest is skipped."""
+        start = x["end"] - x["size"]
+        between = F.array(text.substr(state["at"] + 1, start - state["at"]), F.lit(mask))
+        parts = F.when(start < state["at"], state["parts"]).otherwise(F.concat(state["parts"], between))
         return F.struct(F.greatest(x["end"], state["at"]).alias("at"), parts.alias("parts"))
 
     start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("parts"))
