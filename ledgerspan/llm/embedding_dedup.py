@@ -197,6 +197,8 @@ def _compared(tiles: DataFrame, turns, settings: Settings) -> DataFrame:
                 keys2, counts2 = (np.array(row[c].as_py()) for c in ("keys2", "counts2"))
                 here, there = links @ counts2, counts @ links
                 out_keys, out_links, out_roots = [], [], []
+                if same:  # so that a vector's row and column are in one group
+                    np.fill_diagonal(links, links.any(axis=1))
                 for rows, columns in _groups(links):
                     root = keys[rows[0]]
                     out_keys += keys[rows].tolist()

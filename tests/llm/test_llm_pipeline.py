@@ -1,0 +1,74 @@
+"""The pipeline's stages against plain versions, and the entry without the subpackage."""
+
+from __future__ import annotations
+
+import pathlib
+import re
+import shutil
+import subprocess
+import sys
+from collections import Counter
+
+import corpus_pipeline
+from helpers import SF, empty_documents, near_groups, odd_documents, rows_of
+
+from ledgerspan.llm.common import table
+
+ROOT = pathlib.Path(__file__).resolve().parents[2]
+
+
+def test_stages_match_plain_versions(spark, tmp_path):
+    docs = table(spark, SF, "documents")
+    held = {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        held[name] = docs
+    columns = table(spark, SF, "documents").columns
+    assert all(held[name].columns == columns for name, _ in corpus_pipeline.STAGES[:-1])
+
+    first = held["language_id"].orderBy("doc_id").collect()
+    letters = [r for r in table(spark, SF, "documents").collect() if re.search(r"[^\W\d_]", r.text)]
+    assert len(first) >= 0.99 * len(letters)
+    _, roots = near_groups([r.text for r in first])
+    want = {}
+    for r, root in zip(first, roots):
+        want.setdefault(root, r.doc_id)
+    assert {r.doc_id for r in held["ngram_join"].collect()} == set(want.values())
+
+    before = {r.doc_id: r for r in held["ngram_join"].collect()}
+    after = {r.doc_id: r for r in held["secret_scan"].collect()}
+    assert before.keys() == after.keys() and all(r.n_chars == len(r.text) for r in after.values())
+    changed = {d for d in before if before[d].text != after[d].text}
+    secret = re.compile(r"(?ai:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{8,}|AKIA[A-Z0-9]{12,}|[0-9a-f]{32,}")
+    assert changed == {d for d in before if secret.search(before[d].text)} and not any(secret.search(r.text) for r in after.values())
+    assert all("[SECRET]" in after[d].text for d in changed)
+
+    assert rows_of(held["mixing"]) == rows_of(held["secret_scan"])
+    tokens = held["bpe"].collect()
+    assert {r.doc_id for r in tokens} == set(after) and all(len(r.ids) == r.n_tokens for r in tokens)
+    assert Counter(r.n_bytes for r in tokens) == Counter(len(r.text.encode()) for r in after.values())
+
+
+def test_stages_take_odd_and_empty_tables(spark, tmp_path):
+    for k, docs in enumerate((odd_documents(spark), empty_documents(spark))):
+        for name, stage in corpus_pipeline.STAGES:
+            stage(spark, docs, SF).write.parquet(str(tmp_path / f"{k}{name}"))
+            docs = spark.read.parquet(str(tmp_path / f"{k}{name}"))
+        assert (docs.count() > 0) == (k == 0)
+
+
+def test_entry_works_without_the_subpackage(tmp_path):
+    shutil.copytree(ROOT / "ledgerspan", tmp_path / "ledgerspan", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
+    script = "import __spark_entry__ as e; q = e.queries(); assert q and 'pipeline' not in q and not any(n.startswith('op1_') for n in {**q, **e.oracle_sql()})"
+    subprocess.run([sys.executable, "-B", "-c", script], cwd=tmp_path, check=True, timeout=120)
+    (tmp_path / "ledgerspan/llm").mkdir()
+    (tmp_path / "ledgerspan/llm/queries.py").write_text("import no_such_module")
+    assert subprocess.run([sys.executable, "-B", "-c", "import __spark_entry__"], cwd=tmp_path, capture_output=True, timeout=120).returncode
+
+
+def test_nothing_else_imports_the_subpackage():
+    for path in (ROOT / "ledgerspan").rglob("*.py"):
+        if "llm" not in path.relative_to(ROOT).parts:
+            assert "ledgerspan.llm" not in path.read_text()
