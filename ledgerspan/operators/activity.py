@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -46,16 +46,28 @@ def contract_windows(customers: DataFrame, as_of=None, start=None, end=None) ->
     return windows.where(F.col("window_start") <= F.col("window_end"))
 
 
-def spread(contracts: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Contracts dealt evenly over ``tasks`` (default: twice the cores) before they are expanded.
+#: Contract months that one task expands: some three million days.
+MONTHS_PER_TASK = 100_000
+
+
+def expansion_tasks(windows: DataFrame) -> int:
+    """Tasks for the expansion of contract windows, from the months they cover; counted in one small job."""
+    first, last = F.col("window_start"), F.col("window_end")
+    months = (F.year(last) - F.year(first)) * 12 + F.month(last) - F.month(first) + 1
+    total = windows.agg(F.sum(months.cast("bigint"))).first()[0] or 0
+    return max(2 * windows.sparkSession.sparkContext.defaultParallelism, -(-total // MONTHS_PER_TASK))
+
+
+def spread(windows: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Contract windows dealt evenly over tasks, by default as many as their months need, before they are expanded.
 
     A contract grows into a thousand rows, so a split that is comfortable to read is too large to expand, and
     adaptive execution would even merge small inputs into one task.  Dealing round-robin
     keeps a customer with very many contracts from gathering in one task.  0 leaves the partitions as they are.
     """
     if tasks is None:
-        tasks = 2 * contracts.sparkSession.sparkContext.defaultParallelism
-    return contracts.repartition(tasks) if tasks else contracts
+        tasks = expansion_tasks(windows)
+    return windows.repartition(tasks) if tasks else windows
 
 
 def contract_months(customers: DataFrame, as_of=None, start=None, end=None, tasks: int | None = None) -> DataFrame:
@@ -109,28 +121,36 @@ def storage_layout(customers: DataFrame, as_of=None, rows_per_file: int = 10_000
     """
     days = days_between(F.col("active_to"), F.col("active_from")) + 1
     by_month = contract_months(customers, as_of).groupBy("activity_month").agg(F.sum(days).alias("rows"))
-    size = by_month.agg(F.max("rows").alias("largest"), F.count(F.lit(1)).alias("months")).first()
+    size = by_month.agg(
+        F.max("rows").alias("largest"), F.min("activity_month").alias("first"), F.max("activity_month").alias("last")
+    ).first()
     files = max(1, -(-(size.largest or 0) // rows_per_file))
-    return files, max(size.months * files, 2 * customers.sparkSession.sparkContext.defaultParallelism)
+    return files, files * (_month_number(size.last) - _month_number(size.first) + 1) if size.largest else 1
+
+
+def _month_number(text: str) -> int:
+    return int(text[:4]) * 12 + int(text[5:7])
 
 
 def activity_for_storage(customers: DataFrame, as_of=None, files_per_month: int = 1, tasks: int = 1) -> DataFrame:
     """The mart laid out for a write partitioned by month; ``storage_layout`` gives the two numbers.
 
     Rows are moved while they are still contract months, then expanded inside the writing tasks: the shuffle
-    carries a thirtieth of the mart.  The contracts of a month are dealt over its files by
-    their whole content, so that no customer or month can fill a task alone.
+    carries a thirtieth of the mart.  Each file of a month is a task of its own: contracts are dealt over a month's
+    files by their whole content, so that no customer or month can fill a task, and no two files meet in one.
     """
     months = contract_months(customers, as_of, tasks=0)
     share = F.pmod(F.xxhash64("user_id", "started_at", "monthly_premium"), F.lit(files_per_month))
-    return expand_days(months.repartition(tasks, F.col("activity_month"), share))
+    number = F.substring("activity_month", 1, 4).cast("int") * 12 + F.substring("activity_month", 6, 2).cast("int")
+    # Months follow one another, so that a number modulo the tasks is a task of its own.
+    return expand_days(months.repartitionById(tasks, F.pmod(number * files_per_month + share, F.lit(tasks)).cast("int")))
 
 
 def activity_summary(mart: DataFrame) -> DataFrame:
     """Summary layer by (activity_date, product_group) for boards that need no customer detail."""
     from .kpis import active_customers
 
-    return active_customers(mart, one_row_per_day=True)
+    return active_customers(mart)
 
 
 def active_on(customers: DataFrame, day, as_of=None) -> DataFrame:
@@ -138,15 +158,32 @@ def active_on(customers: DataFrame, day, as_of=None) -> DataFrame:
     return contract_windows(customers, as_of, day, day).drop("window_start", "window_end")
 
 
+def active_counts_on_dates(customers: DataFrame, dates: DataFrame, as_of=None, date_column: str = "as_of_date") -> DataFrame:
+    """Number of customers active on each day of ``dates`` on which any is, without a row per customer and day.
+
+    Contracts add one on their first day and take it off after their last; the days, merged into the same order, read the
+    running total.  The window sees calendar days, whatever the customers.
+    """
+    days = dates.select(F.col(date_column).cast("date").alias("day")).where(F.col("day").isNotNull()).distinct()
+    change = lambda day, sign: F.struct(day.alias("day"), F.lit(sign).cast("bigint").alias("sign"))
+    changes = contract_windows(customers, as_of).select(
+        F.inline(F.array(change(F.col("window_start"), 1), change(F.date_add("window_end", 1), -1)))
+    )
+    merged = changes.groupBy("day").agg(F.sum("sign").alias("sign")).join(days.withColumn("asked", F.lit(True)), "day", "full")
+    running = F.sum(F.coalesce("sign", F.lit(0))).over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = merged.select(F.col("day").alias(date_column), "asked", running.alias("active_customers"))
+    return counted.where(F.col("asked") & (F.col("active_customers") > 0)).drop("asked")
+
+
 def active_on_dates(customers: DataFrame, dates: DataFrame, as_of=None, date_column: str = "as_of_date") -> DataFrame:
     """Customers active on each of many days: the range join, as an equi-join on the month.
 
-    Contracts are bucketed by month, then filtered to the days inside the window.  The distinct days are
+    Contracts are bucketed by month, in as many tasks as their months need, then filtered to the days inside the window.  The distinct days are
     broadcast: a calendar bounds them (36,525 days in a century, about 16 bytes each), whatever the data.
     """
     days = dates.select(F.col(date_column).cast("date").alias(date_column)).where(F.col(date_column).isNotNull())
     days = days.distinct().withColumn("_month", F.trunc(F.col(date_column), "month"))
-    windows = contract_windows(customers, as_of).withColumn(
+    windows = spread(contract_windows(customers, as_of)).withColumn(
         "_month", F.explode(month_series(F.col("window_start"), F.col("window_end")))
     )
     return (

@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import SNAPSHOT_COLUMNS
+from ..session import staged
 
 VALIDITY_COLUMNS = ["valid_from", "valid_to", "updated_at", "version_id"]
 CHECK_COLUMNS = ["status", "premium_amount"]
+#: Value of a stored history's ``snapshot_run`` for versions that are still open.
+OPEN_RUN = "open"
 
 
 def snapshot_input(silver: DataFrame) -> DataFrame:
@@ -18,12 +21,16 @@ def snapshot_input(silver: DataFrame) -> DataFrame:
     return silver.select(*[c for c in SNAPSHOT_COLUMNS if c in silver.columns])
 
 
+def history_run(moment: Column) -> Column:
+    """Name of the run that closes versions at ``moment``; sorts as the moments do."""
+    return F.date_format(moment.cast("timestamp_ntz"), "yyyyMMdd'T'HHmmssSSS")
+
+
 def _version_id(key: Column, as_of: Column) -> Column:
     return F.md5(F.concat_ws("|", F.coalesce(key.cast("string"), F.lit("")), as_of.cast("string")))
 
 
-def initial_history(current: DataFrame, as_of, key: str = "transaction_id") -> DataFrame:
-    """First snapshot: every row opens a version."""
+def _opened(current: DataFrame, as_of, key: str) -> DataFrame:
     at = F.lit(as_of).cast("timestamp_ntz")
     return current.select(
         "*",
@@ -34,6 +41,68 @@ def initial_history(current: DataFrame, as_of, key: str = "transaction_id") -> D
     )
 
 
+def initial_history(current: DataFrame, as_of, key: str = "transaction_id") -> DataFrame:
+    """First snapshot: every row opens a version."""
+    return _opened(current, as_of, key)
+
+
+def require_later(open_versions: DataFrame, as_of) -> None:
+    """Raises when a snapshot would be taken before the latest one."""
+    at = F.lit(as_of).cast("timestamp_ntz")
+    late = open_versions.where(F.col("valid_from") > at).agg(F.max("valid_from")).first()[0]
+    if late is not None:
+        raise ValueError(f"the history already holds a snapshot of {late}, after {as_of}")
+
+
+def moved_keys(
+    open_versions: DataFrame,
+    current: DataFrame,
+    key: str = "transaction_id",
+    check_cols: Sequence[str] = CHECK_COLUMNS,
+    invalidate_hard_deletes: bool = True,
+) -> DataFrame:
+    """Keys whose version closes or opens: ``key``, ``_close``, ``_open``.
+
+    The join sees keys and checked columns only, so the scans read no others.  Keys must be unique on both sides; null keys
+    never match and are left out here (they would all meet in one task).
+    """
+    side = lambda df, name: df.where(F.col(key).isNotNull()).select(key, F.struct(*check_cols).alias(name))
+    both = side(open_versions, "_old").join(side(current, "_new"), key, "full")
+    old, new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    same = F.lit(True)
+    for c in check_cols:
+        same = same & F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}"))
+    close = old & F.when(new, ~same).otherwise(F.lit(invalidate_hard_deletes))
+    opened = new & F.when(old, ~same).otherwise(F.lit(True))
+    return both.select(key, close.alias("_close"), opened.alias("_open")).where(F.col("_close") | F.col("_open"))
+
+
+def step_from(
+    open_versions: DataFrame,
+    current: DataFrame,
+    moved: DataFrame,
+    as_of,
+    key: str = "transaction_id",
+    check_cols: Sequence[str] = CHECK_COLUMNS,
+    invalidate_hard_deletes: bool = True,
+) -> DataFrame:
+    """Open versions after a snapshot and the versions it closed, given the keys that move.
+
+    Each side is read once and matched with the moved keys.  Rows without a key close and reopen with each run.
+    A closed version keeps its ``updated_at``, the time its record was taken.
+    """
+    at = F.lit(as_of).cast("timestamp_ntz")
+    keyless = F.col(key).isNull()
+    held = open_versions.columns
+    old = open_versions.join(moved.where("_close").select(key, F.lit(True).alias("_gone")), key, "left")
+    gone = F.col("_gone") | (keyless & F.lit(invalidate_hard_deletes))
+    ended = F.when(F.col("valid_from") > at, F.raise_error(F.lit("a snapshot may not be earlier than the history"))).otherwise(at)
+    old = old.withColumn("valid_to", F.when(gone, ended).otherwise(F.col("valid_to"))).select(*held)
+    new = current.join(moved.where("_open").select(key, F.lit(True).alias("_opened")), key, "left")
+    new = new.where(F.col("_opened") | keyless).select(*current.columns)
+    return old.unionByName(_opened(new, as_of, key))
+
+
 def scd2_step(
     open_versions: DataFrame,
     current: DataFrame,
@@ -44,51 +113,10 @@ def scd2_step(
 ) -> DataFrame:
     """Open versions after one snapshot, together with the versions it closed.
 
-    One full outer join on the key, whose rows fan out into what is kept, closed and opened, so
-    neither side is read twice.  Keys must be unique on both sides.  A null key never matches, as in SQL: such rows
-    pass by the join (they would all meet in one task there) and are closed and reopened by each run.
+    The keys that move are written to the shared folder once; as Spark then knows their size, few of them are broadcast.
     """
-    at = F.lit(as_of).cast("timestamp_ntz")
-    fields = current.columns
-
-    def row(side: str, valid_from: Column, valid_to: Column, updated: Column, version: Column) -> Column:
-        return F.struct(
-            *[F.col(f"{side}.{c}").alias(c) for c in fields],
-            valid_from.alias("valid_from"),
-            valid_to.alias("valid_to"),
-            updated.alias("updated_at"),
-            version.alias("version_id"),
-        )
-
-    def opened() -> Column:
-        return row("new", at, F.lit(None).cast("timestamp_ntz"), at, _version_id(F.col(f"new.{key}"), at))
-
-    def closed() -> Column:
-        return row("old", F.col("old.valid_from"), at, at, F.col("old.version_id"))
-
-    def kept() -> Column:
-        return row(
-            "old", F.col("old.valid_from"), F.col("old.valid_to"), F.col("old.updated_at"), F.col("old.version_id")
-        )
-
-    old = open_versions.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), F.struct("*").alias("old"))
-    new = current.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), F.struct("*").alias("new"))
-    same = F.lit(True)
-    for c in check_cols:
-        same = same & F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}"))
-    gone = F.array(closed()) if invalidate_hard_deletes else F.array(kept())
-    versions = (
-        F.when(F.col("new").isNull(), gone)
-        .when(F.col("old").isNull(), F.array(opened()))
-        .when(same, F.array(kept()))
-        .otherwise(F.array(closed(), opened()))
-    )
-    matched = old.join(new, "_k", "full").select(F.inline(versions))
-    keyless_old = open_versions.where(F.col(key).isNull()).select(F.struct("*").alias("old")).select(F.inline(gone))
-    keyless_new = current.where(F.col(key).isNull()).select(F.struct("*").alias("new")).select(
-        F.inline(F.array(opened()))
-    )
-    return matched.unionByName(keyless_old).unionByName(keyless_new)
+    options = (key, check_cols, invalidate_hard_deletes)
+    return step_from(open_versions, current, staged(moved_keys(open_versions, current, *options)), as_of, *options)
 
 
 def scd2_merge(
@@ -107,11 +135,16 @@ def scd2_merge(
 
 
 def as_of_read(history: DataFrame, moment) -> DataFrame:
-    """The rows as they stood at ``moment``."""
+    """The rows as they stood at ``moment``; of a stored history, open versions and later runs are read only."""
     at = F.lit(moment).cast("timestamp_ntz")
+    if "snapshot_run" in history.columns:
+        run = F.col("snapshot_run")
+        history = history.where((run == OPEN_RUN) | (run >= history_run(F.lit(moment))))
     return history.where((F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (F.col("valid_to") > at)))
 
 
 def current_read(history: DataFrame) -> DataFrame:
     """The open versions."""
+    if "snapshot_run" in history.columns:
+        history = history.where(F.col("snapshot_run") == OPEN_RUN)
     return history.where(F.col("valid_to").isNull())

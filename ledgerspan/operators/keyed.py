@@ -1,10 +1,9 @@
 """Keyed replacement: delete+insert, retroactive contract changes, schema sync.
 
 Everything here is a join on the keys, written as anti-joins so that duplicates in the batch do not
-multiply rows and null keys never match.  The target is the large side.  Left alone, adaptive execution
-shuffles it before it learns that the changed keys are few; ``broadcast_rows`` counts the keys first (one
-small job) and broadcasts them up to that number, so that the target stays where it is.
-Beyond the number the join shuffles, and adaptive execution splits skewed partitions.
+multiply rows and null keys never match.  The target is the large side.  Pass keys that were written to a table
+(``session.staged``): Spark then knows their size and broadcasts few of them, so that the target stays where it
+is; many are shuffled, and adaptive execution splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -17,19 +16,6 @@ from pyspark.sql import functions as F
 from ..functions import exact_sum, round_half_away
 from .activity import customer_activity_daily
 
-# Keys and an end date take well under 100 bytes each: about 50 MB at this number.
-BROADCAST_ROWS = 500_000
-
-
-def few(keys: DataFrame, broadcast_rows: int | None) -> bool:
-    """Whether ``keys`` holds at most ``broadcast_rows`` rows; counts them."""
-    return bool(broadcast_rows) and keys.count() <= broadcast_rows
-
-
-def checked_broadcast(keys: DataFrame, broadcast_rows: int | None) -> DataFrame:
-    """``keys``, marked for broadcast when they were counted and are few."""
-    return F.broadcast(keys) if few(keys, broadcast_rows) else keys
-
 
 def sync_columns(target: DataFrame, batch: DataFrame) -> DataFrame:
     """``target`` in the layout of ``batch``: new columns added as null, missing ones removed."""
@@ -47,11 +33,14 @@ def delete_insert(
     batch: DataFrame,
     keys: Sequence[str],
     sync: bool = True,
-    broadcast_rows: int | None = None,
+    replaced: DataFrame | None = None,
 ) -> DataFrame:
-    """Removes target rows whose key occurs in the batch, then adds the batch."""
+    """Removes target rows whose key occurs in the batch, then adds the batch.
+
+    ``replaced`` holds the batch's keys where they are at hand already.
+    """
     keys = list(keys)
-    replaced = checked_broadcast(batch.select(*keys).distinct(), broadcast_rows)
+    replaced = batch.select(*keys).distinct() if replaced is None else replaced
     kept = target.join(replaced, keys, "left_anti").select(*target.columns)
     return (sync_columns(kept, batch) if sync else kept).unionByName(batch)
 
@@ -61,10 +50,9 @@ def truncate_entities_after(
     changes: DataFrame,
     key: str = "user_id",
     new_end: str = "new_end",
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Removes each changed entity's rows after its new end date."""
-    cut = checked_broadcast(changes.select(F.col(key).alias("_key"), F.col(new_end).alias("_end")), broadcast_rows)
+    cut = changes.select(F.col(key).alias("_key"), F.col(new_end).alias("_end"))
     later = (F.col(key) == F.col("_key")) & (F.col("activity_date") > F.col("_end"))
     return mart.join(cut, later, "left_anti")
 
@@ -74,13 +62,12 @@ def replace_entities(
     rebuilt: DataFrame,
     changed_ids: DataFrame,
     key: str = "user_id",
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Replaces all rows of the changed entities by their rebuilt ones.
 
     Unlike ``delete_insert`` on (entity, day), this also removes the days a shortened window no longer covers.
     """
-    ids = checked_broadcast(changed_ids.select(key).distinct(), broadcast_rows)
+    ids = changed_ids.select(key).distinct()
     kept = target.join(ids, key, "left_anti").select(*target.columns)
     return sync_columns(kept, rebuilt).unionByName(rebuilt)
 
@@ -106,12 +93,12 @@ def apply_contract_changes(
 
 
 def retroactive_churn(
-    mart: DataFrame, customers: DataFrame, changes: DataFrame, as_of=None, broadcast_rows: int | None = None
+    mart: DataFrame, customers: DataFrame, changes: DataFrame, as_of=None
 ) -> DataFrame:
     """The mart after retroactive end dates: changed customers rebuilt, all others untouched."""
     ids = changes.select("user_id").distinct()
     changed = apply_contract_changes(customers.join(ids, "user_id", "left_semi"), changes)
-    return replace_entities(mart, customer_activity_daily(changed, as_of), ids, broadcast_rows=broadcast_rows)
+    return replace_entities(mart, customer_activity_daily(changed, as_of), ids)
 
 
 def correction_impact(before: DataFrame, after: DataFrame, key: str = "user_id") -> DataFrame:

@@ -4,18 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exact_sum, round_half_away
 from ..schemas import PARTIES, STATUSES
 
+#: Report columns for values outside a fixed list, and for none.
+OTHER, UNKNOWN = "other", "unknown"
+
+
+def column_of(value: Column, known: Sequence[str]) -> Column:
+    """The report column a value belongs to: itself, ``other`` for values outside the known ones, ``unknown`` for none."""
+    return F.when(value.isNull(), UNKNOWN).when(value.isin(list(known)), value).otherwise(OTHER)
+
 
 def written_pivot(monthly: DataFrame, parties: Sequence[str] = PARTIES) -> DataFrame:
-    """Written premium, one row per month and one column per party; 0 where a party has none."""
-    parties = list(parties)
-    wide = monthly.groupBy("month").pivot("party", parties).agg(F.max("written_premium"))
-    return wide.fillna(0.0, parties)
+    """Written premium, one row per month and one column per party; 0 where a party has none.
+
+    Parties outside the list are summed in ``other``, rows without a party in ``unknown``, so that columns add up to the month.
+    """
+    columns = [*parties, OTHER, UNKNOWN]
+    rows = monthly.select("month", column_of(F.col("party"), parties).alias("party"), "written_premium")
+    wide = rows.groupBy("month").pivot("party", columns).agg(exact_sum(F.col("written_premium"), 2))
+    return wide.fillna(0.0, columns)
 
 
 def written_vs_earned(monthly: DataFrame) -> DataFrame:
@@ -46,14 +58,32 @@ def in_order(df: DataFrame, *columns: str) -> DataFrame:
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in columns])
 
 
+def numbered(df: DataFrame, *columns: str, descending: bool = False) -> DataFrame:
+    """Rows of a report with their place in presentation order, ties by the remaining columns, so that it can be stored.
+
+    For reports that fit one task: the numbering looks at all rows.
+    """
+    order = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c in columns]
+    rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in columns]
+    return df.withColumn("row_number", F.row_number().over(Window.orderBy(*order, *rest)))
+
+
 def delta_series(reconciliation: DataFrame) -> DataFrame:
     """Deltas with their status in party and month order."""
     return in_order(reconciliation.select("party", "month", "delta", "reconciliation_status"), "party", "month")
 
 
 def status_matrix(reconciliation: DataFrame, parties: Sequence[str] = PARTIES) -> DataFrame:
-    """Reconciliation status, one row per month and one column per party."""
-    return reconciliation.groupBy("month").pivot("party", list(parties)).agg(F.max("reconciliation_status"))
+    """Reconciliation status, one row per month and one column per party.
+
+    ``other`` and ``unknown`` show the worst status among parties outside the list and rows without a party.
+    """
+    worst_first = {s: i for i, s in enumerate(["DISCREPANCY", "NEAR_MATCH", "MATCH"])}
+    status = F.col("reconciliation_status")
+    rank = F.coalesce(*[F.when(status == s, i) for s, i in worst_first.items()])
+    rows = reconciliation.select("month", column_of(F.col("party"), parties).alias("party"), rank.alias("_rank"), "reconciliation_status")
+    wide = rows.groupBy("month").pivot("party", [*parties, OTHER, UNKNOWN])
+    return wide.agg(F.min_by("reconciliation_status", "_rank"))
 
 
 def status_totals(reconciliation: DataFrame) -> DataFrame:
@@ -61,24 +91,39 @@ def status_totals(reconciliation: DataFrame) -> DataFrame:
     return reconciliation.groupBy("reconciliation_status").agg(F.count(F.lit(1)).alias("party_months"))
 
 
-def _by_status(silver: DataFrame, statuses: Sequence[str]):
-    known = silver.where(F.col("_is_clean") & F.col("status").isin(list(statuses)))
-    return known.groupBy("party", F.col("transaction_month").alias("month"))
+def _clean_by_status(silver: DataFrame, statuses: Sequence[str]):
+    return silver.where(F.col("_is_clean")).select(
+        "party",
+        F.col("transaction_month").alias("month"),
+        "premium_amount",
+        column_of(F.col("status"), statuses).alias("_status"),
+    )
 
 
 def status_counts(silver: DataFrame, statuses: Sequence[str] = STATUSES) -> DataFrame:
-    """Clean transactions by party and month, one column per status, and their total."""
-    return _by_status(silver, statuses).agg(
-        *[F.count_if(F.col("status") == s).alias(s) for s in statuses], F.count(F.lit(1)).alias("total")
+    """Clean transactions by party and month, one column per status, and their total.
+
+    Statuses outside the list count in ``other``, missing ones in ``unknown``: the columns add up to the total of all clean rows.
+    """
+    columns = [*statuses, OTHER, UNKNOWN]
+    return (
+        _clean_by_status(silver, statuses)
+        .groupBy("party", "month")
+        .agg(*[F.count_if(F.col("_status") == s).alias(s) for s in columns], F.count(F.lit(1)).alias("total"))
     )
 
 
 def status_amounts(silver: DataFrame, statuses: Sequence[str] = STATUSES) -> DataFrame:
-    """Clean premium amounts by party and month, one column per status; 0 where there are none."""
-    status = F.col("status")
-    amounts = silver.withColumns({f"_{s}": F.when(status == s, F.col("premium_amount")) for s in statuses})
-    return _by_status(amounts, statuses).agg(
-        *[F.coalesce(exact_sum(F.col(f"_{s}"), 2), F.lit(0.0)).alias(s) for s in statuses]
+    """Clean premium amounts by party and month, one column per status; 0 where there are none.
+
+    ``other`` and ``unknown`` as in ``status_counts``.
+    """
+    columns = [*statuses, OTHER, UNKNOWN]
+    rows = _clean_by_status(silver, statuses).select(
+        "party", "month", *[F.when(F.col("_status") == s, F.col("premium_amount")).alias(f"_{s}") for s in columns]
+    )
+    return rows.groupBy("party", "month").agg(
+        *[F.coalesce(exact_sum(F.col(f"_{s}"), 2), F.lit(0.0)).alias(s) for s in columns]
     )
 
 

@@ -1,92 +1,174 @@
 """Keyed operators applied to stored, partitioned tables.
 
-Plain Parquet tables have neither DELETE nor MERGE, so a change rewrites the partitions it touches and no
-others (dynamic partition overwrite).  The new files replace the old ones when the whole job
-commits; a lost executor only repeats its tasks, and running an operation again gives the same table.
+Plain Parquet tables have neither DELETE nor MERGE, so a change writes the partitions it touches anew, and no others,
+into a version folder beside the old files.  When all of it is written, the partitions are pointed to the
+new folder, one catalog statement each, and then the old files are deleted.  A job that fails before leaves the
+table as it was.  A driver lost between two statements leaves some partitions new and some old, each whole;
+running the operation again completes it, as every operation here gives the same table when repeated.
+Folders that such a loss leaves behind are found by ``unreferenced_versions``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+import uuid
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import with_lineage, write_table
+from ..session import delete_folder, list_folder, staged
+from ..sources.tables import with_lineage
 from .activity import activity_for_storage, activity_summary, storage_layout
-from .history import VALIDITY_COLUMNS, initial_history, scd2_step
-from .keyed import BROADCAST_ROWS, delete_insert, few, replace_entities
+from .history import OPEN_RUN, VALIDITY_COLUMNS, history_run, initial_history, moved_keys, require_later, step_from
+from .keyed import delete_insert, replace_entities, sync_columns
 
-OPEN_RUN = "open"
+Partition = tuple[str, ...]
+#: Buckets of a history's open versions; a snapshot rewrites those it changes.
+BUCKETS = 64
 
 
 def create_activity_mart(customers: DataFrame, table: str, as_of=None, rows_per_file: int = 10_000_000) -> None:
     """First run: the mart partitioned by month, in files of about ``rows_per_file`` rows."""
     files, tasks = storage_layout(customers, as_of, rows_per_file)
     rows = with_lineage(activity_for_storage(customers, as_of, files, tasks), "_loaded_at")
-    rows.write.mode("overwrite").format("parquet").partitionBy("activity_month").saveAsTable(table)
+    create_partitioned(rows, table, ["activity_month"])
 
 
-def _partitions(rows: DataFrame, column: str) -> set[str]:
+def create_partitioned(rows: DataFrame, table: str, partition_by: Sequence[str]) -> None:
+    """Stores a partitioned table in a folder of its own below its database, where partitions can be moved."""
+    spark = rows.sparkSession
+    database, _, name = table.rpartition(".")
+    root = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    rows.write.mode("overwrite").format("parquet").partitionBy(*partition_by).option("path", path).saveAsTable(table)
+
+
+def _described(spark: SparkSession, table: str, partition: str = "") -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {partition}").collect()
+    return {r[0]: r[1] for r in reversed(rows)}  # the first of equal names wins: a partition's before its table's
+
+
+def _spec(columns: Sequence[str], values: Partition) -> str:
+    bad = [v for v in values if not re.fullmatch(r"[\w.-]+", v)]
+    if bad:
+        raise ValueError(f"partition values must be plain words: {bad}")
+    return "PARTITION (" + ", ".join(f"{c} = '{v}'" for c, v in zip(columns, values, strict=True)) + ")"
+
+
+def _existing(spark: SparkSession, table: str) -> set[Partition]:
+    rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    return {tuple(part.split("=", 1)[1] for part in r[0].split("/")) for r in rows}
+
+
+def _partitions(rows: DataFrame, column: str) -> set[Partition]:
     """Distinct partition values; as many as the table has partitions, so they fit the driver."""
-    return {r[0] for r in rows.select(column).distinct().collect()}
+    return {(str(r[0]),) for r in rows.select(column).distinct().collect()}
 
 
-def _overwrite_partitions(spark: SparkSession, table: str, rows: DataFrame, column: str) -> set[str]:
-    """Overwrites the partitions found in ``rows`` and returns their values."""
+def _write_version(spark: SparkSession, table: str, rows: DataFrame, columns: Sequence[str]) -> tuple[str, set[Partition]]:
+    """Writes the rows to a new version folder; returns it and the partitions found in them."""
+    folder = f"{_described(spark, table)['Location'].rstrip('/')}/_version-{uuid.uuid4().hex}"
     written = Observation()
-    out = rows.select(*spark.table(table).columns).observe(written, F.collect_set(column).alias("partitions"))
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out.write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
-    return set(written.get["partitions"] or [])
+    found = F.collect_set(F.struct(*[F.col(c).cast("string") for c in columns]))
+    rows.observe(written, found.alias("partitions")).write.partitionBy(*columns).parquet(folder)
+    return folder, {tuple(r) for r in written.get["partitions"] or []}
 
 
-def _drop_partitions(spark: SparkSession, table: str, column: str, values: set[str]) -> None:
-    for value in sorted(values):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = '{value}')")
+def _switch(spark: SparkSession, table: str, folder: str, columns: Sequence[str], written: set[Partition], emptied: set[Partition]) -> None:
+    """Points the written partitions to the folder and drops the emptied ones; then the old files go."""
+    existing = _existing(spark, table)
+    known = sorted((written | emptied) & existing)
+    old = [_described(spark, table, _spec(columns, p))["Location"] for p in known]
+    for values in sorted(written):
+        path = "/".join([folder, *(f"{c}={v}" for c, v in zip(columns, values))])
+        spec = _spec(columns, values)
+        if values in existing:
+            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{path}'")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{path}'")
+    for values in sorted(emptied & existing):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_spec(columns, values)}")
+    spark.catalog.refreshTable(table)
+    for path in old:
+        delete_folder(spark, path)
+
+
+def _sync_layout(spark: SparkSession, table: str, rows: DataFrame, columns: Sequence[str], drop: bool) -> None:
+    """Adds the columns the rows have and the table hasn't; with ``drop`` also removes those it alone has.
+
+    Partitions that aren't rewritten read null for a new column.  The catalog can't remove a column in place: the
+    table is declared anew over the same partitions and takes the old one's name.
+    """
+    held = spark.table(table).columns
+    new = [f for f in rows.schema.fields if f.name not in held]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+    gone = [c for c in held if c not in rows.columns]
+    if not (gone and drop):
+        return
+    about = _described(spark, table)
+    if about["Type"] != "EXTERNAL":
+        raise ValueError(f"{table} is managed: only tables in a folder of their own can lose columns ({gone})")
+    fields = [f for f in spark.table(table).schema.fields if f.name not in gone]
+    other = f"{table}_{uuid.uuid4().hex}"
+    listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    spark.sql(f"CREATE TABLE {other} ({listed}) USING parquet PARTITIONED BY ({', '.join(columns)}) LOCATION '{about['Location']}'")
+    for values in sorted(_existing(spark, table)):
+        spec = _spec(columns, values)
+        spark.sql(f"ALTER TABLE {other} ADD IF NOT EXISTS {spec} LOCATION '{_described(spark, table, spec)['Location']}'")
+    old = f"{table}_{uuid.uuid4().hex}"
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {other} RENAME TO {table}")
+    spark.sql(f"DROP TABLE {old}")
 
 
 def _rewrite(
-    spark: SparkSession, table: str, result: DataFrame, touched: set[str], partition_by: str
+    spark: SparkSession, table: str, result: DataFrame, touched: set[Partition], columns: Sequence[str], drop_columns: bool = True
 ) -> dict[str, list[str]]:
-    written = _overwrite_partitions(spark, table, result, partition_by) if touched else set()
-    # An overwrite leaves a partition alone when no row is left for it.
+    """Replaces the touched partitions by the rows of ``result``, in its layout."""
+    if not touched:
+        return {"rewritten": [], "dropped": []}
+    folder, written = _write_version(spark, table, result, columns)
+    _sync_layout(spark, table, result, columns, drop_columns)
+    # No row is left for these.
     emptied = touched - written
-    _drop_partitions(spark, table, partition_by, emptied)
-    spark.catalog.refreshTable(table)
-    return {"rewritten": sorted(written), "dropped": sorted(emptied)}
+    _switch(spark, table, folder, columns, written, emptied)
+    text = lambda found: sorted("/".join(p) for p in found)
+    return {"rewritten": text(written), "dropped": text(emptied)}
 
 
-def _by_partition(rows: DataFrame, column: str) -> DataFrame:
+def unreferenced_versions(spark: SparkSession, table: str) -> list[str]:
+    """Version folders that no partition points to, left by a driver that was lost; safe to delete when no write runs."""
+    about = _described(spark, table)
+    columns = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    names = [part.split("=", 1)[0] for part in columns[0][0].split("/")] if columns else []
+    used = {_described(spark, table, _spec(names, p))["Location"] for p in _existing(spark, table)}
+    versions = [f for f in list_folder(spark, about["Location"]) if "/_version-" in f]
+    return [f for f in versions if not any(f"/{f.rsplit('/', 1)[1]}/" in u for u in used)]
+
+
+def _by_partition(rows: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Rows gathered by partition for writing; adaptive execution splits the large ones."""
-    return rows.hint("rebalance", F.col(column))
+    return rows.hint("rebalance", *[F.col(c) for c in columns])
 
 
 def upsert_into_table(
-    spark: SparkSession,
-    table: str,
-    batch: DataFrame,
-    keys: Sequence[str],
-    partition_by: str = "activity_month",
-    broadcast_rows: int | None = BROADCAST_ROWS,
+    spark: SparkSession, table: str, batch: DataFrame, keys: Sequence[str], partition_by: str = "activity_month"
 ) -> dict[str, list[str]]:
-    """``delete_insert`` on a stored table.
+    """``delete_insert`` on a stored table, which takes the batch's layout.
 
     The partition column must follow from the keys (a month from its day), so that only the
-    batch's partitions can hold a match.  While the batch is small enough to broadcast, the rows kept are not
-    shuffled: they are read and written back partition by partition.
+    batch's partitions can hold a match.  Batch and distinct keys are written once, so that Spark knows their size: it broadcasts few
+    keys, and then the rows kept are not shuffled for the match.
     """
+    batch = staged(batch)
     touched = _partitions(batch, partition_by)
-    target = spark.table(table).where(F.col(partition_by).isin(sorted(touched)))
-    if few(batch.select(*keys).distinct(), broadcast_rows):
-        result = delete_insert(target, _by_partition(batch, partition_by), keys, broadcast_rows=broadcast_rows)
-    else:
-        result = _by_partition(delete_insert(target, batch, keys), partition_by)
-    return _rewrite(spark, table, result, touched, partition_by)
+    target = spark.table(table).where(F.col(partition_by).isin(sorted(v for (v,) in touched)))
+    replaced = staged(batch.select(*keys).distinct())
+    return _rewrite(
+        spark, table, _by_partition(delete_insert(target, batch, keys, replaced=replaced), [partition_by]), touched, [partition_by]
+    )
 
 
 def replace_entities_in_table(
@@ -96,38 +178,41 @@ def replace_entities_in_table(
     changed_ids: DataFrame,
     key: str = "user_id",
     partition_by: str = "activity_month",
-    broadcast_rows: int | None = BROADCAST_ROWS,
-    held: DataFrame | None = None,
 ) -> dict[str, list[str]]:
-    """``replace_entities`` on a stored table: rewrites the months the changed entities had or now have.
+    """``replace_entities`` on a stored table: rewrites the partitions the changed entities had or now have.
 
-    ``held`` lists the partitions that may hold old rows of the changed entities, as ``months_touched`` tells from
-    their contracts before the change.  Without it, the keys of the whole table are scanned for them.
+    Which they had is read from the table's own key column, whatever the caller believes.  Rebuilt rows and ids are written once.
     """
+    ids, rebuilt = staged(changed_ids.select(key).distinct()), staged(rebuilt)
     target = spark.table(table)
-    ids = changed_ids.select(key).distinct()
-    small = few(ids, broadcast_rows)
-    if held is None:
-        held = target.join(F.broadcast(ids) if small else ids, key, "left_semi")
-    touched = _partitions(held, partition_by) | _partitions(rebuilt, partition_by)
-    kept = target.where(F.col(partition_by).isin(sorted(touched)))
-    if small:
-        result = replace_entities(kept, _by_partition(rebuilt, partition_by), ids, key, broadcast_rows)
-    else:
-        result = _by_partition(replace_entities(kept, rebuilt, ids, key), partition_by)
-    return _rewrite(spark, table, result, touched, partition_by)
+    touched = _partitions(target.join(ids, key, "left_semi"), partition_by) | _partitions(rebuilt, partition_by)
+    kept = target.where(F.col(partition_by).isin(sorted(v for (v,) in touched)))
+    result = _by_partition(replace_entities(kept, rebuilt, ids, key), [partition_by])
+    return _rewrite(spark, table, result, touched, [partition_by])
+
+
+def truncate_entities_in_table(
+    spark: SparkSession, table: str, changes: DataFrame, key: str = "user_id", new_end: str = "new_end", partition_by: str = "activity_month"
+) -> dict[str, list[str]]:
+    """``truncate_entities_after`` on a stored table: only partitions that hold a day to remove are rewritten."""
+    cut = staged(changes.select(F.col(key).alias("_key"), F.col(new_end).alias("_end")))
+    target = spark.table(table)
+    later = (F.col(key) == F.col("_key")) & (F.col("activity_date") > F.col("_end"))
+    touched = _partitions(target.join(cut, later, "left_semi"), partition_by)
+    kept = target.where(F.col(partition_by).isin(sorted(v for (v,) in touched))).join(cut, later, "left_anti")
+    return _rewrite(spark, table, _by_partition(kept, [partition_by]), touched, [partition_by])
 
 
 def refresh_activity_summary(spark: SparkSession, mart: str, summary: str, months: Sequence[str] | None = None) -> None:
     """Builds the summary table, or renews the given months of it after a correction of the mart."""
     rows = spark.table(mart)
+    if months is not None:
+        rows = rows.where(F.col("activity_month").isin(list(months)))
+    daily = activity_summary(rows).withColumn("activity_month", F.date_format("activity_date", "yyyy-MM"))
     if months is None:
-        daily = activity_summary(rows).withColumn("activity_month", F.date_format("activity_date", "yyyy-MM"))
-        write_table(daily, summary, ["activity_month"])
-        return
-    daily = activity_summary(rows.where(F.col("activity_month").isin(list(months))))
-    daily = daily.withColumn("activity_month", F.date_format("activity_date", "yyyy-MM"))
-    _rewrite(spark, summary, _by_partition(daily, "activity_month"), set(months), "activity_month")
+        create_partitioned(_by_partition(daily, ["activity_month"]), summary, ["activity_month"])
+    else:
+        _rewrite(spark, summary, _by_partition(daily, ["activity_month"]), {(m,) for m in months}, ["activity_month"])
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
@@ -140,26 +225,48 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
 
 
 def snapshot_table(
-    spark: SparkSession, table: str, current: DataFrame, as_of, key: str = "transaction_id", **options
+    spark: SparkSession, table: str, current: DataFrame, as_of, key: str = "transaction_id", buckets: int = BUCKETS, **options
 ) -> None:
     """Takes one snapshot into a history table.
 
-    The table is partitioned by ``snapshot_run``: open versions in one partition, closed ones in the
-    partition of the run that closed them.  A run reads and rewrites the open versions only and
-    adds its own partition of closed ones, so its cost does not grow with the age of the history.
+    The table is partitioned by ``snapshot_run``, ``open`` or the run that closed a version, and the open versions also by
+    a hash of their key.  A run compares keys and checked columns, then reads and rewrites the buckets of open versions that
+    change and adds its own partition of closed ones, so its cost follows the changes and not the age of the history.
+    Columns that the source gains are added; those it loses stay and are null in new versions.  A snapshot earlier than
+    the latest one raises.
     """
     require_unique(current, [key])
+    columns = ["snapshot_run", "key_bucket"]
+    bucket = F.pmod(F.xxhash64(key), buckets).cast("int").alias("key_bucket")
+    run, opened = history_run(F.lit(as_of)), F.lit(OPEN_RUN)
     if not spark.catalog.tableExists(table):
-        first = initial_history(current, as_of, key).withColumn("snapshot_run", F.lit(OPEN_RUN))
-        write_table(first, table, ["snapshot_run"])
+        first = initial_history(current, as_of, key).select("*", opened.alias("snapshot_run"), bucket)
+        create_partitioned(_by_partition(first, columns), table, columns)
         return
     history = spark.table(table)
-    opened = history.where(F.col("snapshot_run") == OPEN_RUN).drop("snapshot_run")
-    fields = [c for c in opened.columns if c not in VALIDITY_COLUMNS]
-    run = F.date_format(F.lit(as_of).cast("timestamp_ntz"), "yyyyMMdd'T'HHmmssSSS")
-    step = scd2_step(opened, current.select(*fields), as_of, key, **options)
-    # The join's tasks, sized by the data, write two partitions at most each: no further shuffle.
-    step = step.withColumn("snapshot_run", F.when(F.col("valid_to").isNull(), OPEN_RUN).otherwise(run))
+    live = history.where(F.col("snapshot_run") == OPEN_RUN)
+    require_later(live, as_of)
+    fields = [c for c in history.columns if c not in (*VALIDITY_COLUMNS, *columns)]
+    fields += [c for c in current.columns if c not in fields]
+    held = {f.name: f.dataType for f in [*history.schema.fields, *current.schema.fields]}
+    current = current.select(*[c if c in current.columns else F.lit(None).cast(held[c]).alias(c) for c in fields])
+    old = live.select(*[F.col(c) if c in live.columns else F.lit(None).cast(held[c]).alias(c) for c in fields], *VALIDITY_COLUMNS, "key_bucket")
+    moved = staged(moved_keys(old, current, key, **options).select("*", bucket))
+    keyless = old.where(F.col(key).isNull()).limit(1).count() + current.where(F.col(key).isNull()).limit(1).count()
+    touched = {r[0] for r in moved.select("key_bucket").distinct().collect()}
+    if keyless:
+        touched.add(spark.range(1).select(F.pmod(F.xxhash64(F.lit(None).cast(held[key])), buckets)).first()[0])
+    if not touched:
+        return
+    some = F.col("key_bucket").isin(sorted(touched))
+    step = step_from(old.where(some).drop("key_bucket"), current.where(F.pmod(F.xxhash64(key), buckets).isin(sorted(touched))), moved, as_of, key, **options)
+    closed = F.col("valid_to").isNotNull()
+    step = step.select(
+        "*", F.when(closed, run).otherwise(opened).alias("snapshot_run"), F.when(closed, 0).otherwise(F.pmod(F.xxhash64(key), buckets)).cast("int").alias("key_bucket")
+    )
+    step = staged(step)
     # Versions an earlier run of the same moment closed stay in its partition.
-    closed = history.where(F.col("snapshot_run") == run)
-    _rewrite(spark, table, step.unionByName(closed), {OPEN_RUN}, "snapshot_run")
+    name = spark.range(1).select(run).first()[0]
+    before = history.where((F.col("snapshot_run") == name)).join(step.where(closed).select("version_id"), "version_id", "left_anti")
+    result = step.unionByName(sync_columns(before, step))
+    _rewrite(spark, table, _by_partition(result, columns), {(OPEN_RUN, str(b)) for b in touched}, columns, drop_columns=False)

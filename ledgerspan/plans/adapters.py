@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw text rows from ``orders``, with a share of bad timestamps, amounts and parties."""
+    """Raw text rows from ``orders``, with a share of bad timestamps and amounts, and of unknown or missing parties and statuses."""
     key, at = F.col("o_orderkey"), F.col("at")
     text = F.concat(
         F.month(at), F.lit("/"), F.dayofmonth(at), F.lit("/"), F.year(at), F.lit(" "),
@@ -41,8 +41,10 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(amount)
         .alias("premium_amount"),
         F.lit("EUR").alias("premium_currency"),
-        F.when(key % 109 != 0, party).alias("charged_party"),
-        F.when(key % 11 == 0, "failed")
+        F.when(key % 113 == 0, "newpartner").when(key % 109 != 0, party).alias("charged_party"),
+        F.when(key % 127 == 0, "chargeback")
+        .when(key % 131 == 0, F.lit(None))
+        .when(key % 11 == 0, "failed")
         .when(F.col("o_orderstatus") == "F", "processed")
         .when(F.col("o_orderstatus") == "O", "process")
         .when(F.col("o_orderstatus") == "P", "refunded")
@@ -126,6 +128,12 @@ def contract_changes(contracts: DataFrame) -> DataFrame:
     )
 
 
+def silver_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver with fixed load times, as the history takes it."""
+    at = F.lit("2001-08-01 01:00:00").cast("timestamp_ntz")
+    return silver(spark, sf_dir).withColumns({"_bronze_ingested_at": at, "_silver_transformed_at": at})
+
+
 def silver_next(rows: DataFrame, with_deletes: bool = True) -> DataFrame:
     """A later state of the transactions: some refunded, some repriced, some gone."""
     key = F.col("transaction_id").cast("bigint")
@@ -134,6 +142,7 @@ def silver_next(rows: DataFrame, with_deletes: bool = True) -> DataFrame:
             "status": F.when(key % 13 == 0, "refunded").otherwise(F.col("status")),
             "status_raw": F.when(key % 13 == 0, "refunded").otherwise(F.col("status_raw")),
             "premium_amount": F.when(key % 17 == 0, F.col("premium_amount") + 1).otherwise(F.col("premium_amount")),
+            "_silver_transformed_at": F.lit("2001-08-02 01:00:00").cast("timestamp_ntz"),
         }
     )
     return later.where(key % 19 != 0) if with_deletes else later

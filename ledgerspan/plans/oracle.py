@@ -21,13 +21,16 @@ RAW = """raw as (
               else cast(cast(o_totalprice as decimal(18,2)) as varchar)
          end as premium_amount,
          'EUR' as premium_currency,
-         case when o_orderkey % 109 = 0 then null
+         case when o_orderkey % 113 = 0 then 'newpartner'
+              when o_orderkey % 109 = 0 then null
               when o_custkey % 4 = 0 then 'berlinre'
               when o_custkey % 4 = 1 then 'dronant'
               when o_custkey % 4 = 2 then 'getland'
               else 'liadigital'
          end as charged_party,
-         case when o_orderkey % 11 = 0 then 'failed'
+         case when o_orderkey % 127 = 0 then 'chargeback'
+              when o_orderkey % 131 = 0 then null
+              when o_orderkey % 11 = 0 then 'failed'
               when o_orderstatus = 'F' then 'processed'
               when o_orderstatus = 'O' then 'process'
               when o_orderstatus = 'P' then 'refunded'
@@ -190,16 +193,16 @@ changed as materialized (select * from updated where user_id in (select user_id
 REBUILT = mart("changed", "rebuilt")
 
 HISTORY = """states as (
-  select transaction_id, transaction_month, premium_amount, party, status, status_raw, _is_clean,
-         cast(transaction_id as bigint) as k
+  select transaction_id, transaction_date, transaction_month, premium_amount, premium_currency, party, status, status_raw,
+         _status_normalized, _dq_flags, _is_clean, timestamp '2001-08-01 01:00:00' as _bronze_ingested_at,
+         timestamp '2001-08-01 01:00:00' as _silver_transformed_at, cast(transaction_id as bigint) as k
   from silver),
 later as (
-  select transaction_id, transaction_month,
+  select * replace (
          case when k % 17 = 0 then premium_amount + 1 else premium_amount end as premium_amount,
-         party,
          case when k % 13 = 0 then 'refunded' else status end as status,
          case when k % 13 = 0 then 'refunded' else status_raw end as status_raw,
-         _is_clean, k
+         timestamp '2001-08-02 01:00:00' as _silver_transformed_at)
   from states),
 moved as (
   select s.k, s.k % 19 = 0 as gone,
@@ -214,8 +217,7 @@ versions as (
   union all
   select l.*, timestamp '2001-08-03', null from later l join moved m on m.k = l.k where gone),
 history as (
-  select transaction_id, transaction_month, premium_amount, party, status, status_raw, _is_clean,
-         valid_from, valid_to, coalesce(valid_to, valid_from) as updated_at,
+  select * exclude (k), valid_from as updated_at,
          md5(transaction_id || '|' || cast(valid_from as varchar)) as version_id
   from versions)"""
 
@@ -258,6 +260,11 @@ BY_MONTH = """select activity_month, count(*) as mart_rows, count(*) filter (chu
        cast(sum(days_since_acquisition) as bigint) as customer_days
 from {source} group by activity_month"""
 
+UPSERTED = BY_MONTH.format(
+    source="""(select m.* from mart m
+      where not exists (select 1 from rebuilt r where r.user_id = m.user_id and r.activity_date = m.activity_date)
+      union all select * from rebuilt)"""
+)
 REPLACED = BY_MONTH.format(
     source="""(select * from mart where user_id not in (select user_id from changes)
       union all select * from rebuilt)"""
@@ -306,8 +313,8 @@ CHECKS: list[tuple] = (
         ),
         ("reconciliation", "recon", "unique_combination", "party,month", "error", None),
     ]
-    + _null_checks("activity", "slice", "activity_date user_id product_group daily_premium")
-    + [("activity", "slice", "unique_combination", "user_id,activity_date", "error", None)]
+    + _null_checks("activity", "mart", "activity_date user_id product_group daily_premium")
+    + [("activity", "mart", "unique_combination", "user_id,activity_date", "error", None)]
 )
 
 
@@ -326,20 +333,36 @@ def _check_sql(name, table, check, columns, severity, values) -> str:
     )
 
 
-def _grid(value: str, source: str, missing: str) -> str:
-    cells = ", ".join(
-        f"coalesce(max({value}) filter (party = '{p}'), {missing}) as {p}" for p in PARTY_SET
-    )
-    return f"select month, {cells} from {source} group by month"
+GROUPED = "case when {c} is null then 'unknown' when {c} in ({known}) then {c} else 'other' end"
+
+
+def _bucket(column: str, known: list[str]) -> str:
+    return GROUPED.format(c=column, known=", ".join(f"'{v}'" for v in known))
+
+
+def _grid(cell: str, source: str) -> str:
+    """One column a party, and those of all others and of none."""
+    cells = ", ".join(cell.format(p=p) + f" as {p}" for p in [*PARTY_SET, "other", "unknown"])
+    return f"select month, {cells} from (select *, {_bucket('party', PARTY_SET)} as g from {source}) group by month"
+
+
+WORST = """case min(case reconciliation_status when 'DISCREPANCY' then 0 when 'NEAR_MATCH' then 1 else 2 end) filter (g = '{p}')
+  when 0 then 'DISCREPANCY' when 1 then 'NEAR_MATCH' when 2 then 'MATCH' end"""
 
 
 def _per_status(cell: str) -> str:
-    return ", ".join(cell.format(s=s) for s in ("processed", "failed", "refunded"))
+    return ", ".join(cell.format(s=s) for s in ("processed", "failed", "refunded", "other", "unknown"))
 
 
-CLEAN_BY_STATUS = """from silver where _is_clean and status in ('processed', 'failed', 'refunded')
+CLEAN_BY_STATUS = f"""from (select *, {_bucket('status', ['processed', 'failed', 'refunded'])} as g from silver where _is_clean)
 group by party, transaction_month"""
 
+
+def _numbered(sql: str, order: str) -> str:
+    """The rows with their place: by the named columns, then the rest by name as they stand in the query."""
+    return f"select *, cast(row_number() over (order by {order}) as int) as row_number from ({sql})"
+
+
 # --- statements --------------------------------------------------------------------------------
 
 ORACLE_SQL: dict[str, str] = {
@@ -480,10 +503,43 @@ sums as (
         """select activity_month, product_group, count(*) as mart_rows,
        cast(sum(days_since_acquisition) as bigint) as customer_days,
        min(activity_date) as first_day, max(activity_date) as last_day
+from mart group by activity_month, product_group""",
+    ),
+    "activity_daily_content": statement(
+        SPINE,
+        """select activity_month, product_group, count(*) as mart_rows,
+       cast(sum(cast(user_id as bigint)) as bigint) as user_ids,
+       cast(sum(activity_date - date '1970-01-01') as bigint) as activity_days,
+       cast(sum((activity_date - date '1970-01-01') * cast(user_id as bigint)) as bigint) as days_by_user,
+       cast(sum(acquisition_date - date '1970-01-01') as bigint) as acquisition_days,
+       cast(sum(started_at - date '1970-01-01') as bigint) as start_days,
+       cast(sum(churned_at - date '1970-01-01') as bigint) as churn_days,
+       count(churned_at) as churned_rows,
+       cast(sum(cast(round(daily_premium * 1000000) as bigint)) as bigint) as daily_micros,
+       cast(sum(cast(round(monthly_premium * 100) as bigint)) as bigint) as monthly_cents,
+       cast(sum(days_since_acquisition) as bigint) as customer_days
 from mart group by activity_month, product_group""",
     ),
     "activity_summary": statement(SPINE, DAILY_KPI.format(where="")),
     "kpi_active_customers": statement(SPINE, DAILY_KPI.format(where=f"where {IN_RANGE}")),
+    "kpi_active_customers_distinct": statement(SPINE, DAILY_KPI.format(where=f"where {IN_RANGE}")),
+    "kpi_one_day": statement(SPINE, DAILY_KPI.format(where="where activity_date = date '1997-03-15'")),
+    "kpi_accumulated_by_customer_window": statement(
+        SPINE,
+        f"""select user_id, count(*) as active_days, min(activity_date) as first_day, max(activity_date) as last_day,
+       {decimal_sum('daily_premium', 2)} as premium from mart group by user_id""",
+    ),
+    "kpi_unrounded": statement(
+        SPINE,
+        f"select product_group, round(sum(daily_premium), 4) as premium_collected from mart where {IN_RANGE} group by product_group",
+    ),
+    "earned_premium_unrounded": statement(
+        BASE,
+        """select party, transaction_month as month,
+       round(sum(premium_amount * cast(date_diff('day', transaction_date, last_day(transaction_date)) + 1 as double)
+                 / cast(day(last_day(transaction_date)) as double)), 4) as earned_premium
+from silver where status = 'processed' and _is_clean and premium_amount > 0 group by party, transaction_month""",
+    ),
     "kpi_active_customers_running": statement(SPINE, DAILY_KPI.format(where="")),
     "kpi_premium_collected": statement(SPINE, COLLECTED),
     "kpi_premium_collected_contracts": statement(SPINE, COLLECTED),
@@ -504,6 +560,13 @@ where started_at <= date '1997-03-15' and coalesce(churned_at, date '2001-08-01'
         """select d.as_of_date, count(*) as active_customers
 from (select distinct cast(o_orderdate as date) as as_of_date from orders) d
 join customers c on d.as_of_date between c.started_at and coalesce(c.churned_at, date '2001-08-01')
+group by d.as_of_date""",
+    ),
+    "active_counts_on_dates": statement(
+        [CUSTOMERS],
+        """select d.as_of_date, count(*) as active_customers
+from (select distinct cast(o_orderdate as date) as as_of_date from orders) d
+join customers c on d.as_of_date between c.started_at and coalesce(c.churned_at, date '2001-08-01')
 group by d.as_of_date""",
     ),
     "changed_since": statement(
@@ -548,6 +611,24 @@ from sums""",
        cast(null as timestamp) as updated_at from customers""",
     ),
     "stored_mart_refresh": statement(CORRECTED, REPLACED),
+    "stored_truncate": statement(
+        CORRECTED,
+        BY_MONTH.format(
+            source="""(select m.* from mart m left join changes x on x.user_id = m.user_id
+      where x.user_id is null or m.activity_date <= x.new_end)"""
+        ),
+    ),
+    "stored_upsert": statement(CORRECTED, UPSERTED),
+    "stored_schema_sync": statement(
+        CORRECTED,
+        """select m.activity_month, count(*) as mart_rows, count(r.user_id) as with_channel, false as has_acquisition_date
+from mart m left join rebuilt r on r.user_id = m.user_id and r.activity_date = m.activity_date
+group by m.activity_month
+union all by name
+select activity_month, count(*) as mart_rows, count(*) as with_channel, false as has_acquisition_date from rebuilt r
+where not exists (select 1 from mart m where m.activity_month = r.activity_month) group by activity_month""",
+    ),
+    "incremental_refresh": statement(CORRECTED, f"select *, mart_rows::bigint as summary_rows from ({REPLACED})"),
     "scd2_history": statement(VERSIONED, "select * from history"),
     "scd2_as_of": statement(
         VERSIONED,
@@ -555,6 +636,11 @@ from sums""",
   and (valid_to is null or valid_to > timestamp '2001-08-02 12:00:00')""",
     ),
     "stored_snapshots": statement(VERSIONED, "select * from history"),
+    "stored_as_of": statement(
+        VERSIONED,
+        """select * from history where valid_from <= timestamp '2001-08-02 12:00:00'
+  and (valid_to is null or valid_to > timestamp '2001-08-02 12:00:00')""",
+    ),
     "dq_not_null": statement(BASE, "select transaction_id from silver where party is null"),
     "dq_accepted_values": statement(
         [RAW],
@@ -566,10 +652,12 @@ where status not in ('processed', 'failed') group by status""",
     "dq_unique_combination": "select l_orderkey, l_linenumber, count(*) as n_records from lineitem "
     "group by l_orderkey, l_linenumber having count(*) > 1",
     "dq_suite": statement(
-        RECON + SPINE + [f"slice as (select * from mart where {IN_SLICE})"],
+        RECON + SPINE,
         "\nunion all ".join(_check_sql(*c) for c in CHECKS),
     ),
-    "rpt_written_pivot": statement(MONTHS, _grid("written_premium", "monthly", "0.0::double")),
+    "rpt_written_pivot": statement(
+        MONTHS, _grid("coalesce(round(sum(written_premium) filter (g = '{p}'), 2), 0.0::double)", "monthly")
+    ),
     "rpt_written_vs_earned": statement(
         MONTHS,
         f"""select *, round(written_premium - earned_premium, 2) as unearned_premium from (
@@ -581,7 +669,7 @@ where status not in ('processed', 'failed') group by status""",
         "select party, month, finance_premium, accounting_premium, delta, delta >= -0.01 as is_ok from recon",
     ),
     "rpt_delta_series": statement(RECON, "select party, month, delta, reconciliation_status from recon"),
-    "rpt_status_matrix": statement(RECON, _grid("reconciliation_status", "recon", "null")),
+    "rpt_status_matrix": statement(RECON, _grid(WORST, "recon")),
     "rpt_status_totals": statement(
         RECON,
         "select reconciliation_status, count(*) as party_months from recon group by reconciliation_status",
@@ -589,14 +677,14 @@ where status not in ('processed', 'failed') group by status""",
     "rpt_status_counts": statement(
         BASE,
         "select party, transaction_month as month, "
-        + _per_status("count(*) filter (status = '{s}') as {s}")
+        + _per_status("count(*) filter (g = '{s}') as {s}")
         + ", count(*) as total "
         + CLEAN_BY_STATUS,
     ),
     "rpt_status_amounts": statement(
         BASE,
         "select party, transaction_month as month, "
-        + _per_status("coalesce(round(sum(premium_amount) filter (status = '{s}'), 2), 0) as {s}")
+        + _per_status("coalesce(round(sum(premium_amount) filter (g = '{s}'), 2), 0) as {s}")
         + " "
         + CLEAN_BY_STATUS,
     ),
@@ -609,3 +697,47 @@ where status not in ('processed', 'failed') group by status""",
         """select party, month, delta_pct, reconciliation_status, delta_pct >= 1 as above_threshold from recon""",
     ),
 }
+
+ORACLE_SQL |= {
+    "rpt_delta_series_ordered": statement(
+        RECON, _numbered("select party, month, delta, reconciliation_status from recon", "party nulls last, month nulls last")
+    ),
+    "rpt_sweep_ordered": statement(
+        SWEPT,
+        _numbered("select *, abs(delta) <= 0.01 as within_tolerance from sweep", "scenario_rank, party nulls last, month nulls last"),
+    ),
+    "rpt_status_breakdown_ordered": statement(
+        LOOSE,
+        _numbered(
+            """select party, transaction_month, status_raw, count(*) as transaction_count,
+       round(sum(premium_amount), 2) as total_amount
+from silver where _is_clean group by party, transaction_month, status_raw""",
+            "party nulls last, transaction_month nulls last, status_raw nulls last",
+        ),
+    ),
+    "rpt_refunds_ordered": statement(
+        LOOSE,
+        _numbered(
+            """select party, transaction_month, count(*) as refund_count, round(sum(premium_amount), 2) as refunded_amount
+from silver where status_raw = 'refunded' group by party, transaction_month""",
+            "party nulls last, transaction_month nulls last",
+        ),
+    ),
+    "rpt_kpi_days_ordered": statement(
+        SPINE, _numbered(DAILY_KPI.format(where=f"where {IN_RANGE}"), "activity_date, product_group nulls last")
+    ),
+    "rpt_party_totals_ordered": statement(
+        MONTHS,
+        _numbered(
+            f"select party, {decimal_sum('written_premium', 2, 2)} as total_written_premium from monthly group by party",
+            "total_written_premium desc nulls last, party nulls last",
+        ),
+    ),
+    "layer_rows": statement(
+        MONTHS + [ACCOUNTING],
+        """select 'bronze' as layer, count(*) as written, count(*) as held, 0::bigint as stamped from raw
+union all select 'silver', count(*), count(*), count(*) from raw
+union all select 'seeds', count(*), count(*), 0 from accounting""",
+    ),
+    "accounting_from_csv": statement(MONTHS + [ACCOUNTING], "select * from accounting"),
+}

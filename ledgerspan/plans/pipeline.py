@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import quality
+from ..operators import diagnostics, kpis, quality
 from ..operators.history import snapshot_input
 from ..operators.premiums import monthly_premiums
-from ..operators.reconciliation import reconcile
+from ..operators.reconciliation import reconcile, reconciliation_alerts, status_sweep_detail, status_sweep_totals
 from ..operators.silver import to_silver
-from ..operators.stored import create_activity_mart, snapshot_table
+from ..operators.stored import create_activity_mart, refresh_activity_summary, snapshot_table
 from ..schemas import BRONZE_COLUMNS
 from ..sources.landing import read_transactions_csv
 from ..sources.reference_data import read_accounting_csv
 from ..sources.tables import create_layers, with_lineage, write_table
+from .incremental import refresh_activity
 
 
 def run_pipeline(
@@ -26,10 +27,13 @@ def run_pipeline(
     as_of=None,
     snapshot_at=None,
     raise_on_error: bool = True,
+    kpi_range: tuple[str, str] | None = None,
 ) -> dict[str, int]:
     """Builds every table in order and returns the rows written to each.
 
-    Each layer is written once and read back by the next, so the landing files are parsed a single time.
+    Beside the marts these are the status sweep, the root-cause tables, the alerts, and with ``customers`` the activity
+    summary and, for ``kpi_range``, the KPIs of those days.  Customers with a column ``updated_at`` are an incremental feed:
+    only those changed since the run before are rebuilt.  Each layer is written once and read back by the next, so the landing files are parsed a single time.
     Check results go to ``gold.data_checks``; with ``raise_on_error`` a failed check of severity error stops the
     run after all results are stored.  ``snapshot_at`` also takes a snapshot of silver with that validity time.
     """
@@ -49,6 +53,12 @@ def run_pipeline(
     reconciliation = store(
         with_lineage(reconcile(accounting, monthly), "_reconciled_at"), "gold", "accounting_reconciliation"
     )
+    sweep = store(status_sweep_detail(silver, accounting), "gold", "status_sweep")
+    store(status_sweep_totals(sweep), "gold", "status_sweep_totals")
+    store(reconciliation_alerts(reconciliation), "gold", "reconciliation_alerts")
+    store(diagnostics.refund_summary(silver), "gold", "refund_summary")
+    store(diagnostics.status_breakdown(silver), "gold", "status_breakdown")
+    store(diagnostics.unparseable_count(silver), "gold", "unparseable_count")
     results = [
         quality.run_checks(bronze, quality.BRONZE_CHECKS, "raw_transactions"),
         quality.run_checks(silver, quality.SILVER_CHECKS, "silver_transactions"),
@@ -56,9 +66,19 @@ def run_pipeline(
         quality.run_checks(reconciliation, quality.RECONCILIATION_CHECKS, "accounting_reconciliation"),
     ]
     if customers is not None:
-        mart = name("gold", "customer_activity_daily")
-        create_activity_mart(customers, mart, as_of)
-        rows["gold.customer_activity_daily"] = spark.table(mart).count()
+        mart, summary = name("gold", "customer_activity_daily"), name("gold", "activity_summary")
+        if "updated_at" in customers.columns:
+            refresh_activity(spark, customers, mart, summary, name("gold", "watermarks"), as_of)
+        else:
+            create_activity_mart(customers, mart, as_of)
+            refresh_activity_summary(spark, mart, summary)
+        for table in ("customer_activity_daily", "activity_summary"):
+            rows[f"gold.{table}"] = spark.table(name("gold", table)).count()
+        if kpi_range:
+            days = spark.table(mart)
+            store(kpis.active_customers(days, *kpi_range), "gold", "kpi_active_customers")
+            store(kpis.premium_collected(days, *kpi_range), "gold", "kpi_premium_collected")
+            store(kpis.accumulated_premium(days, kpi_range[1]), "gold", "kpi_accumulated_premium")
         results.append(quality.run_checks(spark.table(mart), quality.ACTIVITY_CHECKS, "customer_activity_daily"))
     if snapshot_at is not None:
         snapshot_table(spark, name("snapshots", "transactions_history"), snapshot_input(silver), snapshot_at)

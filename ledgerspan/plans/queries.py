@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import days_in_month, exact_sum
 from ..operators import activity, diagnostics, history, keyed, kpis, quality, reports, stored
 from ..operators import reconciliation as recon
-from ..operators.premiums import monthly_premiums, rounding_order
+from ..operators.premiums import amount_days, is_chargeable, monthly_premiums, rounding_order
 from ..operators.silver import to_silver
-from ..session import shared_folder
+from ..session import scratch_database, shared_folder, staged, track_databases
 from ..sources.landing import ingest_transactions
-from ..sources.tables import with_lineage
+from ..sources.reference_data import read_accounting_csv
+from ..sources.tables import LAYERS, create_layers, with_lineage, write_table
 from . import adapters as data
 from .adapters import AS_OF
+from .incremental import refresh_activity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,15 +37,8 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def _stored(spark, df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder and read back, for queries that use them several times."""
-    folder = shared_folder(spark, "stage")
-    df.write.parquet(folder)
-    return spark.read.parquet(folder)
-
-
 def _reconciliation(spark, sf_dir, **options):
-    monthly = _stored(spark, data.monthly(spark, sf_dir))
+    monthly = staged(data.monthly(spark, sf_dir))
     return recon.reconcile(data.accounting_from(monthly), monthly, **options)
 
 
@@ -104,7 +99,10 @@ def reconciliation_with_unmatched(spark, sf_dir):
 
 
 def _sweep(spark, sf_dir):
-    rows = _stored(spark, data.silver(spark, sf_dir, require_party=False))
+    """Only what the sweep and the close need of silver is kept between them."""
+    rows = data.silver(spark, sf_dir, require_party=False)
+    narrow = ["party", "transaction_month", "transaction_date", "premium_amount", "status", "status_raw", "_is_clean"]
+    rows = staged(rows.where(F.col("_is_clean")).select(*narrow))
     close = data.accounting_from(monthly_premiums(rows.where(F.col("party").isNotNull())))
     return recon.status_sweep_detail(rows, close)
 
@@ -203,6 +201,25 @@ def activity_months(spark, sf_dir):
     )
 
 
+@query
+def activity_daily_content(spark, sf_dir):
+    """Every column of the whole mart, by month and product group, as exact sums."""
+    day = lambda c: F.unix_date(c).cast("bigint")
+    return _mart(spark, sf_dir).groupBy("activity_month", "product_group").agg(
+        F.count(F.lit(1)).alias("mart_rows"),
+        F.sum(F.col("user_id").cast("bigint")).alias("user_ids"),
+        F.sum(day("activity_date")).alias("activity_days"),
+        F.sum(day("activity_date") * F.col("user_id").cast("bigint")).alias("days_by_user"),
+        F.sum(day("acquisition_date")).alias("acquisition_days"),
+        F.sum(day("started_at")).alias("start_days"),
+        F.sum(day("churned_at")).alias("churn_days"),
+        F.count("churned_at").alias("churned_rows"),
+        F.sum(F.rint(F.col("daily_premium") * 1e6).cast("bigint")).alias("daily_micros"),
+        F.sum(F.rint(F.col("monthly_premium") * 100).cast("bigint")).alias("monthly_cents"),
+        F.sum("days_since_acquisition").alias("customer_days"),
+    )
+
+
 @query
 def activity_summary(spark, sf_dir):
     return activity.activity_summary(_mart(spark, sf_dir))
@@ -213,6 +230,46 @@ def kpi_active_customers(spark, sf_dir):
     return kpis.active_customers(_mart(spark, sf_dir, *RANGE), *RANGE)
 
 
+@query
+def kpi_active_customers_distinct(spark, sf_dir):
+    """KPI 1 for tables whose grain isn't checked."""
+    return kpis.active_customers(_mart(spark, sf_dir, *RANGE), *RANGE, one_row_per_day=False)
+
+
+@query
+def kpi_one_day(spark, sf_dir):
+    """KPI 1 of one day."""
+    return kpis.active_customers(_mart(spark, sf_dir, DAY, DAY), DAY, DAY)
+
+
+@query
+def kpi_accumulated_by_customer_window(spark, sf_dir):
+    """Rows, first and last day and premium of each customer, as the mart holds them."""
+    return _mart(spark, sf_dir).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("active_days"),
+        F.min("activity_date").alias("first_day"),
+        F.max("activity_date").alias("last_day"),
+        exact_sum(F.col("daily_premium"), 2).alias("premium"),
+    )
+
+
+@query
+def kpi_unrounded(spark, sf_dir):
+    """KPI 2 to four decimals, where a plain sum of doubles tells the same."""
+    mart = _mart(spark, sf_dir, *RANGE)
+    return kpis.between_dates(mart, *RANGE).groupBy("product_group").agg(exact_sum(F.col("daily_premium"), 4).alias("premium_collected"))
+
+
+@query
+def earned_premium_unrounded(spark, sf_dir):
+    """Earned premium to four decimals, against a sum of the shares of each row."""
+    written = data.silver(spark, sf_dir).where(is_chargeable() & (F.col("status") == "processed"))
+    shares = written.select(
+        "party", F.col("transaction_month").alias("month"), amount_days().alias("days"), days_in_month(F.col("transaction_date")).alias("length")
+    )
+    return shares.groupBy("party", "month").agg(exact_sum(F.col("days"), 4, divisor=F.max("length")).alias("earned_premium"))
+
+
 @query
 def kpi_active_customers_running(spark, sf_dir):
     return kpis.active_customers_from_contracts(data.customers(spark, sf_dir), "1995-01-01", AS_OF, AS_OF)
@@ -256,6 +313,13 @@ def active_on_dates(spark, sf_dir):
     return active.groupBy("as_of_date").agg(F.count(F.lit(1)).alias("active_customers"))
 
 
+@query
+def active_counts_on_dates(spark, sf_dir):
+    """The same counts from contract starts and ends."""
+    days = data.table(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("as_of_date"))
+    return activity.active_counts_on_dates(data.customers(spark, sf_dir), days, AS_OF)
+
+
 # --- keyed replacement -------------------------------------------------------------------------
 
 
@@ -269,7 +333,7 @@ def _by_month(mart: DataFrame) -> DataFrame:
 
 def _contracts(spark, sf_dir):
     """Contracts, stored because a correction reads them several times, and their changed end dates."""
-    contracts = _stored(spark, data.customers(spark, sf_dir))
+    contracts = staged(data.customers(spark, sf_dir))
     return contracts, data.contract_changes(contracts)
 
 
@@ -299,23 +363,22 @@ def contract_updates(spark, sf_dir):
 def delete_insert(spark, sf_dir):
     """Upsert by (user, day): days a shortened window lost stay in the mart."""
     contracts, changes = _contracts(spark, sf_dir)
-    mart, batch = activity.customer_activity_daily(contracts, AS_OF), _rebuilt(contracts, changes)
-    keys = ["user_id", "activity_date"]
-    return _by_month(keyed.delete_insert(mart, batch, keys, broadcast_rows=keyed.BROADCAST_ROWS))
+    mart, batch = activity.customer_activity_daily(contracts, AS_OF), staged(_rebuilt(contracts, changes))
+    return _by_month(keyed.delete_insert(mart, batch, ["user_id", "activity_date"]))
 
 
 @query
 def retro_truncate(spark, sf_dir):
     contracts, changes = _contracts(spark, sf_dir)
     mart = activity.customer_activity_daily(contracts, AS_OF)
-    return _by_month(keyed.truncate_entities_after(mart, changes, broadcast_rows=keyed.BROADCAST_ROWS))
+    return _by_month(keyed.truncate_entities_after(mart, staged(changes)))
 
 
 @query
 def retro_replace_entities(spark, sf_dir):
     contracts, changes = _contracts(spark, sf_dir)
     mart = activity.customer_activity_daily(contracts, AS_OF)
-    return _by_month(keyed.retroactive_churn(mart, contracts, changes, AS_OF, keyed.BROADCAST_ROWS))
+    return _by_month(keyed.retroactive_churn(mart, contracts, staged(changes), AS_OF))
 
 
 @query
@@ -333,43 +396,84 @@ def sync_columns(spark, sf_dir):
     return keyed.sync_columns(contracts, data.customer_feed(contracts).drop("product_group"))
 
 
-def _scratch_database(spark) -> str:
-    name = f"ledgerspan_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_folder(spark, 'tables')}'")
-    return name
-
-
 @query
 def stored_mart_refresh(spark, sf_dir):
     """The mart written by month, then corrected in place for the changed customers."""
     contracts, changes = _contracts(spark, sf_dir)
-    mart = f"{_scratch_database(spark)}.activity"
+    mart = f"{scratch_database(spark)}.activity"
     stored.create_activity_mart(contracts, mart, AS_OF)
     rebuilt = with_lineage(_rebuilt(contracts, changes), "_loaded_at")
-    before = contracts.join(changes.select("user_id"), "user_id", "left_semi")
-    held = activity.months_touched(before, AS_OF)
-    stored.replace_entities_in_table(spark, mart, rebuilt, changes, held=held)
+    stored.replace_entities_in_table(spark, mart, rebuilt, changes)
+    return _by_month(spark.table(mart))
+
+
+@query
+def stored_truncate(spark, sf_dir):
+    """The stored mart without the days after the new end dates."""
+    contracts, changes = _contracts(spark, sf_dir)
+    mart = f"{scratch_database(spark)}.activity"
+    stored.create_activity_mart(contracts, mart, AS_OF)
+    stored.truncate_entities_in_table(spark, mart, changes)
+    return _by_month(spark.table(mart))
+
+
+@query
+def stored_upsert(spark, sf_dir):
+    """Changed customers' days put into the stored mart by (user, day)."""
+    contracts, changes = _contracts(spark, sf_dir)
+    mart = f"{scratch_database(spark)}.activity"
+    stored.create_activity_mart(contracts, mart, AS_OF)
+    batch = with_lineage(_rebuilt(contracts, changes), "_loaded_at")
+    stored.upsert_into_table(spark, mart, batch, ["user_id", "activity_date"])
     return _by_month(spark.table(mart))
 
 
+@query
+def stored_schema_sync(spark, sf_dir):
+    """An upsert whose batch has gained a column and lost one: the table follows, old rows read null."""
+    contracts, changes = _contracts(spark, sf_dir)
+    mart = f"{scratch_database(spark)}.activity"
+    stored.create_activity_mart(contracts, mart, AS_OF)
+    batch = _rebuilt(contracts, changes).withColumn("channel", F.lit("web"))
+    columns = [c for c in batch.columns if c not in ("acquisition_date", "activity_month")]
+    batch = with_lineage(batch.select(*columns, "activity_month"), "_loaded_at")
+    stored.upsert_into_table(spark, mart, batch, ["user_id", "activity_date"])
+    held = spark.table(mart)
+    return held.groupBy("activity_month").agg(
+        F.count(F.lit(1)).alias("mart_rows"),
+        F.count("channel").alias("with_channel"),
+        F.lit("acquisition_date" in held.columns).alias("has_acquisition_date"),
+    )
+
+
+@query
+def incremental_refresh(spark, sf_dir):
+    """Mart and summary brought up to date with the contracts changed since the stored watermark; the summary's totals by month."""
+    contracts, changes = _contracts(spark, sf_dir)
+    database = scratch_database(spark)
+    names = [f"{database}.{t}" for t in ("activity", "activity_summary", "watermarks")]
+    first = contracts.withColumn("updated_at", F.lit("2001-08-01").cast("timestamp_ntz"))
+    refresh_activity(spark, first, *names, AS_OF)
+    later = data.customer_feed(contracts).select("user_id", "updated_at")
+    feed = keyed.apply_contract_changes(contracts, changes).join(later, "user_id")
+    refresh_activity(spark, feed, *names, AS_OF)
+    totals = spark.table(names[1]).groupBy("activity_month").agg(F.sum("active_customers").alias("summary_rows"))
+    return _by_month(spark.table(names[0])).join(totals, "activity_month")
+
+
 # --- history -----------------------------------------------------------------------------------
 
 
 def _states(spark, sf_dir):
     """Three states of the transactions: as first seen, changed with deletions, deletions undone."""
-    first = _stored(
-        spark,
-        data.silver(spark, sf_dir).select(
-            "transaction_id", "transaction_month", "premium_amount", "party", "status", "status_raw", "_is_clean"
-        ),
-    )
+    first = staged(history.snapshot_input(data.silver_states(spark, sf_dir)))
     return first, data.silver_next(first), data.silver_next(first, with_deletes=False)
 
 
 def _history(spark, sf_dir):
     first, second, third = _states(spark, sf_dir)
     rows = history.initial_history(first, SNAPSHOTS[0])
-    rows = _stored(spark, history.scd2_merge(rows, second, SNAPSHOTS[1]))
+    rows = staged(history.scd2_merge(rows, second, SNAPSHOTS[1]))
     return history.scd2_merge(rows, third, SNAPSHOTS[2])
 
 
@@ -386,10 +490,19 @@ def scd2_as_of(spark, sf_dir):
 @query
 def stored_snapshots(spark, sf_dir):
     """The same three snapshots taken into a stored history table."""
-    table = f"{_scratch_database(spark)}.transactions_history"
+    table = f"{scratch_database(spark)}.transactions_history"
     for state, moment in zip(_states(spark, sf_dir), SNAPSHOTS, strict=True):
         stored.snapshot_table(spark, table, state, moment)
-    return spark.table(table).drop("snapshot_run")
+    return spark.table(table).drop("snapshot_run", "key_bucket")
+
+
+@query
+def stored_as_of(spark, sf_dir):
+    """The stored history read as it stood between two snapshots."""
+    table = f"{scratch_database(spark)}.transactions_history"
+    for state, moment in zip(_states(spark, sf_dir), SNAPSHOTS, strict=True):
+        stored.snapshot_table(spark, table, state, moment)
+    return history.as_of_read(spark.table(table), "2001-08-02 12:00:00").drop("snapshot_run", "key_bucket")
 
 
 # --- data checks -------------------------------------------------------------------------------
@@ -426,16 +539,16 @@ def dq_unique_combination(spark, sf_dir):
 @query
 def dq_suite(spark, sf_dir):
     """All declared checks over the five tables, each layer stored once and read by the next."""
-    bronze = _stored(spark, data.bronze(spark, sf_dir))
-    silver = _stored(spark, to_silver(bronze))
-    monthly = _stored(spark, monthly_premiums(silver))
-    compared = _stored(spark, recon.reconcile(data.accounting_from(monthly), monthly))
+    bronze = staged(data.bronze(spark, sf_dir))
+    silver = staged(to_silver(bronze))
+    monthly = staged(monthly_premiums(silver))
+    compared = staged(recon.reconcile(data.accounting_from(monthly), monthly))
     suites = [
         ("bronze", bronze, quality.BRONZE_CHECKS),
         ("silver", silver, quality.SILVER_CHECKS),
         ("monthly", monthly, quality.MONTHLY_CHECKS),
         ("reconciliation", compared, quality.RECONCILIATION_CHECKS),
-        ("activity", _mart(spark, sf_dir, *SLICE), quality.ACTIVITY_CHECKS),
+        ("activity", _mart(spark, sf_dir), quality.ACTIVITY_CHECKS),
     ]
     results = [quality.run_checks(df, checks, name) for name, df, checks in suites]
     out = results[0]
@@ -495,3 +608,69 @@ def rpt_party_totals(spark, sf_dir):
 @query
 def rpt_delta_pct(spark, sf_dir):
     return reports.delta_percentages(_reconciliation(spark, sf_dir))
+
+
+@query
+def rpt_delta_series_ordered(spark, sf_dir):
+    return reports.numbered(reports.delta_series(_reconciliation(spark, sf_dir)), "party", "month")
+
+
+@query
+def rpt_sweep_ordered(spark, sf_dir):
+    """The sweep in the order it is printed: scenario, party, month."""
+    return reports.numbered(_sweep(spark, sf_dir), "scenario_rank", "party", "month")
+
+
+@query
+def rpt_status_breakdown_ordered(spark, sf_dir):
+    rows = diagnostics.status_breakdown(data.silver(spark, sf_dir, require_party=False))
+    return reports.numbered(rows, "party", "transaction_month", "status_raw")
+
+
+@query
+def rpt_refunds_ordered(spark, sf_dir):
+    rows = diagnostics.refund_summary(data.silver(spark, sf_dir, require_party=False))
+    return reports.numbered(rows, "party", "transaction_month")
+
+
+@query
+def rpt_kpi_days_ordered(spark, sf_dir):
+    """KPI 1 over a range, a row a day and group, in order."""
+    rows = kpis.active_customers(_mart(spark, sf_dir, *RANGE), *RANGE)
+    return reports.numbered(rows, "activity_date", "product_group")
+
+
+@query
+def rpt_party_totals_ordered(spark, sf_dir):
+    """Largest first."""
+    totals = reports.party_totals(data.monthly(spark, sf_dir))
+    return reports.numbered(totals, "total_written_premium", descending=True)
+
+
+# --- landing and layers ------------------------------------------------------------------------
+
+
+@query
+def layer_rows(spark, sf_dir):
+    """Rows written to each layer's table, as counted while writing, and found in it; a second run replaces the first."""
+    prefix = f"{scratch_database(spark)}_"
+    create_layers(spark, prefix, shared_folder(spark, "layers"))
+    track_databases(spark, [f"{prefix}{layer}" for layer in LAYERS])
+    raw = data.bronze(spark, sf_dir)
+    tables = {"bronze": raw, "silver": with_lineage(to_silver(raw), "_silver_transformed_at"), "seeds": data.accounting_from(data.monthly(spark, sf_dir))}
+    counts = []
+    for layer, rows in tables.items():
+        name = f"{prefix}{layer}.rows"
+        written = [write_table(rows, name) for _ in range(2)][-1]
+        held = spark.table(name)
+        stamped = F.count_if(F.col("_silver_transformed_at").isNotNull()) if layer == "silver" else F.lit(0).cast("bigint")
+        counts.append(held.agg(F.lit(layer).alias("layer"), F.lit(written).cast("bigint").alias("written"), F.count(F.lit(1)).alias("held"), stamped.alias("stamped")))
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query
+def accounting_from_csv(spark, sf_dir):
+    """The close written as a file and read with its declared types."""
+    folder = shared_folder(spark, "close")
+    data.accounting_from(data.monthly(spark, sf_dir)).write.option("header", True).csv(folder)
+    return read_accounting_csv(spark, folder)

@@ -26,7 +26,7 @@ def read_transactions_csv(spark: SparkSession, path: str | list[str], multi_line
         .csv(path)
     )
     # An empty field is a missing value, quoted or not.
-    fields = [F.nullif(F.col(c), F.lit("")).alias(c) for c in raw.columns]
+    fields = [F.nullif(F.col("`" + c.replace("`", "``") + "`"), F.lit("")).alias(c) for c in raw.columns]
     return raw.select(
         *fields,
         F.col("_metadata.file_name").alias("_source_file"),

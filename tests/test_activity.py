@@ -106,6 +106,26 @@ def test_active_on_dates_matches_a_range_join(spark, customers):
     assert one.columns == customers.columns
 
 
+def test_large_expansions_get_more_tasks(spark):
+    """As many as the contract months need, whatever the number of cores."""
+    many = spark.range(60_000).selectExpr(
+        "cast(id as string) as user_id", "date '2000-01-01' as acquisition_date", "date '2000-01-01' as started_at",
+        "date '2019-12-31' as churned_at", "10.0D as monthly_premium", "'p' as product_group",
+    )
+    windows = activity.contract_windows(many)
+    assert activity.expansion_tasks(windows) == -(-60_000 * 240 // activity.MONTHS_PER_TASK) > 2 * spark.sparkContext.defaultParallelism
+    days = spark.createDataFrame([("2005-05-05",)], "as_of_date string")
+    assert activity.active_counts_on_dates(many, days).first().active_customers == 60_000
+    assert activity.active_on_dates(many.limit(10), days).count() == 10
+
+
+def test_each_file_of_the_mart_has_a_task(customers):
+    files, tasks = activity.storage_layout(customers, AS_OF, rows_per_file=40)
+    months = activity.activity_for_storage(customers, AS_OF, files, tasks)
+    seen = months.select("activity_month", F.spark_partition_id().alias("p")).distinct().groupBy("p").count()
+    assert seen.agg(F.max("count")).first()[0] == 1
+
+
 def test_expansion_is_spread_over_tasks(customers):
     assert activity.customer_activity_daily(customers, AS_OF, tasks=5).rdd.getNumPartitions() == 5
 

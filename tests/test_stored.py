@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ledgerspan.operators import activity, history, keyed, quality, stored
 from ledgerspan.operators.silver import to_silver
+from ledgerspan.plans.incremental import refresh_activity
 from ledgerspan.plans.pipeline import run_pipeline
-from ledgerspan.session import shared_folder
+from ledgerspan.session import release, scratch_database, shared_folder, staged
 from ledgerspan.sources import create_layers, customers_from_rows
 
 AS_OF = "2025-07-31"
@@ -58,25 +59,87 @@ def test_emptied_months_disappear(spark, database):
     assert done["dropped"] == []
 
 
-def test_known_months_spare_the_scan(spark, database, customers):
+def test_correction_finds_all_months_itself(spark, database, customers):
+    """The months to rewrite come from the mart's own keys, not from what contracts say now."""
     table = f"{database}.mart"
-    stored.create_activity_mart(customers, table, AS_OF)
-    mine = customers.where("user_id = 'USR005'")
-    changes = spark.createDataFrame([("USR005", dt.date(2025, 1, 31))], "user_id string, new_end date")
+    stored.create_activity_mart(customers, table, "2025-12-31")
+    mine = customers.where("user_id = 'USR001'")
+    changes = spark.createDataFrame([("USR001", dt.date(2025, 3, 31))], "user_id string, new_end date")
     changed = keyed.apply_contract_changes(mine, changes)
-    rebuilt = activity.customer_activity_daily(changed, AS_OF).withColumn("_loaded_at", F.current_timestamp())
-    held = activity.months_touched(mine, AS_OF)
-    for broadcast_rows in (1000, None):
-        done = stored.replace_entities_in_table(
-            spark, table, rebuilt, changes, broadcast_rows=broadcast_rows, held=held
-        )
-        assert sorted(done["rewritten"] + done["dropped"]) == ["2025-01", "2025-02", "2025-03"]
-        assert spark.table(table).where("user_id = 'USR005'").count() == 22
-    others = activity.customer_activity_daily(customers.where("user_id <> 'USR005'"), AS_OF)
-    kept = spark.table(table).where("user_id <> 'USR005'").select(*others.columns)
+    rebuilt = activity.customer_activity_daily(changed, "2025-04-30").withColumn("_loaded_at", F.current_timestamp())
+    done = stored.replace_entities_in_table(spark, table, rebuilt, changes)
+    assert max(done["rewritten"] + done["dropped"]) == "2025-12"
+    assert spark.table(table).where("user_id = 'USR001'").agg(F.max("activity_date")).first()[0] == day("2025-03-31")
+    others = activity.customer_activity_daily(customers.where("user_id <> 'USR001'"), "2025-12-31")
+    kept = spark.table(table).where("user_id <> 'USR001'").select(*others.columns)
     assert sorted(kept.collect(), key=repr) == sorted(others.collect(), key=repr)
 
 
+def test_stored_truncation(spark, database, customers):
+    table = f"{database}.mart"
+    stored.create_activity_mart(customers, table, AS_OF)
+    changes = spark.createDataFrame([("USR002", dt.date(2025, 2, 28)), ("nobody", dt.date(2025, 1, 1))], "user_id string, new_end date")
+    done = stored.truncate_entities_in_table(spark, table, changes)
+    assert done["rewritten"] + done["dropped"] == ["2025-03", "2025-04"]
+    assert spark.table(table).where("user_id = 'USR002'").count() == 28
+    assert stored.truncate_entities_in_table(spark, table, changes) == {"rewritten": [], "dropped": []}
+
+
+def test_a_job_lost_before_the_switch_changes_nothing(spark, database, customers, monkeypatch):
+    table = f"{database}.mart"
+    stored.create_activity_mart(customers, table, AS_OF)
+    before = sorted(spark.table(table).collect(), key=repr)
+    changes = spark.createDataFrame([("USR002", dt.date(2025, 2, 28))], "user_id string, new_end date")
+    changed = keyed.apply_contract_changes(customers.where("user_id = 'USR002'"), changes)
+    rebuilt = activity.customer_activity_daily(changed, AS_OF).withColumn("_loaded_at", F.current_timestamp())
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(stored, "_switch", lost)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            stored.replace_entities_in_table(spark, table, rebuilt, changes)
+    assert sorted(spark.table(table).collect(), key=repr) == before
+    assert len(stored.unreferenced_versions(spark, table)) == 1
+    # Half a switch: the first partition is new, the rest old; a repetition completes it.
+    real, calls = spark.sql, []
+
+    def failing(statement, *args, **kwargs):
+        if "SET LOCATION" in statement:
+            calls.append(statement)
+            if len(calls) == 2:
+                lost()
+        return real(statement, *args, **kwargs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "sql", lambda self, statement, *a, **k: failing(statement, *a, **k))
+        with pytest.raises(RuntimeError, match="driver lost"):
+            stored.replace_entities_in_table(spark, table, rebuilt, changes)
+    spark.catalog.refreshTable(table)
+    assert spark.table(table).where("user_id <> 'USR002'").count() == sum(r.user_id != "USR002" for r in before)
+    stored.replace_entities_in_table(spark, table, rebuilt, changes)
+    assert spark.table(table).where("user_id = 'USR002'").count() == 28
+    assert spark.table(table).where("user_id <> 'USR002'").count() == sum(r.user_id != "USR002" for r in before)
+
+
+def test_layout_follows_the_batch(spark, database):
+    table = f"{database}.facts"
+    rows = spark.createDataFrame(
+        [("a", day("2025-01-01"), 1, "x", "2025-01"), ("a", day("2025-02-01"), 1, "y", "2025-02")],
+        "user_id string, activity_date date, v int, old string, activity_month string",
+    )
+    stored.create_partitioned(rows, table, ["activity_month"])
+    batch = spark.createDataFrame(
+        [("a", day("2025-01-01"), 9, 0.5, "2025-01")], "user_id string, activity_date date, v int, extra double, activity_month string"
+    )
+    for _ in range(2):
+        stored.upsert_into_table(spark, table, batch, ["user_id", "activity_date"])
+        held = spark.table(table)
+        assert held.columns == ["user_id", "activity_date", "v", "extra", "activity_month"]
+        assert sorted((str(r.activity_date), r.v, r.extra) for r in held.collect()) == [("2025-01-01", 9, 0.5), ("2025-02-01", 1, None)]
+
+
 def test_stored_upsert(spark, database):
     table = f"{database}.facts"
     schema = "user_id string, activity_date date, v int, activity_month string"
@@ -166,12 +229,60 @@ def test_stored_snapshots(spark, database):
     for rows, moment in zip(states(spark), (T1, T2, T3), strict=True):
         stored.snapshot_table(spark, table, rows, moment)
     check_history(spark.table(table).collect())
-    runs = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    runs = {r[0].split("/")[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     assert runs == {"snapshot_run=open", "snapshot_run=20250201T000000000"}
+    for read, partitions in ((history.as_of_read(spark.table(table), "2025-02-15"), "snapshot_run"), (history.current_read(spark.table(table)), "snapshot_run")):
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        assert partitions in plan.split("PartitionFilters: ")[1].split("]")[0]
+    assert {r.transaction_id for r in history.as_of_read(spark.table(table), "2025-02-15").collect()} == {"same", "flip", "fill", "other", "new"}
+    with pytest.raises(ValueError, match="already holds"):
+        stored.snapshot_table(spark, table, states(spark)[0], "2024-12-01 00:00:00")
     with pytest.raises(ValueError, match="duplicate key"):
         stored.snapshot_table(spark, table, state(spark, [("a", "x", 1.0, "p")] * 2), T4)
 
 
+def test_a_snapshot_rewrites_changed_buckets_only(spark, database):
+    table = f"{database}.history"
+    first = state(spark, [(f"k{i}", "processed", 1.0, "x") for i in range(200)])
+    stored.snapshot_table(spark, table, first, T1, buckets=16)
+    files = lambda: {r[0] for r in spark.table(table).where("snapshot_run = 'open'").select("_metadata.file_path").distinct().collect()}
+    before = files()
+    stored.snapshot_table(spark, table, first, T2, buckets=16)
+    assert files() == before
+    changed = first.withColumn("status", F.when(F.col("transaction_id") == "k7", "refunded").otherwise(F.col("status")))
+    stored.snapshot_table(spark, table, changed, T3, buckets=16)
+    assert len(files() & before) == len(before) - 1
+    held = {r.transaction_id: r for r in history.current_read(spark.table(table)).collect()}
+    assert len(held) == 200 and held["k7"].status == "refunded"
+    closed = spark.table(table).where("valid_to is not null").collect()
+    assert [(r.transaction_id, str(r.updated_at)) for r in closed] == [("k7", T1)]
+
+
+def test_a_history_gains_columns(spark, database):
+    table = f"{database}.history"
+    stored.snapshot_table(spark, table, state(spark, [("a", "processed", 1.0, "x"), ("b", "processed", 1.0, "x")]), T1)
+    more = state(spark, [("a", "refunded", 1.0, "x"), ("b", "processed", 1.0, "x")]).withColumn("channel", F.lit("web")).drop("party")
+    stored.snapshot_table(spark, table, more, T2)
+    got = sorted((r.transaction_id, r.status, r.channel, r.party) for r in spark.table(table).collect())
+    assert got == [("a", "processed", None, "x"), ("a", "refunded", "web", None), ("b", "processed", None, "x")]
+
+
+def test_a_null_key_in_a_stored_history(spark, database):
+    table = f"{database}.history"
+    rows = state(spark, [(None, "processed", 1.0, "x"), ("a", "processed", 1.0, "x")])
+    for moment in (T1, T2, T2):
+        stored.snapshot_table(spark, table, rows, moment)
+    held = spark.table(table)
+    assert held.where("transaction_id is null and valid_to is null").count() == 1
+    assert held.where("transaction_id = 'a'").count() == 1
+
+
+def test_order_of_snapshots_is_guarded_in_memory(spark):
+    first, second, _ = states(spark)
+    with pytest.raises(Exception, match="may not be earlier"):
+        history.scd2_merge(history.initial_history(first, T2), second, T1).collect()
+
+
 def test_second_snapshot_of_one_moment(spark, database):
     """A correction under the same time adds to what that run closed."""
     table = f"{database}.history"
@@ -243,8 +354,14 @@ def test_pipeline(spark, landing, customers):
     prefix = f"run{dt.datetime.now():%H%M%S%f}_"
     written = run_pipeline(
         spark, str(landing / "raw.csv"), str(landing / "closing.csv"), customers, prefix,
-        shared_folder(spark, "lake"), AS_OF, T1,
+        shared_folder(spark, "lake"), AS_OF, T1, kpi_range=("2025-01-01", "2025-03-31"),
     )
+    # Premium collected in the first quarter, and premium accumulated by its end.
+    collected = {r.product_group: r.premium_collected for r in spark.table(f"{prefix}gold.kpi_premium_collected").collect()}
+    assert collected == {"household": 22.11, "legal": 16.23, "liability": 49.96}
+    assert spark.table(f"{prefix}gold.status_sweep").count() == 48 and written["gold.status_sweep_totals"] == 4
+    assert spark.table(f"{prefix}gold.refund_summary").count() == 1 and written["gold.reconciliation_alerts"] == 0
+    assert written["gold.activity_summary"] > 0
     assert written["bronze.raw_transactions"] == written["silver.silver_transactions"] == 13
     assert written["gold.monthly_premiums"] == written["gold.accounting_reconciliation"] == 12
     assert written["gold.data_checks"] == 36
@@ -270,6 +387,36 @@ def test_pipeline_stops_on_failed_checks(spark, landing):
     assert spark.table(f"{prefix}gold.data_checks").where("not passed").count() == 3
 
 
+def test_incremental_run(spark, database, customers):
+    names = [f"{database}.{t}" for t in ("mart", "summary", "watermarks")]
+    first = customers.withColumn("updated_at", F.lit("2025-08-01").cast("timestamp_ntz"))
+    refresh_activity(spark, first, *names, AS_OF)
+    assert refresh_activity(spark, first, *names, AS_OF) == {"rewritten": [], "dropped": []}
+    changes = spark.createDataFrame([("USR002", dt.date(2025, 2, 28))], "user_id string, new_end date")
+    later = keyed.apply_contract_changes(customers, changes)
+    feed = later.withColumn("updated_at", F.when(F.col("user_id") == "USR002", F.lit("2025-08-02")).otherwise(F.lit("2025-08-01")).cast("timestamp_ntz"))
+    for rewritten in (["2025-02"], []):
+        done = refresh_activity(spark, feed, *names, AS_OF)
+        assert done["rewritten"] == ["2025-02", "2025-03", "2025-04"][: 3 * len(rewritten)]
+        want = activity.customer_activity_daily(later, AS_OF)
+        assert sorted(spark.table(names[0]).select(*want.columns).collect(), key=repr) == sorted(want.collect(), key=repr)
+        summary = activity.activity_summary(want)
+        assert sorted(spark.table(names[1]).select(*summary.columns).collect()) == sorted(summary.collect())
+    assert [str(r.watermark) for r in spark.table(names[2]).collect()] == ["2025-08-02 00:00:00"]
+
+
+def test_scratch_tables_are_released(spark):
+    name = scratch_database(spark)
+    spark.range(3).write.saveAsTable(f"{name}.t")
+    rows = staged(spark.range(5).toDF("id"))
+    assert rows.count() == 5
+    release(spark)
+    assert not spark.catalog.databaseExists(name)
+    with pytest.raises(Exception, match="(?i)not exist|PATH_NOT_FOUND|FileNotFound|FILE_NOT_EXIST"):
+        rows.sparkSession.catalog.clearCache()
+        rows.collect()
+
+
 def test_layers(spark):
     create_layers(spark, "lay_", shared_folder(spark, "lake"))
     create_layers(spark, "lay_")

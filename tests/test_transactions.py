@@ -282,3 +282,31 @@ def test_streamed_silver_equals_batch(spark, tmp_path):
     batch_rows = to_silver(ingest_transactions(spark, str(landing))).drop("_bronze_ingested_at")
     streamed = spark.read.parquet(out).select(*batch_rows.columns)
     assert sorted(streamed.collect()) == sorted(batch_rows.collect())
+
+
+def test_reports_keep_values_outside_the_lists(spark):
+    monthly = spark.createDataFrame(
+        [("getland", "2025-01", 1.0), ("newpartner", "2025-01", 5.0), ("other2", "2025-01", 2.0), (None, "2025-01", 3.0)],
+        "party string, month string, written_premium double",
+    )
+    row = reports.written_pivot(monthly).first()
+    assert (row.getland, row.other, row.unknown, row.berlinre) == (1.0, 7.0, 3.0, 0.0)
+    silver = spark.createDataFrame(
+        [("p", "2025-01", s, 2.0, True) for s in ("processed", "chargeback", None)] + [("p", "2025-01", "processed", 9.0, False)],
+        "party string, transaction_month string, status string, premium_amount double, _is_clean boolean",
+    )
+    counts, amounts = reports.status_counts(silver).first(), reports.status_amounts(silver).first()
+    assert (counts.processed, counts.failed, counts.other, counts.unknown, counts.total) == (1, 0, 1, 1, 3)
+    assert (amounts.processed, amounts.refunded, amounts.other, amounts.unknown) == (2.0, 0.0, 2.0, 2.0)
+    compared = spark.createDataFrame(
+        [("x", "2025-01", "MATCH"), ("y", "2025-01", "DISCREPANCY"), (None, "2025-01", "NEAR_MATCH")],
+        "party string, month string, reconciliation_status string",
+    )
+    row = reports.status_matrix(compared).first()
+    assert (row.other, row.unknown, row.getland) == ("DISCREPANCY", "NEAR_MATCH", None)
+
+
+def test_landing_of_dotted_headers(spark, tmp_path):
+    (tmp_path / "raw.csv").write_text("transaction_id,partner.ref,a`b\n1,x,\n")
+    row = read_transactions_csv(spark, str(tmp_path / "raw.csv")).first()
+    assert (row["partner.ref"], row["a`b"]) == ("x", None)
