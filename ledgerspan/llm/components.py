@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from ledgerspan.llm.common import staged
 
 
-def _fingerprint(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-    return row["n"], row["x"]
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether every node is linked to one smaller node at most, and that to none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("in"))
+    )
+    by_node = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
+    return by_node.where((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("in") > 0))).limit(1).count() == 0
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -24,18 +28,14 @@ def components(links: DataFrame) -> DataFrame:
     edges = staged(
         links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
-    state = _fingerprint(edges)
-    while state[0]:
+    while not _is_star_forest(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.select("u", F.col("m").alias("v")).unionByName(
             joined.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         )
         edges = staged(small.distinct())
-        before, state = state, _fingerprint(edges)
-        if before == state:
-            break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -31,7 +31,7 @@ class Settings:
 
     The others change cost, not results.  ``bits``: log2 of the counters that order shingles by frequency, whatever the corpus'
     size; ``bands`` of two minima each find most links early; a shingle counted ``hot`` times is dealt over ``salts``
-    tasks; an anchor's candidates are dealt by ``partners``.
+    tasks; a prefix tree has some ``members`` and is held against ``probes``.
     """
 
     words: int = 5
@@ -39,7 +39,8 @@ class Settings:
     bands: int = 8
     hot: int = 4096
     salts: int = 64
-    partners: int = 1024
+    members: int = 256
+    probes: int = 1024
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -225,99 +226,115 @@ def _present(anchor: np.ndarray, part: np.ndarray) -> int:
 _STEP = 128
 
 
-def linked(anchor: np.ndarray, sets: list[np.ndarray]) -> list[int]:
-    """Which of ``sets`` link to ``anchor``; all are in the global order.
-
-    The sets are the paths of a prefix tree, held as a sorted list: a subtree is a range that shares its first keys.  The
-    overlap of a shared stretch is counted once for the subtree; a subtree is left as soon as what its sets and
-    the anchor still have after this place can't make up the overlap that any of its sizes needs.
-    """
-    paths = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
-    sizes = np.array([len(sets[i]) for i in paths], dtype=np.int64)
-    need = needed(len(anchor), sizes)
-    found, stack = [], [(0, len(paths), 0, 0)]
-    while stack:
-        low, high, depth, overlap = stack.pop()
-        first, last = sets[paths[low]], sets[paths[high - 1]]
-        end = min(len(first), len(last))
-        if high - low > 1:
-            differ = np.flatnonzero(first[depth:end] != last[depth:end])
-            end = depth + int(differ[0]) if len(differ) else end
-        while True:
-            rest = len(anchor) - (int(np.searchsorted(anchor, first[depth - 1], "right")) if depth else 0)
-            if not np.any(overlap + np.minimum(sizes[low:high] - depth, rest) >= need[low:high]):
-                break
-            if depth == end:
-                whole = low
-                while whole < high and sizes[whole] == depth:
-                    if overlap >= need[whole]:
-                        found.append(paths[whole])
-                    whole += 1
-                start = whole
-                while start < high:
-                    stop, key = start + 1, sets[paths[start]][depth]
-                    while stop < high and sets[paths[stop]][depth] == key:
-                        stop += 1
-                    stack.append((start, stop, depth, overlap))
-                    start = stop
-                break
-            step = min(depth + _STEP, end)
-            overlap += _present(anchor, first[depth:step])
-            depth = step
-    return found
+class PrefixTree:
+    """Ordered sets as the paths of a prefix tree, held as a sorted list: a subtree is a range that shares its first keys."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
+        self.paths = [sets[i] for i in self.order]
+        self.sizes = np.array([len(p) for p in self.paths], dtype=np.int64)
+
+    def linked(self, probe: np.ndarray, first_only: bool = False) -> list[int]:
+        """Numbers of the sets that link to ``probe``, or of one of them.
+
+        The overlap of a shared stretch is counted once for its subtree; a subtree is left as soon as what its sets and
+        the probe still have after this place can't make up the overlap that any of its sizes needs.
+        """
+        paths, sizes, need = self.paths, self.sizes, needed(len(probe), self.sizes)
+        found, stack = [], [(0, len(paths), 0, 0)] if paths else []
+        while stack and not (found and first_only):
+            low, high, depth, overlap = stack.pop()
+            first, last = paths[low], paths[high - 1]
+            end = min(len(first), len(last))
+            if high - low > 1:
+                differ = np.flatnonzero(first[depth:end] != last[depth:end])
+                end = depth + int(differ[0]) if len(differ) else end
+            while True:
+                rest = len(probe) - (int(np.searchsorted(probe, first[depth - 1], "right")) if depth else 0)
+                if not np.any(overlap + np.minimum(sizes[low:high] - depth, rest) >= need[low:high]):
+                    break
+                if depth == end:
+                    start = low
+                    while start < high and sizes[start] == depth:
+                        if overlap >= need[start]:
+                            found.append(self.order[start])
+                        start += 1
+                    while start < high:
+                        stop, key = start + 1, paths[start][depth]
+                        while stop < high and paths[stop][depth] == key:
+                            stop += 1
+                        stack.append((start, stop, depth, overlap))
+                        start = stop
+                    break
+                step = min(depth + _STEP, end)
+                overlap += _present(probe, first[depth:step])
+                depth = step
+        return found[:1] if first_only else found
 
 
 def _node(prefix: str = "") -> Column:
-    return F.struct(F.col(f"{prefix}sig").alias("sig"), F.col(f"{prefix}n").alias("n"))
+    """A distinct set: its signature, its size, and the document that stands for it."""
+    return F.struct(*(F.col(prefix + c).alias(c) for c in ("sig", "n", "doc")))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, order, settings: Settings) -> DataFrame:
-    """The pairs ``a``, ``b`` of nodes that link.  ``b`` is the anchor, and its partners are dealt over tasks by number."""
-    pairs = staged(pairs)
-    load = pairs.groupBy("b").agg(F.count("*").alias("load"))
-    dealt = pairs.join(load, "b").select(
-        "a", "b", F.pmod(F.xxhash64("a"), F.ceil(F.col("load") / settings.partners)).cast("int").alias("salt")
-    )
-    members = dealt.select(F.col("a").alias("node"), "b", "salt", F.lit(1).alias("partner")).unionByName(
-        dealt.select(F.col("b").alias("node"), "b", "salt", F.lit(0).alias("partner")).distinct()
-    )
-    wanted = members.select("node.sig", "node.n").distinct().join(classes, ["sig", "n"])
-    sets = _sets(docs, wanted, order, settings)
-    rows = members.select("node.sig", "node.n", "b", "salt", "partner").join(classes, ["sig", "n"]).join(sets, ["sig", "n", "doc"])
-    rows = rows.select("b", "salt", "partner", "sig", "n", "keys").repartition("b", "salt").sortWithinPartitions("b", "salt", "partner")
+_GROUP = ["x", "y", "z"]
+_PAIR = ["a_sig", "a_n", "a_doc", "b_sig", "b_n", "b_doc"]
+
+
+def _verified(docs: DataFrame, groups: DataFrame, first_only: bool, order, settings: Settings) -> DataFrame:
+    """Links ``a``, ``b`` within groups: of every probe with all members of its group, or with one of them.
+
+    ``groups`` has the group (``x``, ``y``, ``z``), the ``node`` and whether it is a ``probe``.  Groups hold few members, which
+    become a prefix tree; probes pass by one at a time.  Sets are made anew from the texts of the nodes concerned.
+    """
+    groups = staged(groups)
+    sets = _sets(docs, groups.select("node.sig", "node.doc"), order, settings)
+    rows = groups.select(*_GROUP, "probe", "node.*").join(sets, ["sig", "n", "doc"]).select(*_GROUP, "probe", "sig", "n", "doc", "keys")
+    rows = rows.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "probe")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchor, held = np.empty(0, U), None
+        group, nodes, sets, tree = None, [], [], None
         for batch in batches:
-            groups = list(zip(batch.column(0).field("sig").to_pylist(), batch.column(0).field("n").to_pylist(), batch.column(1).to_pylist()))
-            partner, sig, n = (batch.column(i).to_pylist() for i in (2, 3, 4))
-            keys, out = batch.column(5), []
-            at = 0
-            while at < len(groups):
-                if not partner[at]:
-                    anchor, held = np.frombuffer(keys[at].as_py(), dtype=U), groups[at]
-                    at += 1
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            out = []
+            for key, probe, node, packed in zip(zip(*columns[:3]), columns[3], zip(*columns[4:7]), batch.column(7)):
+                if key != group:
+                    group, nodes, sets, tree = key, [], [], None
+                values = np.frombuffer(packed.as_py(), dtype=U)
+                if not probe:
+                    nodes.append(node)
+                    sets.append(values)
                     continue
-                stop = at
-                while stop < len(groups) and partner[stop] and groups[stop] == groups[at]:
-                    stop += 1
-                if held != groups[at]:
-                    raise ValueError("an anchor's set is missing")
-                hits = linked(anchor, [np.frombuffer(keys[i].as_py(), dtype=U) for i in range(at, stop)])
-                out += [(sig[at + i], n[at + i], held[0], held[1]) for i in hits]
-                at = stop
-            columns = list(zip(*out)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a_sig", "a_n", "b_sig", "b_n"])
-
-    found = map_arrow(rows, run, "a_sig bigint, a_n bigint, b_sig bigint, b_n bigint")
+                tree = tree or PrefixTree(sets)
+                out += [(*nodes[i], *node) for i in tree.linked(values, first_only)]
+            made = list(zip(*out)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in made], names=_PAIR)
+
+    found = map_arrow(rows, run, ", ".join(f"{c} bigint" for c in _PAIR))
     return staged(found.select(_node("a_").alias("a"), _node("b_").alias("b")).distinct())
 
 
-def _early_pairs(nodes: DataFrame) -> DataFrame:
-    """Each node with the first of every group that shares a band with it: a star, not all pairs."""
-    banded = nodes.select(_node().alias("a"), F.explode("bands").alias("band"))
-    first = banded.groupBy("band").agg(F.min("a").alias("b"), F.max("a").alias("_last")).where(F.col("b") != F.col("_last"))
-    return banded.join(first.select("band", "b"), "band").where(F.col("a") != F.col("b")).select("a", "b").distinct()
+def _dealt(number: Column, each: int) -> Column:
+    """Parts that so many rows are dealt into."""
+    return F.greatest(F.ceil(number / each), F.lit(1))
+
+
+def _early_groups(nodes: DataFrame, settings: Settings) -> DataFrame:
+    """Groups that share a band, as stars: the members are held against one of them, not against each other.
+
+    Each band's group has a centre of its own, so that a node is held against several.  A centre's partners are dealt into groups.
+    """
+    bands = F.array(*(F.col(f"band{i}") for i in range(settings.bands)))
+    banded = nodes.select(_node().alias("a"), F.explode(bands).alias("band"))
+    centre = F.min_by("a", F.xxhash64("band", "a")).alias("b")
+    first = banded.groupBy("band").agg(centre, F.count("*").alias("_members")).where("_members > 1").select("band", "b")
+    pairs = staged(banded.join(first, "band").where(F.col("a") != F.col("b")).select("a", "b").distinct())
+    load = pairs.groupBy("b").agg(F.count("*").alias("load")).select("b", _dealt(F.col("load"), settings.members).alias("parts"))
+    part = F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")
+    partners = pairs.join(load, "b").select(F.col("b.sig").alias("x"), F.col("b.n").alias("y"), part.alias("z"), F.lit(0).alias("probe"), F.col("a").alias("node"))
+    parts = F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int")))
+    centres = load.select(F.col("b.sig").alias("x"), F.col("b.n").alias("y"), parts.alias("z"), F.lit(1).alias("probe"), F.col("b").alias("node"))
+    return partners.unionByName(centres)
 
 
 def _prefixes(docs: DataFrame, order, settings: Settings) -> DataFrame:
@@ -346,11 +363,12 @@ def _prefixes(docs: DataFrame, order, settings: Settings) -> DataFrame:
     return map_arrow(_texts(docs), run, "sig bigint, n bigint, firsts array<bigint>")
 
 
-def _late_pairs(docs: DataFrame, labels: DataFrame, order, settings: Settings) -> DataFrame:
-    """Pairs that share a prefix key, have not been joined yet, and pass the bounds of size and place.
+def _late_groups(docs: DataFrame, nodes: DataFrame, labels: DataFrame, order, settings: Settings) -> DataFrame:
+    """Members of components, and as probes the nodes of others that share a prefix key with one of them.
 
     A key that few documents have is seen by one task.  Hot ones, known from the counters, pass untested and are
-    tested by minima that are taken before rows move.
+    tested by minima that are taken before rows move.  Of two components the nodes of the smaller are held against all of the larger
+    one, dealt into groups: a large one is not multiplied by its neighbours.
     """
     rows = _prefixes(docs, order, settings).join(labels, ["sig", "n"], "left")
     rows = rows.select("sig", "n", F.coalesce("label", "sig").alias("label"), F.posexplode("firsts").alias("pos", "key"))
@@ -358,15 +376,33 @@ def _late_pairs(docs: DataFrame, labels: DataFrame, order, settings: Settings) -
     rows = rows.select("*", F.when(hot, F.pmod(F.xxhash64("sig"), settings.salts) + 1).otherwise(0).alias("salt"))
     group = Window.partitionBy("key", "salt")
     rows = rows.select("*", F.min("label").over(group).alias("_low"), F.max("label").over(group).alias("_high"))
-    rows = staged(rows.where((F.col("salt") > 0) | (F.col("_low") != F.col("_high"))).select("key", "salt", "sig", "n", "label", "pos"))
-    several = rows.where("salt > 0").groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high"))
+    rows = staged(rows.where((F.col("salt") > 0) | (F.col("_low") != F.col("_high"))).select("key", "sig", "n", "label", "pos").distinct())
+    sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
+    rows = rows.join(sizes, "label", "left").withColumn("rank", F.struct(F.coalesce("size", F.lit(1)).alias("size"), "label"))
+    left = F.col("n") - F.col("pos")  # keys from this one on: all that is common, if this is the first common key
+    larger = rows.groupBy("key", F.col("rank").alias("rank2")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max(left).alias("left2"))
+    several = larger.groupBy("key").agg(F.min("rank2").alias("_low"), F.max("rank2").alias("_high"))
     several = several.where(F.col("_low") != F.col("_high")).select("key")
-    rows = rows.where("salt = 0").unionByName(rows.where("salt > 0").join(several, "key", "left_semi")).drop("salt")
-    right = rows.select("key", *(F.col(c).alias(f"r_{c}") for c in ("sig", "n", "label", "pos")))
-    after = F.least(F.col("n") - F.col("pos"), F.col("r_n") - F.col("r_pos"))  # if this is their first common key
-    near = (F.col("label") < F.col("r_label")) & (4 * F.col("n") >= 3 * F.col("r_n")) & (4 * F.col("r_n") >= 3 * F.col("n"))
-    joined = rows.join(right, "key").where(near & (7 * after >= 3 * (F.col("n") + F.col("r_n"))))
-    return joined.select(_node().alias("a"), _node("r_").alias("b")).distinct()
+    pairs = rows.join(several, "key", "left_semi").join(larger, "key").where(
+        (F.col("rank") < F.col("rank2"))
+        & (4 * F.col("high") >= 3 * F.col("n"))
+        & (4 * F.col("n") >= 3 * F.col("low"))
+        & (7 * F.least(left, F.col("left2")) >= 3 * (F.col("n") + F.greatest("low", F.ceil(0.75 * F.col("n")))))
+    )
+    pairs = staged(pairs.select("sig", "n", F.col("rank2.label").alias("label"), F.col("rank2.size").alias("size")).distinct())
+    load = pairs.groupBy("label", "size").agg(F.count("*").alias("load")).select(
+        "label", _dealt(F.col("size"), settings.members).alias("blocks"), _dealt(F.col("load"), settings.probes).alias("parts")
+    )
+    each = lambda number, kind: F.explode(F.transform(F.sequence(F.lit(1), F.col(number)), lambda i: (i - 1).cast(kind)))
+    grouped = nodes.join(labels, ["sig", "n"], "left").select(_node().alias("node"), F.coalesce("label", "sig").alias("label"))
+    members = grouped.join(load, "label").select(
+        F.col("label").alias("x"), F.pmod(F.xxhash64("node"), F.col("blocks")).alias("y"), each("parts", "int").alias("z"), F.lit(0).alias("probe"), "node"
+    )
+    probes = pairs.join(nodes.select("sig", "n", "doc"), ["sig", "n"]).join(load, "label").select(
+        F.col("label").alias("x"), F.col("blocks"), F.pmod(F.xxhash64("sig", "n"), F.col("parts")).cast("int").alias("z"), F.lit(1).alias("probe"), _node().alias("node")
+    )
+    probes = probes.select("x", each("blocks", "bigint").alias("y"), "z", "probe", "node")
+    return members.unionByName(probes)
 
 
 def ngram_join(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -374,7 +410,7 @@ def ngram_join(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     Documents link at 100 * overlap >= 75 * union of their sets of distinct shingles.  Equal sets are one node, so that copies
     cost one row each.  Shingles are ordered by frequency, counted over all documents.  First, groups that agree in two minima are
-    checked against their first member and joined; then every pair that shares a key of its prefixes and isn't joined yet is
+    checked against one of their members and joined; then every pair that shares a key of its prefixes and isn't joined yet is
     checked: a pair that links does, so none is lost.  Both check in a prefix tree.
 
     Null or empty texts and those without words have size 0, link with nothing and keep their own ``doc_id``; texts of fewer
@@ -409,22 +445,32 @@ def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return single.unionByName(kept.join(repeated, same, "left_semi").dropDuplicates(["_key"]).select("_row.*"))
 
 
+def _labels(joined: DataFrame) -> DataFrame:
+    """``label``, the root's signature, of all nodes that are joined to others."""
+    label = F.col("root.sig").alias("label")
+    ends = joined.select("node", label).unionByName(joined.select(F.col("root").alias("node"), label).distinct())
+    return ends.select("node.sig", "node.n", "label")
+
+
 def _grouped(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
     """A row a document (``doc_id``, ``row``, ``n``, ``sig``), and of every set its component's ``root`` and ``first`` id."""
     context = docs.sparkSession.sparkContext
     profile = staged(_profile(docs, settings))
     order = context.broadcast(_order(_summed(profile.where("chunk is not null").select("chunk", "counts"), 1 << settings.bits)))
     rows = profile.where("chunk is null").select("doc_id", "row", "n", "sig", "bands")
-    full = rows.where("n > 0")
-    classes = full.groupBy("sig", "n").agg(F.min(F.coalesce("doc_id", F.lit(_NULL_ID))).alias("doc"))
-    nodes = full.groupBy("sig", "n").agg(F.any_value("bands").alias("bands"))
-
-    early = _verified(docs, _early_pairs(nodes), classes, order, settings)
-    joined = components(early)
-    labels = joined.select("node.sig", "node.n", F.col("root.sig").alias("label"))
-    labels = labels.unionByName(joined.select("root.sig", "root.n", F.col("root.sig").alias("label"))).distinct()
-    late = _verified(docs, _late_pairs(docs, labels, order, settings), classes, order, settings)
-    roots = components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(late))
-
-    ids = full.groupBy("sig", "n").agg(F.min("doc_id").alias("first")).join(roots.select("node.sig", "node.n", "root"), ["sig", "n"], "left")
-    return rows.select("doc_id", "row", "n", "sig"), ids.withColumn("root", F.coalesce("root", _node()))
+    nodes = rows.where("n > 0").groupBy("sig", "n")
+    nodes = staged(
+        nodes.agg(
+            F.min(F.coalesce("doc_id", F.lit(_NULL_ID))).alias("doc"),
+            F.min("doc_id").alias("first"),
+            # Equal sets have equal bands, whose minima need no sort as arrays would.
+            *(F.min(F.col("bands")[i]).alias(f"band{i}") for i in range(settings.bands)),
+        )
+    )
+    joined = components(_verified(docs, _early_groups(nodes, settings), False, order, settings))
+    late = _verified(docs, _late_groups(docs, nodes, _labels(joined), order, settings), True, order, settings)
+    if not late.isEmpty():
+        joined = components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(late))
+    roots = joined.select("node.sig", "node.n", "root")
+    ids = nodes.join(roots, ["sig", "n"], "left").select("sig", "n", "first", F.coalesce("root", _node()).alias("root"))
+    return rows.select("doc_id", "row", "n", "sig"), ids

@@ -41,7 +41,7 @@ def expected(ids, texts):
     return sorted(((d, n, least.get(r)) for d, n, r in zip(ids, sizes, roots)), key=repr)
 
 
-@pytest.mark.parametrize("settings", [ngram_join.Settings(), ngram_join.Settings(bits=10, bands=1, hot=4, salts=3, partners=2)])
+@pytest.mark.parametrize("settings", [ngram_join.Settings(), ngram_join.Settings(bits=10, bands=1, hot=4, salts=3, members=2, probes=3)])
 def test_ngram_join_matches_all_pairs(spark, settings):
     texts = near_texts(11 if settings.bands > 1 else 12, 350)
     ids = [3 * i + 1 for i in range(len(texts))]
@@ -78,7 +78,9 @@ def test_prefix_tree_finds_what_plain_overlap_finds():
                 sets.append(universe[mask])
         sets += sets[:3]
         want = [i for i, s in enumerate(sets) if 100 * len(np.intersect1d(s, anchor)) >= 75 * len(np.union1d(s, anchor))]
-        assert sorted(ngram_join.linked(anchor, sets)) == want
+        tree = ngram_join.PrefixTree(sets)
+        assert sorted(tree.linked(anchor)) == want
+        assert len(tree.linked(anchor, first_only=True)) == min(len(want), 1) and set(tree.linked(anchor, first_only=True)) <= set(want)
 
 
 def test_shingle_pieces_change_nothing(monkeypatch):
