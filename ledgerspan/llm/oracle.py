@@ -49,6 +49,32 @@ select doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0):
   coalesce(n_live, 0)::bigint as n_live, coalesce(n_example, 0)::bigint as n_example
 from docs left join one using (doc_id)"""
 
+ORACLE_SQL["op2_mixing"] = """
+with recursive counts as (select coalesce(source, '') as s, count(*) as n from documents group by 1),
+exact as (
+  select s, row_number() over (order by s) - 1 as i, count(*) over () as k,
+    sqrt(n) / sum(sqrt(n)) over () * (1000 - count(*) over ()) as x from counts),
+ordered as (
+  select *, row_number() over (order by floor(x) - x, s) as place, 1000 - sum(1 + floor(x)) over () as spare from exact),
+parts as (select s, i, k, 1 + floor(x)::bigint + (place <= spare)::bigint as p from ordered),
+lists as (select list(p order by i) as ps, max(k) as k from parts),
+edf(t, done, pick) as (
+  select 0::bigint, [0::bigint for x in ps], -1::bigint from lists
+  union all
+  select t + 1, list_transform(done, lambda d, j: d + (j - 1 = q)::bigint), q
+  from (
+    select t, done, list_min(list_transform(done, lambda d, j:
+      case when d < ps[j] and d * 1000 // ps[j] <= t then ((d + 1) * 1000 + ps[j] - 1) // ps[j] * k + j - 1 end)) % k as q
+    from edf, lists where t < 1000)),
+cycle as (select t - 1 as slot, pick, row_number() over (partition by pick order by t) - 1 as turn from edf where t > 0),
+ranked as (
+  select doc_id, coalesce(source, '') as s, row_number() over (partition by coalesce(source, '') order by md5(doc_id::varchar)) - 1 as rk
+  from documents)
+select doc_id, s as source, block, slot, row_number() over (order by slot, rk) - 1 as position
+from (
+  select doc_id, s, rk, rk // 16 as block, rk // 16 // p * 1000 + c.slot as slot
+  from ranked join parts using (s) join cycle c on c.pick = i and c.turn = rk // 16 % p)"""
+
 ORACLE_SQL["op3_embedding_dedup"] = """
 with recursive usable as (
   select row_number() over (order by vec_id) as i, vec_id, label, embedding::double[] as e from embeddings
