@@ -621,12 +621,11 @@ from sums""",
     "stored_upsert": statement(CORRECTED, UPSERTED),
     "stored_schema_sync": statement(
         CORRECTED,
-        """select m.activity_month, count(*) as mart_rows, count(r.user_id) as with_channel, false as has_acquisition_date
-from mart m left join rebuilt r on r.user_id = m.user_id and r.activity_date = m.activity_date
-group by m.activity_month
-union all by name
-select activity_month, count(*) as mart_rows, count(*) as with_channel, false as has_acquisition_date from rebuilt r
-where not exists (select 1 from mart m where m.activity_month = r.activity_month) group by activity_month""",
+        """select activity_month, count(*) as mart_rows, count(*) filter (fresh) as with_channel, false as has_acquisition_date
+from (select m.activity_month, false as fresh from mart m
+      where not exists (select 1 from rebuilt r where r.user_id = m.user_id and r.activity_date = m.activity_date)
+      union all select activity_month, true from rebuilt)
+group by activity_month""",
     ),
     "incremental_refresh": statement(CORRECTED, f"select *, mart_rows::bigint as summary_rows from ({REPLACED})"),
     "scd2_history": statement(VERSIONED, "select * from history"),
