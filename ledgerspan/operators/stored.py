@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -75,11 +76,19 @@ def _write_version(spark: SparkSession, table: str, rows: DataFrame, columns: Se
     return folder, {tuple(r) for r in written.get["partitions"] or []}
 
 
+def _folders(spark: SparkSession, table: str, columns: Sequence[str], partitions: set[Partition]) -> list[str]:
+    """Where the files of the given partitions lie, from one listing of these alone."""
+    if not partitions:
+        return []
+    name = F.concat_ws("/", *[F.col(c).cast("string") for c in columns])
+    files = spark.table(table).where(name.isin(["/".join(p) for p in partitions])).inputFiles()
+    return sorted({unquote(f.rsplit("/", 1)[0]) for f in files})
+
+
 def _switch(spark: SparkSession, table: str, folder: str, columns: Sequence[str], written: set[Partition], emptied: set[Partition]) -> None:
     """Points the written partitions to the folder and drops the emptied ones; then the old files go."""
     existing = _existing(spark, table)
-    known = sorted((written | emptied) & existing)
-    old = [_described(spark, table, _spec(columns, p))["Location"] for p in known]
+    old = _folders(spark, table, columns, (written | emptied) & existing)
     for values in sorted(written):
         path = "/".join([folder, *(f"{c}={v}" for c, v in zip(columns, values))])
         spec = _spec(columns, values)
