@@ -31,7 +31,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in files ordered so that reading them gives every source its weight from the start."""
-    mixed = mixing.mix(docs).select("_row", "_position")
+    mixed = mixing.mix(docs, slots=None).select("_row", "_position")
     return mixed.repartitionByRange("_position").sortWithinPartitions("_position").select("_row.*")
 
 

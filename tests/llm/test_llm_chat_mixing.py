@@ -151,3 +151,42 @@ def test_odd_rows_are_mixed_too(spark):
 def test_slot_parts():
     assert mixing.slot_parts({"a": 1, "b": 1e-9}, 10) == {"a": 9, "b": 1}
     assert sum(mixing.slot_parts({str(i): math.pi**i for i in range(7)}, 1000).values()) == 1000
+
+
+def deviation(rows, weights, block):
+    """The largest distance, in blocks, of any source from its weight while all sources last."""
+    order, left, worst = [r._source for r in rows[::block]], Counter(r._source for r in rows), 0.0
+    total, done = sum(weights.values()), Counter()
+    for t, s in enumerate(order):
+        if any(done[x] * block >= n for x, n in left.items()):
+            break
+        done[s] += 1
+        worst = max(worst, *(abs(done[x] - (t + 1) * w / total) for x, w in weights.items()))
+    return worst, t
+
+
+def test_given_weights_hold_over_many_cycles(spark):
+    weights = {"hot": 0.6} | {f"s{i:02}": 0.4 / 19 for i in range(19)}
+    sizes = {s: round(20_000 * w) + 16 for s, w in weights.items()}
+    docs = spark.createDataFrame([(f"{s}-{i}", s) for s, n in sizes.items() for i in range(n)], "doc_id string, source string")
+    rows = mixed(docs, weights=weights, block=2, slots=100, rows_per_task=500)
+    assert [r._position for r in rows] == list(range(sum(sizes.values()))) and len({r.doc_id for r in rows}) == len(rows)
+    assert [r._slot for r in rows] == sorted(r._slot for r in rows)
+    worst, slots = deviation(rows, weights, 2)
+    assert slots > 90 * 100 and worst < 1
+
+
+def test_unrounded_schedule_stays_within_a_block():
+    for weights in ([0.6] + [0.4 / 19] * 19, [1 / (i + 1) ** 1.7 for i in range(40)], [math.pi**-i for i in range(20)]):
+        total, done = sum(weights), [0] * len(weights)
+        for t, (i, k, slot, _) in zip(range(30_000), mixing.schedule(weights, [10**9] * len(weights), 16)):
+            assert slot == t and k == done[i]
+            done[i] += 1
+            assert all(abs(d - (t + 1) * w / total) < 1 + 1e-6 for d, w in zip(done, weights))
+
+
+def test_weights_of_the_pipeline_are_not_rounded(spark):
+    sizes = {"big": 9000} | {f"s{i:02}": 60 for i in range(19)}
+    docs = spark.createDataFrame([(f"{s}-{i}", s) for s, n in sizes.items() for i in range(n)], "doc_id string, source string")
+    rows = mixed(docs, block=1, slots=None)
+    assert deviation(rows, {s: n**0.5 for s, n in sizes.items()}, 1)[0] < 1 + 1e-6
