@@ -158,7 +158,7 @@ def mix(
 
     Without ``weights`` they are the sources' rows to the power ``TEMPERATURE``, in whole slots of a cycle of ``slots`` (one for each
     source, the rest shared), as the SQL of op2 has them: the deviation is under one block from those, not from the power itself.
-    With ``slots=None`` and with ``weights`` nothing is rounded.
+    With ``slots=None``, with more sources than slots, and with ``weights`` nothing is rounded.
 
     Null sources count as the source "".  Rows with equal or null keys are ordered by a hash of their columns; the place of
     repeated rows among each other is arbitrary, as they are alike.  An empty table gives no rows.  The driver sees one row a source
@@ -166,7 +166,7 @@ def mix(
     """
     ranked, starts = _ranked(docs, F.col(source), F.col(key), rows_per_task)
     counts = {r["_source"]: r["_n"] for r in starts.groupBy("_source").agg(F.sum("_n").alias("_n")).collect()}
-    rounded = weights is None and slots is not None
+    rounded = weights is None and slots is not None and len(counts) <= slots
     if weights is None:
         weights = {s: n**TEMPERATURE for s, n in counts.items()}
     else:

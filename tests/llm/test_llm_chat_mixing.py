@@ -190,3 +190,10 @@ def test_weights_of_the_pipeline_are_not_rounded(spark):
     docs = spark.createDataFrame([(f"{s}-{i}", s) for s, n in sizes.items() for i in range(n)], "doc_id string, source string")
     rows = mixed(docs, block=1, slots=None)
     assert deviation(rows, {s: n**0.5 for s, n in sizes.items()}, 1)[0] < 1 + 1e-6
+
+
+def test_more_sources_than_slots(spark):
+    docs = spark.range(3500).selectExpr("cast(id as string) as doc_id", "concat('site', id % 1201) as source")
+    rows = mixed(docs)
+    assert [r._position for r in rows] == list(range(3500)) and len({r.doc_id for r in rows}) == 3500
+    assert len({r.source for r in rows}) == 1201
