@@ -49,7 +49,7 @@ class Index:
     """Postings by term, in order of example; ``starts``: where a term's postings of a block begin.
 
     ``most`` holds the largest weight of each term in each block: with it a block's best cosine is bounded without reading it.
-    Equal examples are one entry with the share of them that is toxic.
+    Equal examples are one entry with their number and the share of them that is toxic.
     """
 
     examples: np.ndarray
@@ -58,10 +58,19 @@ class Index:
     most: np.ndarray
     toxic: np.ndarray
     doc: np.ndarray
+    count: np.ndarray
     block: int
 
     @classmethod
-    def build(cls, vectors: Sequence[tuple[np.ndarray, np.ndarray]], toxic: Sequence[float], doc: Sequence[int], terms: int, block: int) -> Index:
+    def build(
+        cls,
+        vectors: Sequence[tuple[np.ndarray, np.ndarray]],
+        toxic: Sequence[float],
+        doc: Sequence[int],
+        terms: int,
+        block: int,
+        count: Sequence[int] | None = None,
+    ) -> Index:
         n = len(vectors)
         blocks = -(-n // block)
         sizes = [len(ids) for ids, _ in vectors]
@@ -75,14 +84,14 @@ class Index:
         starts = np.searchsorted(key, (np.arange(terms) * (blocks * block + 1))[:, None] + edges[None, :])
         most = np.zeros((terms, max(blocks, 1)))
         np.maximum.at(most, (term, example // block), weight)
-        return cls(example, weight, starts, most, np.asarray(toxic, float), np.asarray(doc, np.int64), block)
+        return cls(example, weight, starts, most, np.asarray(toxic, float), np.asarray(doc, np.int64), np.asarray([1] * n if count is None else count, np.int64), block)
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` examples with the highest cosines above 0, ties in order of example; exactly as a full scan finds them."""
+        """The entries that hold the ``k`` examples with the highest cosines above 0, ties in order of entry; exactly as a full scan finds them."""
         bound = weights @ self.most[ids]
-        best, score = np.empty(0, np.int64), np.empty(0)
+        best, score, held = np.empty(0, np.int64), np.empty(0), 0
         for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(score) == k and bound[b] < score[-1] - 1e-12):
+            if bound[b] <= 0 or (held >= k and bound[b] < score[-1] - 1e-12):
                 break
             exact = np.zeros(self.block)
             for t, w in zip(ids, weights):
@@ -91,7 +100,9 @@ class Index:
             hits = np.flatnonzero(exact)
             best, score = np.concatenate([best, hits + b * self.block]), np.concatenate([score, exact[hits]])
             kept = np.lexsort((best, -score))[:k]
-            best, score = best[kept], score[kept]
+            sums = np.cumsum(self.count[best[kept]])
+            kept = kept[: np.searchsorted(sums, k) + 1]
+            best, score, held = best[kept], score[kept], sums[len(kept) - 1] if len(kept) else 0
         return best, score
 
 
@@ -268,7 +279,7 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     full = [r for r in rows if r["terms"]]
     none = [r for r in rows if not r["terms"]]
     vectors = [vector(Counter(dict(zip(r["terms"], r["counts"]))), idf) for r in full]
-    index = Index.build(vectors, [r["toxic"] / r["n"] for r in full], [r["doc_id"] for r in full], len(terms), settings.block)
+    index = Index.build(vectors, [r["toxic"] / r["n"] for r in full], [r["doc_id"] for r in full], len(terms), settings.block, [r["n"] for r in full])
     toxic, n = sum(r["toxic"] for r in rows), sum(r["n"] for r in rows)
     rate = (toxic + 0.5) / (n + 1)
     rate_of_none = (sum(r["toxic"] for r in none) + 0.5) / (sum(r["n"] for r in none) + 1) if none else rate
@@ -278,14 +289,17 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
 def vote(model: Model, text: str | None) -> tuple[float, list[int], list[float]]:
     """Score, and as evidence the example documents that voted with their cosines, nearest first.
 
-    Votes weigh by a power of the cosine; the rate of labels among all examples votes with ``settings.prior``.  A text without any term
+    Each of the nearest examples votes, equal ones too; of equal ones one document is named, and where only some of them are among the
+    nearest, they vote with the share of all.  Votes weigh by a power of the cosine; the rate of labels among all examples votes with ``settings.prior``.  A text without any term
     (or null or empty) has no neighbours and scores as the examples without terms do.
     """
     ids, weights = vector(_matcher(model.terms, model.settings.repeats).counts(text or ""), model.idf)
     if not len(ids):
         return model.rate_of_none, [], []
     best, score = model.index.nearest(ids, weights, model.settings.neighbours)
-    prior, votes = model.settings.prior, score**model.settings.power
+    count = model.index.count[best]
+    voters = np.minimum(count, model.settings.neighbours - (np.cumsum(count) - count))
+    prior, votes = model.settings.prior, voters * score**model.settings.power
     value = (votes @ model.index.toxic[best] + prior * model.rate) / (votes.sum() + prior)
     return float(min(max(value, 0.0), 1.0)), model.index.doc[best].tolist(), score.tolist()
 

@@ -87,3 +87,16 @@ def test_learning_from_nothing(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.learn(empty_documents(spark), labels)
     assert not model.terms and {r.predicted for r in toxicity.score(odd_documents(spark), model).collect()} == {0}
+
+
+def test_equal_examples_all_vote():
+    terms = ("alpha ", "beta ", *(f"other{c} " for c in "abcdefg"))
+    clean = (np.array([0, 1]), np.full(2, 2**-0.5))
+    vectors = [*((np.array([0, 1, 2 + i]), np.full(3, 3**-0.5)) for i in range(7)), clean]
+    index = toxicity.Index.build(vectors, [1.0] * 7 + [0.0], list(range(8)), len(terms), 4, [1] * 7 + [300])
+    model = toxicity.Model(terms, np.ones(len(terms)), index, 0.02, 0.0)
+    value, evidence, cosines = toxicity.vote(model, "alpha beta")
+    assert value < 0.01 and evidence == [7] and np.allclose(cosines, 1)
+    few = toxicity.Index.build(vectors, [1.0] * 7 + [0.0], list(range(8)), len(terms), 4, [1] * 7 + [3])
+    best, score = few.nearest(*clean, 8)
+    assert best.tolist() == [7, 0, 1, 2, 3, 4] and np.allclose(score, [1] + [(2 / 3) ** 0.5] * 5)
