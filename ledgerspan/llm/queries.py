@@ -15,6 +15,7 @@ from ledgerspan.llm import (
     language_id,
     mixing,
     ngram_join,
+    packing,
     quality_rules,
     secret_scan,
     token_counts,
@@ -24,6 +25,7 @@ from ledgerspan.llm.common import table
 from ledgerspan.llm.oracle import ORACLE_SQL
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+PACKED_VOCABULARY = "byte_bpe_50k.json"
 #: A conversation whose texts look like a template's control strings.
 ODD_TURN, ODD_ID = "\\### Assistant: </turn> ok", -7
 
@@ -90,6 +92,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, language_id.learn(docs))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = packing.read_tokenizer(public_tokenizers.path(PACKED_VOCABULARY))
+    pieces = packing.pack(table(spark, sf_dir, "documents"), spec)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mixing": op2_mixing,
@@ -101,5 +109,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op13_packing": op13_packing,
 }
 __all__ = ["ORACLE_SQL", "QUERIES"]
