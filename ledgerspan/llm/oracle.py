@@ -167,3 +167,107 @@ ratios as (
     n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed
   from base)
 select *, not base_failed and {_rules()} as kept from ratios"""
+
+ORACLE_SQL["op12_filter_audit"] = f"""
+with docs as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t from documents),
+marks as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+split as (select *, regexp_extract_all(t, '{WORD}') as w, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) as capitals from docs),
+failing as (
+  select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+    [x[1] for x in [['A', (len(w) < 100)::varchar], ['B', (100 * len(list_distinct(w)) < 80 * len(w))::varchar],
+      ['C', (100 * capitals > 10 * length(t))::varchar], ['D', regexp_matches(t, '[#$%&*|]')::varchar],
+      ['E', coalesce(doc_id > min(doc_id) over (partition by t), false)::varchar]] if x[2] = 'true'] as fails
+  from split left join marks using (doc_id)),
+counters as (select part, good, toxic, fails, count(*) as n from failing group by all),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+permuted as (
+  select a.x || b.x || c.x || d.x || e.x as filter_order
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps as (select filter_order, step::integer as step, filter_order[step] as f, string_split(filter_order[1:step - 1], '') as earlier
+  from permuted, range(1, 6) as s(step)),
+cells as (
+  select *, list_contains(fails, f) as here, len(list_intersect(fails, earlier)) > 0 as gone
+  from counters, steps),
+sums as (
+  select part, filter_order, step, f,
+    sum(n) filter (not here and not gone) as kept, sum(n) filter (here and not gone) as removed, sum(n) filter (here and gone) as redundant,
+    sum(n) filter (here and len(fails) = 1) as unique_fails, sum(n) filter (here and not gone and good) as good_lost,
+    sum(n) filter (here and not gone and toxic) as toxic_lost
+  from cells group by all)
+select part, filter_order, step, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed,
+  coalesce(redundant, 0)::bigint as redundant, coalesce(unique_fails, 0)::bigint as unique_fails, coalesce(good_lost, 0)::bigint as good_lost,
+  coalesce(toxic_lost, 0)::bigint as toxic_lost, coalesce(sum(removed) over (partition by part, f), 0)::bigint as shapley
+from sums"""
+
+
+def _plus(value: str, cost: str, edit: str) -> str:
+    """A cost of nine digits and an audit as one string: its order is that of cost, then audit."""
+    return f"(lpad((substr({value}, 1, 9)::bigint + {cost})::varchar, 9, '0') || '{edit}' || substr({value}, 10))"
+
+
+def _insertions(v0: str, vs: str, vu: str, va: str) -> list[str]:
+    return [f"least({v}, {_plus(after, '3', 'I')})" for v, after in ((v0, vu), (vs, vu), (vu, va), (va, vu))]
+
+
+def _consumed(state: int) -> str:
+    after = ["n0", "ns", "nu", "na"]
+    kept = [{"s": "ns", "u": "nu"}, {"u": "nu"}, {"a": "na"}, {"u": "nu"}][state]
+    given = ["nu", "nu", "na", "nu"][state]
+    keeps = " ".join(f"when initial = '{i}' then {_plus(v, 'late', 'K')}" for i, v in kept.items())
+    return f"""least({_plus(after[state], "4", "D")}, case when not gone then {_plus(given, "3 + late", "R")} end,
+      case when gone then null {keeps} end)"""
+
+
+_BYTES = "list_transform(range(1, length(x) + 1), lambda i: ascii(x[i])::bigint)"
+_CRC = f"""xor(4294967295, list_reduce({_BYTES}, lambda c, b: list_reduce(range(8), lambda d, i: xor(d >> 1, 3988292384 * (d & 1)), xor(c, b)), 4294967295))"""
+_OPTIONS = [f"{_consumed(i)} as v{c}" for i, c in enumerate("0sua")]
+_ROUND = ", ".join(f"{e} as {v}" for e, v in zip(_insertions("v0", "vs", "vu", "va"), ("v0", "vs", "vu", "va")))
+
+ORACLE_SQL["op11_conversation_repair"] = f"""
+with recursive source as (
+  select conv_id, turn, coalesce(role, ' ') as r, coalesce(text, ' ') as t, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as x
+  from conversations),
+fates as (select * exclude (x), {_CRC} % 20 as fate from source),
+rows as (
+  select coalesce(conv_id::varchar, ' ') as k, turn, case when fate = 4 then 'user' else r end as r,
+    case fate when 1 then '' when 2 then translate(t, '.!?', '') else t end as t, unnest(range(case when fate = 3 then 2 else 1 end)) as copy
+  from fates where fate <> 0),
+numbered as (select *, row_number() over (partition by k order by turn nulls first, r, sha256(t)) as i from rows),
+seen as (
+  select *, r[1] as initial, regexp_extract(t, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1, 's') as ending,
+    row_number() over (partition by k, r, t order by i) > 1 as again, lag(r[1]) over (partition by k order by i) as former
+  from numbered),
+faults as (
+  select *, ending = '' as blank, ending <> '' and again as duplicate, ending <> '' and not again and ending not in ('.', '!', '?') as truncated,
+    ending = '' or again as gone
+  from seen),
+symbols as (select *, 3 * truncated::bigint as late from faults),
+counts as (
+  select k, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count_if(blank) as blank, count_if(duplicate) as duplicate,
+    count_if(truncated) as truncated, count_if(former is not null and former || initial not in ('su', 'ua', 'au')) as illegal, max(i) as n
+  from symbols group by k),
+dp(k, i, v0, vs, vu, va) as (
+  select k, n, '000000000', '000000006II', '000000003I', '000000000' from counts
+  union all
+  select k, i - 1, {_ROUND} from (select k, i, {_ROUND} from (
+    select k, i, {", ".join(_OPTIONS)}
+    from (select dp.k, dp.i, v0 as n0, vs as ns, vu as nu, va as na, initial, gone, late from dp join symbols s on s.k = dp.k and s.i = dp.i where dp.i > 0)))),
+best as (select k, substr(v0, 1, 9)::bigint as cost, substr(v0, 10) as audit from dp where i = 0),
+edits as (select k, unnest(range(1, length(audit) + 1)) as pos, audit from best),
+placed as (
+  select k, pos, audit[pos] as edit, count_if(audit[pos] <> 'I') over (partition by k order by pos) as i,
+    count_if(audit[pos] <> 'D') over (partition by k order by pos) as e
+  from edits),
+told as (
+  select p.k, pos, edit, e, r, t, bool_or(edit = 'K' and e = 1 and initial = 's') over (partition by p.k)::bigint as opening
+  from placed p left join symbols s on s.k = p.k and s.i = p.i and edit in ('K', 'R')),
+texts as (
+  select k, string_agg(case when edit = 'K' then r when (e - opening) % 2 = 1 then 'user' else 'assistant' end || ':' || coalesce(t, ''), chr(10)
+    order by pos) as repaired
+  from told where edit <> 'D' group by k)
+select conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+  coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(cost, 0)::bigint as cost,
+  coalesce(audit, '') as audit, sha256(coalesce(repaired, '')) as repaired_sha256
+from (select distinct conv_id, coalesce(conv_id::varchar, ' ') as k from conversations)
+left join counts using (k) left join best using (k) left join texts using (k)"""

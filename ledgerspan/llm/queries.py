@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from ledgerspan.llm import (
     bpe,
     chat_format,
+    conversation_repair,
     embedding_dedup,
+    filter_audit,
     language_id,
     mixing,
     ngram_join,
@@ -92,6 +94,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, language_id.learn(docs))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_digest(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(spark, f"{sf_dir}/documents.parquet", f"{sf_dir}/labels.parquet")
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = packing.read_tokenizer(public_tokenizers.path(PACKED_VOCABULARY))
     pieces = packing.pack(table(spark, sf_dir, "documents"), spec)
@@ -109,6 +119,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_filter_audit": op12_filter_audit,
     "op13_packing": op13_packing,
 }
 __all__ = ["ORACLE_SQL", "QUERIES"]
