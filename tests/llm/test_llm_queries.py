@@ -18,7 +18,7 @@ spec.loader.exec_module(compare)
 
 def test_names():
     assert set(ORACLE_SQL) <= set(QUERIES)
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(ORACLE_SQL))
