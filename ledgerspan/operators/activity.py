@@ -76,7 +76,12 @@ def contract_months(customers: DataFrame, as_of=None, start=None, end=None, task
     The daily premium is constant within a month, so everything that depends on the month is computed here,
     about thirty times less often than per day.
     """
-    months = spread(contract_windows(customers, as_of, start, end), tasks).withColumn(
+    return window_months(contract_windows(customers, as_of, start, end), tasks)
+
+
+def window_months(windows: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``contract_months`` of contracts whose windows are known."""
+    months = spread(windows, tasks).withColumn(
         "month_start", F.explode(month_series(F.col("window_start"), F.col("window_end")))
     )
     month = F.col("month_start")
@@ -91,12 +96,12 @@ def contract_months(customers: DataFrame, as_of=None, start=None, end=None, task
     ).drop("window_start", "window_end", "month_start")
 
 
-def expand_days(months: DataFrame) -> DataFrame:
-    """Contract months to mart rows, one per day."""
+def expand_days(months: DataFrame, *more: str) -> DataFrame:
+    """Contract months to mart rows, one per day; ``more`` columns go along."""
     days = months.withColumn("activity_date", F.explode(daily_series(F.col("active_from"), F.col("active_to"))))
     return days.withColumn(
         "days_since_acquisition", days_between(F.col("activity_date"), F.col("acquisition_date"))
-    ).select(*MART_COLUMNS)
+    ).select(*MART_COLUMNS, *more)
 
 
 def customer_activity_daily(

@@ -1,32 +1,36 @@
 """Keyed operators applied to stored, partitioned tables.
 
-Plain Parquet tables have neither DELETE nor MERGE, so a change writes the partitions it touches anew, and no others,
-into a version folder beside the old files.  When all of it is written, the partitions are pointed to the
-new folder, one catalog statement each, and then the old files are deleted.  A job that fails before leaves the
-table as it was.  A driver lost between two statements leaves some partitions new and some old, each whole;
-running the operation again completes it, as every operation here gives the same table when repeated.
-Folders that such a loss leaves behind are found by ``unreferenced_versions``.
+Plain Parquet tables have neither DELETE nor MERGE, so a change writes the partitions it touches anew, and no others.  Its
+result is first written to a table of its own, then a small table that lists such results is created, which is the point of
+commit, and only then Spark's dynamic partition overwrite copies the results into their tables and one statement drops the
+partitions that have no row left.  Spark creates a table when all its files are written, so a job lost before the
+commit leaves every table as it was.  One lost later leaves some partitions new and some old until ``finish`` has copied the
+listed results again, which every operation here does first.  One writer at a time works on a database.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable, Sequence
-from urllib.parse import unquote
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import delete_folder, list_folder, staged
+from ..session import staged
 from ..sources.tables import with_lineage
-from .activity import activity_for_storage, activity_summary, storage_layout
+from .activity import activity_for_storage, storage_layout
 from .history import OPEN_RUN, VALIDITY_COLUMNS, history_run, initial_history, moved_keys, require_later, step_from
 from .keyed import delete_insert, replace_entities, sync_columns
+from .summary import summary_from, totals_of
 
 Partition = tuple[str, ...]
 #: Buckets of a history's open versions; a snapshot rewrites those it changes.
 BUCKETS = 64
+#: Names of results that wait to be copied, and of the table that commits them.
+_RESULT, _COMMIT = "pending_result_", "pending_commit_"
 
 
 def create_activity_mart(customers: DataFrame, table: str, as_of=None, rows_per_file: int = 10_000_000) -> None:
@@ -37,24 +41,27 @@ def create_activity_mart(customers: DataFrame, table: str, as_of=None, rows_per_
 
 
 def create_partitioned(rows: DataFrame, table: str, partition_by: Sequence[str]) -> None:
-    """Stores a partitioned table in a folder of its own below its database, where partitions can be moved."""
-    spark = rows.sparkSession
-    database, _, name = table.rpartition(".")
-    root = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    rows.write.mode("overwrite").format("parquet").partitionBy(*partition_by).option("path", path).saveAsTable(table)
+    """Stores a table partitioned by the given columns."""
+    rows.write.mode("overwrite").format("parquet").partitionBy(*partition_by).saveAsTable(table)
 
 
-def _described(spark: SparkSession, table: str, partition: str = "") -> dict[str, str]:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {partition}").collect()
-    return {r[0]: r[1] for r in reversed(rows)}  # the first of equal names wins: a partition's before its table's
+@dataclass(frozen=True)
+class Change:
+    """Rows that replace the ``touched`` partitions of a table; None stands for all of it."""
 
+    table: str
+    result: DataFrame
+    touched: set[Partition] | None
+    partition_by: tuple[str, ...]
 
-def _spec(columns: Sequence[str], values: Partition) -> str:
-    bad = [v for v in values if not re.fullmatch(r"[\w.-]+", v)]
-    if bad:
-        raise ValueError(f"partition values must be plain words: {bad}")
-    return "PARTITION (" + ", ".join(f"{c} = '{v}'" for c, v in zip(columns, values, strict=True)) + ")"
+
+def _database(spark: SparkSession, table: str) -> str:
+    return table.rpartition(".")[0] or spark.catalog.currentDatabase()
+
+
+def _tables(spark: SparkSession, database: str, prefix: str) -> list[str]:
+    found = spark.sql(f"SHOW TABLES IN {database} LIKE '{prefix}*'").collect()
+    return sorted(f"{database}.{r.tableName}" for r in found)
 
 
 def _existing(spark: SparkSession, table: str) -> set[Partition]:
@@ -67,94 +74,110 @@ def _partitions(rows: DataFrame, column: str) -> set[Partition]:
     return {(str(r[0]),) for r in rows.select(column).distinct().collect()}
 
 
-def _write_version(spark: SparkSession, table: str, rows: DataFrame, columns: Sequence[str]) -> tuple[str, set[Partition]]:
-    """Writes the rows to a new version folder; returns it and the partitions found in them."""
-    folder = f"{_described(spark, table)['Location'].rstrip('/')}/_version-{uuid.uuid4().hex}"
-    written = Observation()
-    found = F.collect_set(F.struct(*[F.col(c).cast("string") for c in columns]))
-    rows.observe(written, found.alias("partitions")).write.partitionBy(*columns).parquet(folder)
-    return folder, {tuple(r) for r in written.get["partitions"] or []}
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Inserts replace the partitions they have rows for."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name, "static")
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _drop_partitions(spark: SparkSession, table: str, columns: Sequence[str], partitions: Iterable[Partition]) -> None:
+    """One statement for all partitions without a row."""
+    specs = []
+    for values in sorted(partitions):
+        bad = [v for v in values if not re.fullmatch(r"[\w.-]+", v)]
+        if bad:
+            raise ValueError(f"partition values must be plain words: {bad}")
+        specs.append("PARTITION (" + ", ".join(f"{c} = '{v}'" for c, v in zip(columns, values, strict=True)) + ")")
+    if specs:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)}")
+
+
+def _copy(spark: SparkSession, table: str, result: str, touched: list[str] | None, columns: list[str]) -> dict[str, list[str]]:
+    """Puts a committed result into its table; doing so again changes nothing."""
+    rows = spark.table(result)
+    written = _existing(spark, result)
+    held = spark.table(table).columns
+    emptied: set[Partition] = set()
+    if touched is None or set(held) - set(rows.columns):
+        rows.write.mode("overwrite").format("parquet").partitionBy(*columns).saveAsTable(table)
+    else:
+        new = [f for f in rows.schema.fields if f.name not in held]
+        if new:
+            # Partitions that aren't rewritten read null for it.
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+        emptied = {tuple(p.split("/")) for p in touched} - written
+        if written:
+            with _dynamic_overwrite(spark):
+                rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        _drop_partitions(spark, table, columns, emptied & _existing(spark, table))
+    spark.catalog.refreshTable(table)
+    text = lambda found: sorted("/".join(p) for p in found)
+    return {"rewritten": text(written), "dropped": text(emptied)}
 
 
-def _folders(spark: SparkSession, table: str, columns: Sequence[str], partitions: set[Partition]) -> list[str]:
-    """Where the files of the given partitions lie, from one listing of these alone."""
-    if not partitions:
-        return []
-    name = F.concat_ws("/", *[F.col(c).cast("string") for c in columns])
-    files = spark.table(table).where(name.isin(["/".join(p) for p in partitions])).inputFiles()
-    return sorted({unquote(f.rsplit("/", 1)[0]) for f in files})
-
-
-def _switch(spark: SparkSession, table: str, folder: str, columns: Sequence[str], written: set[Partition], emptied: set[Partition]) -> None:
-    """Points the written partitions to the folder and drops the emptied ones; then the old files go."""
-    existing = _existing(spark, table)
-    old = _folders(spark, table, columns, (written | emptied) & existing)
-    for values in sorted(written):
-        path = "/".join([folder, *(f"{c}={v}" for c, v in zip(columns, values))])
-        spec = _spec(columns, values)
-        if values in existing:
-            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{path}'")
-        else:
-            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{path}'")
-    for values in sorted(emptied & existing):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_spec(columns, values)}")
-    spark.catalog.refreshTable(table)
-    for path in old:
-        delete_folder(spark, path)
+def _copy_all(spark: SparkSession, commit: str) -> list[dict[str, list[str]]]:
+    listed = spark.table(commit).orderBy("place").collect()
+    done = [_copy(spark, r.table, r.result, r.touched, r.partition_by) for r in listed]
+    # The results may go once the commit is gone; without it they are rests of a lost job.
+    spark.sql(f"DROP TABLE IF EXISTS {commit}")
+    for r in listed:
+        spark.sql(f"DROP TABLE IF EXISTS {r.result}")
+    return done
 
 
-def _sync_layout(spark: SparkSession, table: str, rows: DataFrame, columns: Sequence[str], drop: bool) -> None:
-    """Adds the columns the rows have and the table hasn't; with ``drop`` also removes those it alone has.
+def finish(spark: SparkSession, table: str) -> None:
+    """Copies what a lost job had committed to the table's database, and drops what it hadn't."""
+    database = _database(spark, table)
+    for commit in _tables(spark, database, _COMMIT):
+        _copy_all(spark, commit)
+    for result in _tables(spark, database, _RESULT):
+        spark.sql(f"DROP TABLE IF EXISTS {result}")
 
-    Partitions that aren't rewritten read null for a new column.  The catalog can't remove a column in place: the
-    table is declared anew over the same partitions and takes the old one's name.
-    """
-    held = spark.table(table).columns
-    new = [f for f in rows.schema.fields if f.name not in held]
-    if new:
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
-    gone = [c for c in held if c not in rows.columns]
-    if not (gone and drop):
-        return
-    about = _described(spark, table)
-    if about["Type"] != "EXTERNAL":
-        raise ValueError(f"{table} is managed: only tables in a folder of their own can lose columns ({gone})")
-    fields = [f for f in spark.table(table).schema.fields if f.name not in gone]
-    other = f"{table}_{uuid.uuid4().hex}"
-    listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    spark.sql(f"CREATE TABLE {other} ({listed}) USING parquet PARTITIONED BY ({', '.join(columns)}) LOCATION '{about['Location']}'")
-    for values in sorted(_existing(spark, table)):
-        spec = _spec(columns, values)
-        spark.sql(f"ALTER TABLE {other} ADD IF NOT EXISTS {spec} LOCATION '{_described(spark, table, spec)['Location']}'")
-    old = f"{table}_{uuid.uuid4().hex}"
-    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {other} RENAME TO {table}")
-    spark.sql(f"DROP TABLE {old}")
-
-
-def _rewrite(
-    spark: SparkSession, table: str, result: DataFrame, touched: set[Partition], columns: Sequence[str], drop_columns: bool = True
-) -> dict[str, list[str]]:
-    """Replaces the touched partitions by the rows of ``result``, in its layout."""
-    if not touched:
-        return {"rewritten": [], "dropped": []}
-    folder, written = _write_version(spark, table, result, columns)
-    _sync_layout(spark, table, result, columns, drop_columns)
-    # No row is left for these.
-    emptied = touched - written
-    _switch(spark, table, folder, columns, written, emptied)
-    text = lambda found: sorted("/".join(p) for p in found)
-    return {"rewritten": text(written), "dropped": text(emptied)}
 
+def commit(spark: SparkSession, changes: Sequence[Change]) -> list[dict[str, list[str]]]:
+    """Replaces partitions of one or more tables of a database, all or none of them; returns what was rewritten and dropped.
 
-def unreferenced_versions(spark: SparkSession, table: str) -> list[str]:
-    """Version folders that no partition points to, left by a driver that was lost; safe to delete when no write runs."""
-    about = _described(spark, table)
-    columns = spark.sql(f"SHOW PARTITIONS {table}").collect()
-    names = [part.split("=", 1)[0] for part in columns[0][0].split("/")] if columns else []
-    used = {_described(spark, table, _spec(names, p))["Location"] for p in _existing(spark, table)}
-    versions = [f for f in list_folder(spark, about["Location"]) if "/_version-" in f]
-    return [f for f in versions if not any(f"/{f.rsplit('/', 1)[1]}/" in u for u in used)]
+    A result that has columns its table hasn't adds them.  Columns can't be removed from a stored table: one that has
+    others than the result is replaced whole, so the result must then be all of it.
+    """
+    changes = [c for c in changes if c.touched is None or c.touched]
+    if not changes:
+        return []
+    database, token = _database(spark, changes[0].table), uuid.uuid4().hex
+    listed = []
+    for place, change in enumerate(changes):
+        name = f"{database}.{_RESULT}{token}_{place}"
+        rows = _by_partition(change.result, change.partition_by)
+        rows.write.format("parquet").partitionBy(*change.partition_by).saveAsTable(name)
+        touched = None if change.touched is None else ["/".join(p) for p in sorted(change.touched)]
+        listed.append((place, change.table, name, touched, list(change.partition_by)))
+    schema = "place int, table string, result string, touched array<string>, partition_by array<string>"
+    name = f"{database}.{_COMMIT}{token}"
+    spark.createDataFrame(listed, schema).coalesce(1).write.format("parquet").saveAsTable(name)
+    return _copy_all(spark, name)
+
+
+def _replace(spark: SparkSession, table: str, result: DataFrame, touched: set[Partition], column: str) -> dict[str, list[str]]:
+    """Replaces the touched partitions by ``result``, whose layout the table takes; a lost column makes that a rewrite of all."""
+    held = spark.table(table)
+    whole = bool(touched) and bool(set(held.columns) - set(result.columns))
+    if whole:
+        rest = held.where(~F.col(column).isin(sorted(v for (v,) in touched)))
+        result = result.unionByName(sync_columns(rest, result))
+    done = commit(spark, [Change(table, result, None if whole else touched, (column,))])
+    if not done:
+        return {"rewritten": [], "dropped": []}
+    if not whole:
+        return done[0]
+    touched_names = {v for (v,) in touched}
+    rewritten = [p for p in done[0]["rewritten"] if p in touched_names]
+    return {"rewritten": rewritten, "dropped": sorted(touched_names - set(rewritten))}
 
 
 def _by_partition(rows: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -171,13 +194,12 @@ def upsert_into_table(
     batch's partitions can hold a match.  Batch and distinct keys are written once, so that Spark knows their size: it broadcasts few
     keys, and then the rows kept are not shuffled for the match.
     """
+    finish(spark, table)
     batch = staged(batch)
     touched = _partitions(batch, partition_by)
     target = spark.table(table).where(F.col(partition_by).isin(sorted(v for (v,) in touched)))
     replaced = staged(batch.select(*keys).distinct())
-    return _rewrite(
-        spark, table, _by_partition(delete_insert(target, batch, keys, replaced=replaced), [partition_by]), touched, [partition_by]
-    )
+    return _replace(spark, table, delete_insert(target, batch, keys, replaced=replaced), touched, partition_by)
 
 
 def replace_entities_in_table(
@@ -192,36 +214,38 @@ def replace_entities_in_table(
 
     Which they had is read from the table's own key column, whatever the caller believes.  Rebuilt rows and ids are written once.
     """
+    finish(spark, table)
     ids, rebuilt = staged(changed_ids.select(key).distinct()), staged(rebuilt)
     target = spark.table(table)
     touched = _partitions(target.join(ids, key, "left_semi"), partition_by) | _partitions(rebuilt, partition_by)
     kept = target.where(F.col(partition_by).isin(sorted(v for (v,) in touched)))
-    result = _by_partition(replace_entities(kept, rebuilt, ids, key), [partition_by])
-    return _rewrite(spark, table, result, touched, [partition_by])
+    return _replace(spark, table, replace_entities(kept, rebuilt, ids, key), touched, partition_by)
 
 
 def truncate_entities_in_table(
     spark: SparkSession, table: str, changes: DataFrame, key: str = "user_id", new_end: str = "new_end", partition_by: str = "activity_month"
 ) -> dict[str, list[str]]:
     """``truncate_entities_after`` on a stored table: only partitions that hold a day to remove are rewritten."""
+    finish(spark, table)
     cut = staged(changes.select(F.col(key).alias("_key"), F.col(new_end).alias("_end")))
     target = spark.table(table)
     later = (F.col(key) == F.col("_key")) & (F.col("activity_date") > F.col("_end"))
     touched = _partitions(target.join(cut, later, "left_semi"), partition_by)
     kept = target.where(F.col(partition_by).isin(sorted(v for (v,) in touched))).join(cut, later, "left_anti")
-    return _rewrite(spark, table, _by_partition(kept, [partition_by]), touched, [partition_by])
+    return _replace(spark, table, kept, touched, partition_by)
 
 
 def refresh_activity_summary(spark: SparkSession, mart: str, summary: str, months: Sequence[str] | None = None) -> None:
-    """Builds the summary table, or renews the given months of it after a correction of the mart."""
+    """Builds the summary table, or renews the given months of it from the mart."""
+    finish(spark, summary)
     rows = spark.table(mart)
     if months is not None:
         rows = rows.where(F.col("activity_month").isin(list(months)))
-    daily = activity_summary(rows).withColumn("activity_month", F.date_format("activity_date", "yyyy-MM"))
+    daily = summary_from(totals_of(rows))
     if months is None:
         create_partitioned(_by_partition(daily, ["activity_month"]), summary, ["activity_month"])
     else:
-        _rewrite(spark, summary, _by_partition(daily, ["activity_month"]), {(m,) for m in months}, ["activity_month"])
+        _replace(spark, summary, daily, {(m,) for m in months}, "activity_month")
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
@@ -233,49 +257,62 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"duplicate key {tuple(clash[0][k] for k in keys)} on {keys}")
 
 
+def _bucket_of(key: str, buckets: int):
+    """The number Spark gives the bucket of a key, as a column."""
+    return F.pmod(F.hash(key), buckets).cast("int")
+
+
 def snapshot_table(
     spark: SparkSession, table: str, current: DataFrame, as_of, key: str = "transaction_id", buckets: int = BUCKETS, **options
 ) -> None:
     """Takes one snapshot into a history table.
 
     The table is partitioned by ``snapshot_run``, ``open`` or the run that closed a version, and the open versions also by
-    a hash of their key.  A run compares keys and checked columns, then reads and rewrites the buckets of open versions that
-    change and adds its own partition of closed ones, so its cost follows the changes and not the age of the history.
-    Columns that the source gains are added; those it loses stay and are null in new versions.  A snapshot earlier than
-    the latest one raises.
+    their key's bucket; its files are bucketed by the key alike, so that the compare joins the open versions where they lie
+    and only the source moves.  It reads keys and checked columns.  A run then rewrites the buckets of open versions that change
+    and adds its own partition of closed ones.  Columns that the source gains are added; those it loses stay and are null in new
+    versions.  A snapshot earlier than the latest one raises.  Give about as many ``buckets`` as tasks should compare.
     """
     require_unique(current, [key])
     columns = ["snapshot_run", "key_bucket"]
-    bucket = F.pmod(F.xxhash64(key), buckets).cast("int").alias("key_bucket")
     run, opened = history_run(F.lit(as_of)), F.lit(OPEN_RUN)
     if not spark.catalog.tableExists(table):
-        first = initial_history(current, as_of, key).select("*", opened.alias("snapshot_run"), bucket)
-        create_partitioned(_by_partition(first, columns), table, columns)
+        first = initial_history(current, as_of, key).select("*", opened.alias("snapshot_run"), _bucket_of(key, buckets).alias("key_bucket"))
+        writer = first.repartition(buckets, key).write.format("parquet").partitionBy(*columns).bucketBy(buckets, key).sortBy(key)
+        writer.saveAsTable(table)
         return
+    finish(spark, table)
     history = spark.table(table)
     live = history.where(F.col("snapshot_run") == OPEN_RUN)
     require_later(live, as_of)
+    buckets = buckets_of(spark, table)
     fields = [c for c in history.columns if c not in (*VALIDITY_COLUMNS, *columns)]
     fields += [c for c in current.columns if c not in fields]
     held = {f.name: f.dataType for f in [*history.schema.fields, *current.schema.fields]}
     current = current.select(*[c if c in current.columns else F.lit(None).cast(held[c]).alias(c) for c in fields])
     old = live.select(*[F.col(c) if c in live.columns else F.lit(None).cast(held[c]).alias(c) for c in fields], *VALIDITY_COLUMNS, "key_bucket")
-    moved = staged(moved_keys(old, current, key, **options).select("*", bucket))
+    moved = staged(moved_keys(old, current, key, **options).select("*", _bucket_of(key, buckets).alias("key_bucket")))
     keyless = old.where(F.col(key).isNull()).limit(1).count() + current.where(F.col(key).isNull()).limit(1).count()
     touched = {r[0] for r in moved.select("key_bucket").distinct().collect()}
     if keyless:
-        touched.add(spark.range(1).select(F.pmod(F.xxhash64(F.lit(None).cast(held[key])), buckets)).first()[0])
+        touched.add(spark.range(1).select(F.lit(None).cast(held[key]).alias(key)).select(_bucket_of(key, buckets)).first()[0])
     if not touched:
         return
     some = F.col("key_bucket").isin(sorted(touched))
-    step = step_from(old.where(some).drop("key_bucket"), current.where(F.pmod(F.xxhash64(key), buckets).isin(sorted(touched))), moved, as_of, key, **options)
+    step = step_from(old.where(some).drop("key_bucket"), current.where(_bucket_of(key, buckets).isin(sorted(touched))), moved, as_of, key, **options)
     closed = F.col("valid_to").isNotNull()
     step = step.select(
-        "*", F.when(closed, run).otherwise(opened).alias("snapshot_run"), F.when(closed, 0).otherwise(F.pmod(F.xxhash64(key), buckets)).cast("int").alias("key_bucket")
+        "*", F.when(closed, run).otherwise(opened).alias("snapshot_run"), F.when(closed, 0).otherwise(_bucket_of(key, buckets)).alias("key_bucket")
     )
     step = staged(step)
     # Versions an earlier run of the same moment closed stay in its partition.
     name = spark.range(1).select(run).first()[0]
-    before = history.where((F.col("snapshot_run") == name)).join(step.where(closed).select("version_id"), "version_id", "left_anti")
+    before = history.where(F.col("snapshot_run") == name).join(step.where(closed).select("version_id"), "version_id", "left_anti")
     result = step.unionByName(sync_columns(before, step))
-    _rewrite(spark, table, _by_partition(result, columns), {(OPEN_RUN, str(b)) for b in touched}, columns, drop_columns=False)
+    commit(spark, [Change(table, result, {(OPEN_RUN, str(b)) for b in touched}, tuple(columns))])
+
+
+def buckets_of(spark: SparkSession, table: str) -> int:
+    """How many buckets a table was created with."""
+    about = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    return int(about["Num Buckets"])

