@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import itertools
-import json
-from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,8 +14,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ledgerspan.llm.common import map_arrow, shared_folder, text_or_empty
 
 FILTERS = "ABCDE"
-#: Micro-batches that the files are read in, and megabytes of files for each partition of the state.
-BATCHES, STATE_MB = 4, 64
+#: Micro-batches that the files are read in; megabytes of files for each partition of the state, and for each of its keys.
+BATCHES, STATE_MB, KEY_MB = 4, 64, 2
 #: Rows that a task merges at a time before they are shuffled.
 MERGED = 1 << 16
 #: The bit of the filter on copies, which alone depends on other rows.
@@ -28,9 +26,8 @@ _MERGED = "key binary, who string, mask int, known boolean, id bigint, n_least b
 _DELTA = "who string, mask int, n bigint"
 
 
-def own_failures(text: Column) -> Column:
-    """Bits of the filters A to D that a text fails, from the text alone."""
-    words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
+def own_failures(text: Column, words: Column) -> Column:
+    """Bits of the filters A to D that a text fails, from the text and its words alone."""
     capitals = F.length(text) - F.length(F.regexp_replace(text, "[A-Z]", ""))
     fails = [
         F.size(words) < 100,
@@ -43,13 +40,16 @@ def own_failures(text: Column) -> Column:
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``key`` (hash of the text), ``mask`` of A to D, ``who`` (good and toxic as 0 or 1, then the part), ``known`` and ``id`` of each row."""
-    text = text_or_empty().cast("string")
-    narrow = docs.select(
-        F.unhex(F.sha2(text, 256)).alias("key"),
-        own_failures(text).alias("mask"),
+    texts = docs.select(
+        text_or_empty().cast("string").alias("text"),
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"),
         F.col("doc_id").cast("bigint").alias("id"),
     )
+    # Steps of their own: what is used several times is then computed once.
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "").alias("words")
+    narrow = texts.select("*", words).select(
+        F.unhex(F.sha2("text", 256)).alias("key"), own_failures(F.col("text"), F.col("words")).alias("mask"), "part", "id"
+    )
     marks = labels.groupBy(F.col("doc_id").cast("bigint").alias("id")).agg(
         F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic")
     )
@@ -84,53 +84,56 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield merged(held)
 
 
-def retract(rows: list[tuple], before: tuple[int, dict[str, int]] | None) -> tuple[Counter, tuple[int, dict[str, int]] | None]:
-    """Changes of the counters by ``(who, mask)``, and the text's state after ``rows``.
+_HELD = pa.schema([("key", pa.binary()), ("least", pa.int64()), ("who", pa.string()), ("n", pa.int64())])
+
 
-    The state is the least id seen and how many rows of it each part and label has: those that don't count as copies.
-    All rows arrive as copies; those of the least id are taken back.  Should a smaller id arrive, the earlier ones become copies.
+def retract(rows: pd.DataFrame, held: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """Changes of the counters (``who``, ``mask``, ``n``) by merged ``rows``, and the state after them.
+
+    The state ``held`` has, for each text, the least id seen and how many rows of it each part and label has: those that don't
+    count as copies.  All rows arrive as copies; those of the least id are taken back.  Should a smaller id arrive, the
+    earlier ones become copies.
     """
-    change: Counter = Counter()
-    ids = [row_id for _, _, known, row_id, _, _ in rows if known]
-    least = min([*ids, *([before[0]] if before else [])], default=None)
-    holders: Counter = Counter()
-    if before:
-        if before[0] == least:
-            holders.update(before[1])
-        else:
-            mask = rows[0][1]
-            for who, n in before[1].items():
-                change[who, mask] -= n
-                change[who, mask | _COPY] += n
-    for who, mask, known, row_id, n_least, n in rows:
-        first = n if not known else n_least if row_id == least else 0
-        change[who, mask] += first
-        change[who, mask | _COPY] += n - first
-        if known and first:
-            holders[who] += first
-    return change, None if least is None else (least, dict(holders))
+    known = rows[rows["known"]]
+    arrived = known.groupby("key", sort=False).agg(arrived=("id", "min"), mask=("mask", "first"))
+    held = held.merge(arrived, left_on="key", right_index=True, how="left")
+    gone = held["arrived"] < held["least"]
+    before = held[["key", "least"]].drop_duplicates("key").set_index("key")["least"]
+    least = known["key"].map(arrived["arrived"])
+    least = least.where(~(known["key"].map(before) < least), known["key"].map(before).fillna(0)).astype("int64")
+    first = known[known["id"] == least]
+    late = held[gone]
+    moves = [
+        rows.loc[~rows["known"], ["who", "mask", "n"]],
+        known[["who", "n"]].assign(mask=known["mask"] | _COPY),
+        first[["who", "mask"]].assign(n=first["n_least"]),
+        first[["who"]].assign(mask=first["mask"] | _COPY, n=-first["n_least"]),
+        late[["who", "mask"]].assign(n=-late["n"]),
+        late[["who", "n"]].assign(mask=late["mask"].astype("int64") | _COPY),
+    ]
+    change = pd.concat(moves).astype({"mask": "int64", "n": "int64"}).groupby(["who", "mask"], as_index=False)["n"].sum()
+    now = first[["key", "who"]].assign(least=first["id"], n=first["n_least"])
+    after = pd.concat([held.loc[~gone, ["key", "least", "who", "n"]], now[["key", "least", "who", "n"]]])
+    return change[change["n"] != 0], after.groupby(["key", "least", "who"], as_index=False, sort=False)["n"].sum()
 
 
 def _update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = [row for f in frames for row in zip(*(f[c].tolist() for c in ("who", "mask", "known", "id", "n_least", "n")))]
-    before = None
-    if state.exists:
-        least, holders = state.get
-        before = least, json.loads(holders)
-    change, after = retract(rows, before)
-    if after is not None and after != before:
-        state.update((after[0], json.dumps(after[1])))
-    found = [(who, mask, n) for (who, mask), n in change.items() if n]
-    if found:
-        who, mask, n = zip(*found)
-        yield pd.DataFrame({"who": who, "mask": mask, "n": n})
+    rows = pd.concat(list(frames))
+    held = pa.ipc.open_stream(state.get[0]).read_pandas() if state.exists else _HELD.empty_table().to_pandas()
+    change, after = retract(rows, held)
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, _HELD, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(pa.Table.from_pandas(after, _HELD, preserve_index=False))
+    state.update((out.getvalue().to_pybytes(),))
+    yield change.astype({"mask": "int32"})
 
 
 def stream_changes(spark: SparkSession, documents: str, labels: str, folder: str, batches: int = BATCHES) -> DataFrame:
     """Reads all files of ``documents`` as available-now micro-batches; ``who``, ``mask`` and ``n`` of every change are left in ``folder``.
 
-    Each batch filters its texts, merges equal ones within tasks, and updates the state kept by text hash, from which the changes
-    follow.  State, offsets and the list of whole output files lie in ``folder``: started again with the same one after a loss, the
+    Each batch filters its texts, merges equal ones within tasks, and updates the state of the texts, from which the changes
+    follow.  A call of Python for each text would cost some two milliseconds, so that the state's key is a range of text hashes, as many
+    as the files have megabytes: it holds some hundred or thousand texts at any size of the table.  State, offsets and the list of whole output files lie in ``folder``: started again with the same one after a loss, the
     stream goes on behind the last whole batch and counts nothing twice.  The number of state partitions follows from the size of the files.
     """
     sizes = spark.read.format("binaryFile").load(documents).agg(F.sum("length"), F.count("*")).first()
@@ -148,8 +151,9 @@ def stream_changes(spark: SparkSession, documents: str, labels: str, folder: str
         .parquet(pattern)
     )
     merged = map_arrow(labelled(docs, session.read.parquet(labels)), _merge, _MERGED)
-    changes = merged.groupBy("key").applyInPandasWithState(
-        _update, _DELTA, "least bigint, holders string", "append", GroupStateTimeout.NoTimeout
+    ranges = F.pmod(F.xxhash64("key"), F.lit(max(64, total // (KEY_MB << 20))))
+    changes = merged.withColumn("range", ranges).groupBy("range").applyInPandasWithState(
+        _update, _DELTA, "texts binary", "append", GroupStateTimeout.NoTimeout
     )
     query = (
         changes.writeStream.format("parquet")

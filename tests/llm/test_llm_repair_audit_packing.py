@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 from functools import cache
 
 import duckdb
+import pandas as pd
 import public_tokenizers
 import pytest
 from helpers import WORD, empty_documents, odd_documents
@@ -157,8 +158,8 @@ def plain_audit(docs: list[tuple], labels: list[tuple]) -> dict:
     for doc_id, text, _ in docs:
         if doc_id is not None:
             least[text or ""] = min(least.get(text or "", doc_id), doc_id)
-    good = {i for i, quality, _ in labels if quality == 1}
-    toxic = {i for i, _, mark in labels if mark == 1}
+    good = {i for i, quality, _ in labels if quality == 1 and i is not None}
+    toxic = {i for i, _, mark in labels if mark == 1 and i is not None}
     fails = []
     for doc_id, text, lang in docs:
         text = text or ""
@@ -226,13 +227,20 @@ def test_audit_goes_on_where_it_was_stopped(spark, tmp_path):
     assert audit.filter_audit(spark, f"{tmp_path}/none.parquet", f"{tmp_path}/labels.parquet").count() == 0
 
 
+def retract(rows: list[tuple], held: list[tuple]) -> tuple[dict, list[tuple]]:
+    columns = ["key", "who", "mask", "known", "id", "n_least", "n"]
+    change, after = audit.retract(pd.DataFrame(rows, columns=columns), pd.DataFrame(held, columns=["key", "least", "who", "n"]).astype({"least": "int64", "n": "int64"}))
+    return {(r.who, r.mask): r.n for r in change.itertuples()}, sorted(map(tuple, after[["key", "least", "who", "n"]].values.tolist()))
+
+
 def test_retraction():
-    change, state = audit.retract([("00en", 1, True, 9, 2, 5)], None)
-    assert change == {("00en", 1): 2, ("00en", 17): 3} and state == (9, {"00en": 2})
-    change, state = audit.retract([("10de", 1, True, 4, 1, 1), ("00en", 1, True, 9, 1, 1)], state)
-    assert {k: n for k, n in change.items() if n} == {("00en", 1): -2, ("00en", 17): 3, ("10de", 1): 1} and state == (4, {"10de": 1})
-    change, state = audit.retract([("00en", 1, False, 0, 3, 3)], state)
-    assert {k: n for k, n in change.items() if n} == {("00en", 1): 3} and state == (4, {"10de": 1})
+    change, held = retract([(b"t", "00en", 1, True, 9, 2, 5), (b"u", "00en", 2, True, 2**60 + 1, 1, 1)], [])
+    assert change == {("00en", 1): 2, ("00en", 17): 3, ("00en", 2): 1} and held == [(b"t", 9, "00en", 2), (b"u", 2**60 + 1, "00en", 1)]
+    change, held = retract([(b"t", "10de", 1, True, 4, 1, 1), (b"t", "00en", 1, True, 9, 1, 1)], held)
+    assert change == {("00en", 1): -2, ("00en", 17): 3, ("10de", 1): 1} and held == [(b"t", 4, "10de", 1), (b"u", 2**60 + 1, "00en", 1)]
+    change, held = retract([(b"t", "00en", 1, False, 0, 3, 3), (b"u", "00en", 2, True, 2**60 + 1, 1, 2), (b"t", "10de", 1, True, 4, 1, 1)], held)
+    assert change == {("00en", 1): 3, ("00en", 2): 1, ("00en", 18): 1, ("10de", 1): 1}
+    assert held == [(b"t", 4, "10de", 2), (b"u", 2**60 + 1, "00en", 2)]
 
 
 # ---------------------------------------------------------------------------- packing
@@ -243,10 +251,16 @@ def vocabulary():
     return packing.read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
 
 
-def library_ids(vocabulary: str, text: str | None) -> list[int]:
+@cache
+def library(vocabulary: str) -> Tokenizer:
     tokenizer = Tokenizer.from_str(vocabulary)
     tokenizer.encode_special_tokens = True
-    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+    return tokenizer
+
+
+@cache
+def library_ids(vocabulary: str, text: str | None) -> list[int]:
+    return [*library(vocabulary).encode(text or "", add_special_tokens=False).ids, 0]
 
 
 def padding(size: int, window: int) -> int:
