@@ -143,6 +143,8 @@ def stream_changes(spark: SparkSession, documents: str, labels: str, folder: str
     session.conf.set(
         "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     )
+    # Many stores are small: without this each would reserve some megabytes of disk.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     # A stream reads a lone file only by a pattern; this one matches the path itself, a file or a folder.
     pattern = f"{documents.rstrip('/')[:-1]}[{documents.rstrip('/')[-1]}]"
     docs = (
