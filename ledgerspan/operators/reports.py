@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exact_sum, round_half_away
 from ..schemas import PARTIES, STATUSES
+from ..session import staged
 
 #: Report columns for values outside a fixed list, and for none.
 OTHER, UNKNOWN = "other", "unknown"
@@ -61,11 +63,20 @@ def in_order(df: DataFrame, *columns: str) -> DataFrame:
 def numbered(df: DataFrame, *columns: str, descending: bool = False) -> DataFrame:
     """Rows of a report with their place in presentation order, ties by the remaining columns, so that it can be stored.
 
-    For reports that fit one task: the numbering looks at all rows.
+    Rows are dealt out by ranges of that order and written once; each range is numbered by a task of its own, from the sum of the
+    sizes of the ranges before it.  Only those sizes, one a range, reach the driver.
     """
     order = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c in columns]
-    rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in columns]
-    return df.withColumn("row_number", F.row_number().over(Window.orderBy(*order, *rest)))
+    order += [F.col(c).asc_nulls_last() for c in df.columns if c not in columns]
+    ranged = staged(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    sizes = sorted((r["_range"], r["count"]) for r in ranged.groupBy("_range").count().collect())
+    before = F.lit(0).cast("bigint")
+    if len(sizes) > 1:
+        starts = [0, *itertools.accumulate(n for _, n in sizes)]
+        places = F.map_from_arrays(*(F.array(*(F.lit(v).cast("bigint") for v in values)) for values in ([r for r, _ in sizes], starts[:-1])))
+        before = F.element_at(places, F.col("_range").cast("bigint"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.withColumn("row_number", (before + within).cast("int")).drop("_range")
 
 
 def delta_series(reconciliation: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from ..sources.tables import with_lineage
 from .activity import activity_for_storage, storage_layout
 from .history import OPEN_RUN, VALIDITY_COLUMNS, history_run, initial_history, moved_keys, require_later, step_from
 from .keyed import delete_insert, replace_entities, sync_columns
+from .quality import Check, merged_results, results_by_partition
 from .summary import summary_from, totals_of
 
 Partition = tuple[str, ...]
@@ -316,3 +317,22 @@ def buckets_of(spark: SparkSession, table: str) -> int:
     """How many buckets a table was created with."""
     about = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
     return int(about["Num Buckets"])
+
+
+def check_table(
+    spark: SparkSession, table: str, results: str, checks: Sequence[Check], partitions: Iterable[str] | None = None, partition_by: str = "activity_month"
+) -> DataFrame:
+    """Checks a stored table partition by partition and keeps the results; returns those of the whole table.
+
+    With ``partitions`` only these are read: a correction's rewritten and dropped ones.  What was found in the others stays as it
+    is, and a partition that has gone loses its results.
+    """
+    finish(spark, results)
+    rows = spark.table(table)
+    if partitions is None or not spark.catalog.tableExists(results):
+        create_partitioned(_by_partition(results_by_partition(rows, checks, partition_by), ["part"]), results, ["part"])
+    else:
+        some = sorted(set(partitions))
+        found = results_by_partition(rows.where(F.col(partition_by).isin(some)), checks, partition_by)
+        _replace(spark, results, found, {(p,) for p in some}, "part")
+    return merged_results(spark.table(results), checks, table)

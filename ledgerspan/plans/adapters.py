@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.keyed import apply_contract_changes
 from ..operators.premiums import monthly_premiums
 from ..operators.silver import to_silver
 from ..schemas import PARTIES
@@ -128,6 +129,18 @@ def contract_changes(contracts: DataFrame) -> DataFrame:
     )
 
 
+def contracts_later(contracts: DataFrame, changes: DataFrame) -> DataFrame:
+    """A later state of the contracts: corrected ends, some gone, some repriced, some moved to another group, some new."""
+    key = F.col("user_id").cast("bigint")
+    later = apply_contract_changes(contracts, changes).where(key % 23 != 0).withColumns(
+        {
+            "monthly_premium": F.when(key % 31 == 0, F.col("monthly_premium") + 1).otherwise(F.col("monthly_premium")),
+            "product_group": F.when(key % 37 == 0, "moved").otherwise(F.col("product_group")),
+        }
+    )
+    return later.unionByName(contracts.where(key % 41 == 0).withColumn("user_id", F.concat("user_id", F.lit("n"))))
+
+
 def silver_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver with fixed load times, as the history takes it."""
     at = F.lit("2001-08-01 01:00:00").cast("timestamp_ntz")

@@ -192,6 +192,16 @@ changed as materialized (select * from updated where user_id in (select user_id
 
 REBUILT = mart("changed", "rebuilt")
 
+LATER = """later as (
+  select user_id, acquisition_date, started_at, churned_at,
+         case when cast(user_id as bigint) % 31 = 0 then monthly_premium + 1 else monthly_premium end as monthly_premium,
+         case when cast(user_id as bigint) % 37 = 0 then 'moved' else product_group end as product_group
+  from updated where cast(user_id as bigint) % 23 <> 0
+  union all
+  select user_id || 'n', acquisition_date, started_at, churned_at, monthly_premium, product_group
+  from customers where cast(user_id as bigint) % 41 = 0)"""
+LATER_MART = mart("later", "mart")
+
 HISTORY = """states as (
   select transaction_id, transaction_date, transaction_month, premium_amount, premium_currency, party, status, status_raw,
          _status_normalized, _dq_flags, _is_clean, timestamp '2001-08-01 01:00:00' as _bronze_ingested_at,
@@ -228,6 +238,7 @@ SWEPT = MONTHS + [ACCOUNTING, LENIENT.replace("silver as", "lenient as", 1), SWE
 LOOSE = [RAW, TYPED, LENIENT]
 SPINE = [CUSTOMERS, MART]
 CORRECTED = [CUSTOMERS, CHANGES, REBUILT, MART]
+MOVED = [CUSTOMERS, CHANGES, LATER, LATER_MART]
 VERSIONED = BASE + [HISTORY]
 
 
@@ -238,7 +249,6 @@ def statement(parts: list[str], select: str) -> str:
 # The parameters shared with the queries.
 IN_RANGE = "activity_date between date '1996-01-01' and date '1996-12-31'"
 UNTIL = "activity_date <= date '1998-06-30'"
-IN_SLICE = "activity_date between date '1997-02-01' and date '1997-02-28'"
 
 
 def decimal_sum(column: str, digits: int, scale: int = 6) -> str:
@@ -367,6 +377,9 @@ def _numbered(sql: str, order: str) -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "ingest_csv": statement([RAW], "select *, true as has_provenance from raw"),
+    "landing_ledger": statement(
+        [RAW], "select *, true as has_provenance, case when cast(transaction_id as bigint) % 2 = 0 then 'r1' else 'r2' end as landing_run from raw"
+    ),
     "bronze_rows": statement([RAW], "select *, 'orders.parquet' as _source_file from raw"),
     "silver_transactions": statement(BASE, "select * from silver"),
     "silver_without_party_test": statement(LOOSE, "select transaction_id, _dq_flags, _is_clean from silver"),
@@ -497,7 +510,15 @@ sums as (
         """select *, round(written_round_then_sum - written_sum_then_round, 2) as written_difference,
        round(earned_round_then_sum - earned_sum_then_round, 2) as earned_difference from sums""",
     ),
-    "activity_daily_slice": statement(SPINE, f"select * from mart where {IN_SLICE}"),
+    "activity_daily_rows": statement(
+        SPINE,
+        """select user_id, activity_month, count(*) as mart_rows, md5(string_agg(row, ',' order by row)) as rows_md5
+from (
+  select user_id, activity_month, concat_ws('|', activity_date, acquisition_date, started_at, coalesce(churned_at::varchar, '-'), product_group,
+         cast(round(daily_premium * 1000000) as bigint), cast(round(monthly_premium * 1000000) as bigint), days_since_acquisition) as row
+  from mart)
+group by user_id, activity_month""",
+    ),
     "activity_months": statement(
         SPINE,
         """select activity_month, product_group, count(*) as mart_rows,
@@ -628,6 +649,17 @@ from (select m.activity_month, false as fresh from mart m
 group by activity_month""",
     ),
     "incremental_refresh": statement(CORRECTED, f"select *, mart_rows::bigint as summary_rows from ({REPLACED})"),
+    "entity_changes": statement(
+        [CUSTOMERS, CHANGES, LATER],
+        """select coalesce(c.user_id, l.user_id) as user_id,
+       case when c.user_id is null then 'new' when l.user_id is null then 'gone' else 'changed' end as change
+from customers c full join later l on l.user_id = c.user_id
+where c.user_id is null or l.user_id is null
+   or (c.acquisition_date, c.started_at, c.churned_at, c.monthly_premium, c.product_group)
+      is distinct from (l.acquisition_date, l.started_at, l.churned_at, l.monthly_premium, l.product_group)""",
+    ),
+    "contracts_refresh": statement(MOVED, BY_MONTH.format(source="mart")),
+    "summary_by_differences": statement(MOVED, DAILY_KPI.format(where="")),
     "scd2_history": statement(VERSIONED, "select * from history"),
     "scd2_as_of": statement(
         VERSIONED,
@@ -654,6 +686,25 @@ where status not in ('processed', 'failed') group by status""",
         RECON + SPINE,
         "\nunion all ".join(_check_sql(*c) for c in CHECKS),
     ),
+    "dq_by_month": statement(
+        [
+            CUSTOMERS,
+            CHANGES,
+            MART,
+            """held as (
+  select * from mart m where not exists (select 1 from changes x where x.user_id = m.user_id and m.activity_date > x.new_end)),
+found as (
+  select 'not_null' as check_name, 'activity_date' as column_name, count(*) filter (activity_date is null) as failures from held
+  union all select 'not_null', 'user_id', count(*) filter (user_id is null) from held
+  union all select 'not_null', 'product_group', count(*) filter (product_group is null) from held
+  union all select 'not_null', 'daily_premium', count(*) filter (daily_premium is null) from held
+  union all select 'unique_combination', 'user_id,activity_date', count(*) from (
+    select 1 from held group by user_id, activity_date having count(*) > 1)
+  union all select 'accepted_values', 'product_group', count(distinct product_group) filter (
+    product_group not in ('building', 'machinery', 'household')) from held)""",
+        ],
+        "select 'activity' as table_name, check_name, column_name, 'error' as severity, failures, failures = 0 as passed from found",
+    ),
     "rpt_written_pivot": statement(
         MONTHS, _grid("coalesce(round(sum(written_premium) filter (g = '{p}'), 2), 0.0::double)", "monthly")
     ),

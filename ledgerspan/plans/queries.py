@@ -8,17 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import days_in_month, exact_sum
-from ..operators import activity, diagnostics, history, keyed, kpis, quality, reports, stored
+from ..operators import activity, changes, diagnostics, history, keyed, kpis, quality, reports, stored
 from ..operators import reconciliation as recon
 from ..operators.premiums import amount_days, is_chargeable, monthly_premiums, rounding_order
 from ..operators.silver import to_silver
+from ..operators.ledger import land_files
 from ..session import scratch_database, shared_folder, staged, track_databases
 from ..sources.landing import ingest_transactions
 from ..sources.reference_data import read_accounting_csv
 from ..sources.tables import LAYERS, create_layers, with_lineage, write_table
 from . import adapters as data
 from .adapters import AS_OF
-from .incremental import refresh_activity
+from .incremental import refresh_activity, refresh_activity_from_contracts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,7 +28,6 @@ QUERIES: dict[str, Query] = {}
 RANGE = ("1996-01-01", "1996-12-31")
 UNTIL = "1998-06-30"
 DAY = "1997-03-15"
-SLICE = ("1997-02-01", "1997-02-28")
 ZONE = "America/New_York"
 SNAPSHOTS = ("2001-08-01 00:00:00", "2001-08-02 00:00:00", "2001-08-03 00:00:00")
 
@@ -185,8 +185,14 @@ def rounding_order_query(spark, sf_dir):
 
 
 @query
-def activity_daily_slice(spark, sf_dir):
-    return _mart(spark, sf_dir, *SLICE)
+def activity_daily_rows(spark, sf_dir):
+    """Every row of the whole mart with all its columns, as a hash for each customer's month."""
+    day = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+    micros = lambda c: F.rint(F.col(c) * 1e6).cast("bigint").cast("string")
+    cells = [*map(day, ("activity_date", "acquisition_date", "started_at", "churned_at")), F.col("product_group")]
+    cells += [micros("daily_premium"), micros("monthly_premium"), F.col("days_since_acquisition").cast("string")]
+    rows = _mart(spark, sf_dir).groupBy("user_id", "activity_month").agg(F.array_sort(F.collect_list(F.concat_ws("|", *cells))).alias("rows"))
+    return rows.select("user_id", "activity_month", F.size("rows").cast("bigint").alias("mart_rows"), F.md5(F.concat_ws(",", "rows")).alias("rows_md5"))
 
 
 @query
@@ -461,6 +467,40 @@ def incremental_refresh(spark, sf_dir):
     return _by_month(spark.table(names[0])).join(totals, "activity_month")
 
 
+def _moved(spark, sf_dir):
+    """Two states of the contracts, neither of which tells when a contract changed."""
+    contracts, changes_ = _contracts(spark, sf_dir)
+    return contracts, staged(data.contracts_later(contracts, changes_))
+
+
+@query
+def entity_changes(spark, sf_dir):
+    """Customers that are new, changed or gone, by fingerprints of their contracts."""
+    prints = [changes.entity_fingerprints(state) for state in _moved(spark, sf_dir)]
+    return changes.entity_changes(*prints)
+
+
+def _refreshed(spark, sf_dir):
+    """Mart, summary and contracts stored, then brought up to the later state of the contracts."""
+    database = scratch_database(spark)
+    names = [f"{database}.{t}" for t in ("activity", "activity_summary", "contracts")]
+    for state in _moved(spark, sf_dir):
+        refresh_activity_from_contracts(spark, state, *names, AS_OF)
+    return names
+
+
+@query
+def contracts_refresh(spark, sf_dir):
+    return _by_month(spark.table(_refreshed(spark, sf_dir)[0]))
+
+
+@query
+def summary_by_differences(spark, sf_dir):
+    """Every day of the summary that signed differences were added to."""
+    summary = spark.table(_refreshed(spark, sf_dir)[1])
+    return summary.select("activity_date", "product_group", "active_customers", "daily_premium_total")
+
+
 # --- history -----------------------------------------------------------------------------------
 
 
@@ -557,6 +597,20 @@ def dq_suite(spark, sf_dir):
     return out
 
 
+@query
+def dq_by_month(spark, sf_dir):
+    """The mart's checks kept by month; after a correction only its months are read again."""
+    contracts, changes_ = _contracts(spark, sf_dir)
+    database = scratch_database(spark)
+    mart, results = f"{database}.activity", f"{database}.activity_checks"
+    stored.create_activity_mart(contracts, mart, AS_OF)
+    checks = [*quality.ACTIVITY_CHECKS, quality.accepted_values("product_group", ["building", "machinery", "household"])]
+    stored.check_table(spark, mart, results, checks)
+    done = stored.truncate_entities_in_table(spark, mart, changes_)
+    merged = stored.check_table(spark, mart, results, checks, done["rewritten"] + done["dropped"])
+    return merged.withColumn("table_name", F.lit("activity"))
+
+
 # --- report datasets ---------------------------------------------------------------------------
 
 
@@ -668,6 +722,22 @@ def layer_rows(spark, sf_dir):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+@query
+def landing_ledger(spark, sf_dir):
+    """Raw rows landed from a folder that grows, each file once although the folder is landed three times."""
+    folder, table = shared_folder(spark, "ledger"), f"{scratch_database(spark)}.raw"
+    raw = data.raw_transactions(spark, sf_dir)
+    for turn, run in enumerate(("r1", "r2", "r3")):
+        if turn < 2:
+            half = raw.where(F.col("transaction_id").cast("bigint") % 2 == turn)
+            half.write.mode("append").option("header", True).option("escape", '"').csv(folder)
+        land_files(spark, folder, table, run)
+    landed = spark.table(table)
+    return landed.withColumn("has_provenance", F.col("_source_file").endswith(".csv") & F.col("_ingested_at").isNotNull()).drop(
+        "_source_file", "_ingested_at", "_source_path"
+    )
+
+
 @query
 def accounting_from_csv(spark, sf_dir):
     """The close written as a file and read with its declared types."""

@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import BRONZE_COLUMNS, RAW_COLUMNS
 
 
-def read_transactions_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+def read_transactions_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False, *more: Column) -> DataFrame:
     """Raw rows with every column as text, named by the header, plus where and when they were read.
 
     Nothing is inferred: types are decided in the silver layer, the same way for every file.  All
     files must share one header order (a differing header raises).  A missing path raises
     ``PATH_NOT_FOUND``.  ``multi_line`` allows line breaks inside quoted fields, but such files
-    cannot be split over several tasks.
+    cannot be split over several tasks.  ``more`` columns of a file's metadata go along.
     """
     raw = (
         spark.read.option("header", True)
@@ -31,6 +31,7 @@ def read_transactions_csv(spark: SparkSession, path: str | list[str], multi_line
         *fields,
         F.col("_metadata.file_name").alias("_source_file"),
         F.current_timestamp().alias("_ingested_at"),
+        *more,
     )
 
 

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from conftest import ACCOUNTING
 from pyspark.errors import AnalysisException
@@ -310,3 +312,54 @@ def test_landing_of_dotted_headers(spark, tmp_path):
     (tmp_path / "raw.csv").write_text("transaction_id,partner.ref,a`b\n1,x,\n")
     row = read_transactions_csv(spark, str(tmp_path / "raw.csv")).first()
     assert (row["partner.ref"], row["a`b"]) == ("x", None)
+
+
+def test_numbering_over_ranges(spark):
+    """Places over several ranges, with ties and nulls, equal those of one sort; no exchange gathers all rows in one task."""
+    from ledgerspan.operators.reports import numbered
+
+    values = [None, "a", "a", "b", "c", None, "c", "c"]
+    rows = [(values[i % 8], i % 5 if i % 3 else None, i) for i in range(400)] + [("a", 1, 1)] * 3
+    df = spark.createDataFrame(rows, "k string, v int, id int").repartition(7)
+    for descending in (False, True):
+        got = numbered(df, "k", "v", descending=descending)
+        first = lambda x: (x is None, -x if descending and isinstance(x, int) else x or 0)
+        text = lambda x: (x is None, [-ord(c) for c in x or ""] if descending else x or "")
+        want = sorted(rows, key=lambda r: (text(r[0]), first(r[1]), r[2]))
+        assert [tuple(r) for r in got.orderBy("row_number").select("k", "v", "id").collect()] == want
+        assert sorted(r.row_number for r in got.collect()) == list(range(1, len(rows) + 1))
+        assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+    assert numbered(df.limit(0), "k").count() == 0
+
+
+def test_repeated_days_are_found_in_their_months(spark):
+    from ledgerspan.operators import quality
+
+    days = [(f"u{i % 40}", dt.date(2025, 1 + i % 3, 1 + i % 28)) for i in range(28 * 3 * 40)]
+    rows = sorted(set(days), key=str)
+    odd = [(None, dt.date(2025, 1, 1)), (None, None), ("u1", None), ("x", dt.date(2025, 2, 28)), ("x", dt.date(2025, 3, 28))]
+    check = quality.unique_combination(["user_id", "activity_date"])
+    table = lambda more: spark.createDataFrame(rows + odd + more, "user_id string, activity_date date")
+    assert quality.failing_rows(table([]), check).count() == 0
+    planted = [("u3", rows[200][1]), rows[5], rows[5], (None, None), (None, dt.date(2025, 1, 1)), ("u1", None), ("x", dt.date(2025, 3, 28))]
+    found = {tuple(r) for r in quality.failing_rows(table(planted), check).collect()}
+    want = table(planted).groupBy("user_id", "activity_date").count().where("count > 1")
+    assert found == {tuple(r) for r in want.collect()} and len(found) >= 5
+    (one,) = quality.run_checks(table(planted), [check]).collect()
+    assert one.failures == len(found) and not one.passed
+
+
+def test_only_months_are_shuffled_for_uniqueness(spark):
+    """A customer's month moves as one row, merged within the task that reads it."""
+    from ledgerspan.operators import activity, quality
+
+    contracts = spark.range(50).select(
+        F.col("id").cast("string").alias("user_id"), *(F.lit(dt.date(2024, 1, 1)).alias(c) for c in ("acquisition_date", "started_at")),
+        F.lit(dt.date(2024, 12, 31)).alias("churned_at"), F.lit(30.0).alias("monthly_premium"), F.lit("p").alias("product_group"),
+    )
+    mart = activity.customer_activity_daily(contracts, tasks=3)
+    months = quality._months(mart, ["user_id", "activity_date"])
+    assert months.collect() and mart.count() == 50 * 366
+    plan = months._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bit_or" in plan and months.count() == 50 * 12
+    assert months.where("_rows <> _days").count() == 0
