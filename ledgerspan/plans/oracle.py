@@ -377,6 +377,15 @@ def _numbered(sql: str, order: str) -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "ingest_csv": statement([RAW], "select *, true as has_provenance from raw"),
+    "reference_from_rows": statement(RECON, "select party, month, accounting_premium, finance_premium, reconciliation_status from recon"),
+    "open_windows_today": statement(
+        [CUSTOMERS],
+        """select user_id, coalesce(churned_at, current_date) = current_date as runs_to_today,
+       (coalesce(churned_at, current_date) - started_at + 1)::bigint as days
+from customers where started_at <= coalesce(churned_at, current_date)""",
+    ),
+    "missing_input": """select 'orders' as input, count(*) as rows, '' as error from orders
+union all select 'no_such_orders', null, 'PATH_NOT_FOUND'""",
     "landing_ledger": statement(
         [RAW], "select *, true as has_provenance, case when cast(transaction_id as bigint) % 2 = 0 then 'r1' else 'r2' end as landing_run from raw"
     ),

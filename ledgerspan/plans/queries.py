@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import days_in_month, exact_sum
 from ..operators import activity, changes, diagnostics, history, keyed, kpis, quality, reports, stored
 from ..operators import reconciliation as recon
+from ..operators.ledger import land_files
 from ..operators.premiums import amount_days, is_chargeable, monthly_premiums, rounding_order
 from ..operators.silver import to_silver
-from ..operators.ledger import land_files
 from ..session import scratch_database, shared_folder, staged, track_databases
 from ..sources.landing import ingest_transactions
-from ..sources.reference_data import read_accounting_csv
+from ..sources.reference_data import accounting_from_rows, read_accounting_csv
 from ..sources.tables import LAYERS, create_layers, with_lineage, write_table
 from . import adapters as data
 from .adapters import AS_OF
@@ -722,6 +723,35 @@ def layer_rows(spark, sf_dir):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+@query
+def reference_from_rows(spark, sf_dir):
+    """Close and contracts as program constants (here the rows of the adapters), typed alike: the figures finance would compare."""
+    monthly = staged(data.monthly(spark, sf_dir))
+    close = accounting_from_rows(spark, (tuple(r) for r in data.accounting_from(monthly).toLocalIterator()))
+    return recon.reconcile(close, monthly).select("party", "month", "accounting_premium", "finance_premium", "reconciliation_status")
+
+
+@query
+def open_windows_today(spark, sf_dir):
+    """Open contracts run to the current day where no other is given: days of each contract up to it."""
+    windows = activity.contract_windows(data.customers(spark, sf_dir))
+    days = F.date_diff("window_end", "window_start").cast("bigint") + 1
+    return windows.select("user_id", (F.col("window_end") == F.current_date()).alias("runs_to_today"), days.alias("days"))
+
+
+@query
+def missing_input(spark, sf_dir):
+    """Which of the tables' files can be read: a missing path is an error of the read, at once."""
+    found = []
+    for name in ("orders", "no_such_orders"):
+        try:
+            rows = spark.read.parquet(f"{sf_dir}/{name}.parquet").agg(F.count(F.lit(1)).alias("rows"))
+            found.append(rows.select(F.lit(name).alias("input"), "rows", F.lit("").alias("error")))
+        except AnalysisException as error:
+            found.append(spark.range(1).select(F.lit(name).alias("input"), F.lit(None).cast("bigint").alias("rows"), F.lit(error.getCondition()).alias("error")))
+    return found[0].unionByName(found[1])
+
+
 @query
 def landing_ledger(spark, sf_dir):
     """Raw rows landed from a folder that grows, each file once although the folder is landed three times."""
