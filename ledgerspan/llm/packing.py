@@ -17,6 +17,7 @@ from tokenizers import Tokenizer
 
 from ledgerspan.llm import bpe
 from ledgerspan.llm.common import map_arrow
+from ledgerspan.llm.splitting import CHUNK, RUN
 
 #: Tokens of a sequence, and the id that ends each document.
 WINDOW, END_ID = 1024, 0
@@ -26,12 +27,16 @@ SENTENCE, INSIDE = 4, 16
 BRIMS = 1
 #: Sequences planned together, and how many of them are planned again with what follows.
 HORIZON, AGAIN = 256, 32
+#: More than any cost.
+_FAR = 1 << 62
 #: Bytes of ids sent to Spark at a time.
 _BATCH = 1 << 22
 
 # The pattern that byte-level tokenizers split text by.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: White space that the encoder for ranks takes apart from the rest of its text.
+_RUNS = re.compile(r"\s{%d}" % RUN)
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: The byte behind each character of a byte-level vocabulary: printable ones are themselves, the others follow from 256 on.
 _BYTE_OF = {chr(b): b for b in _PRINTABLE} | {chr(256 + n): b for n, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
@@ -85,11 +90,11 @@ class Encoder:
         self.breaks = np.array(["\n" in token for token in raw])
 
     def ids(self, text: str) -> np.ndarray:
-        if self.by_rank:
-            parts = list(bpe.encode(self.by_rank, text))
-        else:
-            parts = [np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4")]
-        return np.concatenate([*parts, np.empty(0, "<u4")])
+        if not self.by_rank:
+            return np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+        if len(text) <= CHUNK and not _RUNS.search(text):
+            return self.by_rank.encode_to_numpy(text, disallowed_special=())
+        return np.concatenate([*bpe.encode(self.by_rank, text), np.empty(0, "<u4")])
 
     def sentence_ends(self, ids: np.ndarray) -> np.ndarray:
         """Places inside a document where a sentence or line has ended."""
@@ -136,28 +141,29 @@ def sequence_ends(
     cost, back = [0] * len(at), [0] * len(at)
     index = {0: 0}
     powers = [1 << k for k in range(window.bit_length() - 1)]
-    queues: list[deque[int]] = [deque() for _ in range(brims + 1)]
-    entered = [0] * (brims + 1)
+    # For each number of full sequences before: the queue, its first place, how many boundaries have entered, and their span.
+    queues = [([], [0, 0], window * full, inside * full) for full in range(brims + 1)]
     level = [0] * len(at)  # cost plus place
     for j in range(1, len(at)):
         here = at[j]
-        best, best_from = None, 0
-        for full, queue in enumerate(queues):
-            reach = here - window * full
-            i = entered[full]
+        best, best_from = _FAR, 0
+        for queue, ends, span, cuts in queues:
+            head, i = ends
+            reach = here - span
             while i < j and at[i] < reach:
-                while queue and level[queue[-1]] > level[i]:
+                value = level[i]
+                while len(queue) > head and level[queue[-1]] > value:
                     queue.pop()
                 queue.append(i)
                 i += 1
-            entered[full] = i
             reach -= window
-            while queue and at[queue[0]] < reach:
-                queue.popleft()
-            if queue:
-                total = level[queue[0]] - reach + inside * full
-                if best is None or total < best:
-                    best, best_from = total, queue[0]
+            while head < len(queue) and at[queue[head]] < reach:
+                head += 1
+            ends[0], ends[1] = head, i
+            if head < len(queue):
+                total = level[queue[head]] - reach + cuts
+                if total < best:
+                    best, best_from = total, queue[head]
         for power in powers:
             i = index.get(here - power)
             if i is not None and cost[i] < best:
