@@ -23,7 +23,7 @@ _PIECE = 1 << 20
 
 @dataclass(frozen=True)
 class Settings:
-    """``examples``: labelled rows learned from at most (in expectation); ``features``: terms of the vocabulary at most.
+    """``examples``: labelled rows learned from at most (in expectation); they bound the vocabulary and the index.
 
     A term is a whole word or a word's first letters (``stems`` of them), or either found so many times (``repeats``): the cosine
     alone can't tell a lone mention from many.  Terms are taken whose presence goes with the label, by a chi-square of
@@ -32,14 +32,13 @@ class Settings:
     """
 
     examples: int = 20_000
-    features: int = 1024
     stems: tuple[int, ...] = (4, 5, 6)
     repeats: tuple[int, ...] = (2, 4)
     least_chi: float = 20.0
     least_df: int = 3
     neighbours: int = 8
     power: int = 4
-    block: int = 64
+    block: int = 4096
     prior: float = 0.1
     threshold: float = 0.7
 
@@ -190,7 +189,7 @@ def vector(counts: Counter[int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _choose(texts: DataFrame, settings: Settings) -> list[str]:
-    """Terms by their association with the label among the examples, strongest first."""
+    """All terms that go with the label among the examples, strongest first; the bounded examples bound their number."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Counter(), Counter()
@@ -217,7 +216,7 @@ def _choose(texts: DataFrame, settings: Settings) -> list[str]:
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     chi = (pos + neg) * F.pow(a * (neg - b) - b * (pos - a), F.lit(2)) / ((a + b) * (pos + neg - a - b) * pos * neg)
     ranked = often.where((F.col("term") != "") & (a + b < pos + neg)).select("term", chi.alias("chi")).where(F.col("chi") >= settings.least_chi)
-    return [r["term"] for r in ranked.orderBy(F.desc("chi"), "term").limit(settings.features).collect()]
+    return [r["term"] for r in ranked.orderBy(F.desc("chi"), "term").collect()]
 
 
 def _document_frequencies(docs: DataFrame, terms: tuple[str, ...], repeats: tuple[int, ...]) -> tuple[int, np.ndarray]:

@@ -70,6 +70,25 @@ def test_held_out_toxic_documents_are_found(spark):
     assert all(not is_held_out(d) for r in rows for d in r.evidence)
 
 
+def test_many_toxic_words(spark):
+    """No number of words is too many: each of 400 marks some rows, and rows that were held out are found by them."""
+    pick = np.random.default_rng(4)
+    spell = lambda n: "".join(chr(97 + n // 26**k % 26) for k in range(4))
+    common, marks = ["w" + spell(int(n)) for n in pick.choice(26**4, 300, False)], ["z" + spell(37 * n) + "q" for n in range(400)]
+    rows = []
+    for i in range(16_000):
+        words = [common[n] for n in pick.integers(0, 300, 30)]
+        if i % 2:
+            for mark in pick.choice(400, 2, False):
+                words[int(pick.integers(0, 30))] = marks[mark]
+        rows.append((i, " ".join(words), i % 2))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(8)
+    got = toxicity.score(frame, toxicity.learn(frame, frame)).where("held_out").select("doc_id", "predicted").collect()
+    found = Counter((r.doc_id % 2, r.predicted) for r in got)
+    assert found[1, 1] >= 0.9 * (found[1, 0] + found[1, 1])
+    assert found[0, 1] <= 0.01 * (found[0, 0] + found[0, 1])
+
+
 def test_odd_rows(spark):
     toxic = spark.createDataFrame([(100 + i, "you stupid moron you trash" if i % 2 else "a fine day to walk") for i in range(60)], "doc_id long, text string")
     labels = toxic.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic").unionByName(
