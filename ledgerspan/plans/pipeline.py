@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import diagnostics, kpis, quality
 from ..operators.history import snapshot_input
 from ..operators.premiums import monthly_premiums
 from ..operators.reconciliation import reconcile, reconciliation_alerts, status_sweep_detail, status_sweep_totals
 from ..operators.silver import to_silver
-from ..operators.stored import create_activity_mart, refresh_activity_summary, snapshot_table
+from ..operators.stored import check_table, snapshot_table
 from ..schemas import BRONZE_COLUMNS
 from ..sources.landing import read_transactions_csv
 from ..sources.reference_data import read_accounting_csv
 from ..sources.tables import create_layers, with_lineage, write_table
-from .incremental import refresh_activity
+from .incremental import refresh_activity, refresh_activity_from_contracts
 
 
 def run_pipeline(
@@ -33,7 +34,8 @@ def run_pipeline(
 
     Beside the marts these are the status sweep, the root-cause tables, the alerts, and with ``customers`` the activity
     summary and, for ``kpi_range``, the KPIs of those days.  Customers with a column ``updated_at`` are an incremental feed:
-    only those changed since the run before are rebuilt.  Each layer is written once and read back by the next, so the landing files are parsed a single time.
+    only those changed since the run before are rebuilt.  Without it changes are found by comparing contracts with those of the run
+    before.  Each layer is written once and read back by the next, so the landing files are parsed a single time.
     Check results go to ``gold.data_checks``; with ``raise_on_error`` a failed check of severity error stops the
     run after all results are stored.  ``snapshot_at`` also takes a snapshot of silver with that validity time.
     """
@@ -67,11 +69,11 @@ def run_pipeline(
     ]
     if customers is not None:
         mart, summary = name("gold", "customer_activity_daily"), name("gold", "activity_summary")
-        if "updated_at" in customers.columns:
-            refresh_activity(spark, customers, mart, summary, name("gold", "watermarks"), as_of)
-        else:
-            create_activity_mart(customers, mart, as_of)
-            refresh_activity_summary(spark, mart, summary)
+        refresh, known = (
+            (refresh_activity, "watermarks") if "updated_at" in customers.columns else (refresh_activity_from_contracts, "contracts")
+        )
+        later = spark.catalog.tableExists(name("gold", known))
+        done = refresh(spark, customers, mart, summary, name("gold", known), as_of)
         for table in ("customer_activity_daily", "activity_summary"):
             rows[f"gold.{table}"] = spark.table(name("gold", table)).count()
         if kpi_range:
@@ -79,7 +81,10 @@ def run_pipeline(
             store(kpis.active_customers(days, *kpi_range), "gold", "kpi_active_customers")
             store(kpis.premium_collected(days, *kpi_range), "gold", "kpi_premium_collected")
             store(kpis.accumulated_premium(days, kpi_range[1]), "gold", "kpi_accumulated_premium")
-        results.append(quality.run_checks(spark.table(mart), quality.ACTIVITY_CHECKS, "customer_activity_daily"))
+        # Months that stay as they were keep the results of their checks.
+        months = done["rewritten"] + done["dropped"] if later else None
+        checked = check_table(spark, mart, name("gold", "activity_checks"), quality.ACTIVITY_CHECKS, months)
+        results.append(checked.withColumn("table_name", F.lit("customer_activity_daily")))
     if snapshot_at is not None:
         snapshot_table(spark, name("snapshots", "transactions_history"), snapshot_input(silver), snapshot_at)
     checks = results[0]

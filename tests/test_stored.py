@@ -383,6 +383,11 @@ def test_pipeline(spark, landing, customers):
     # The run can be repeated in place.
     again = run_pipeline(spark, str(landing / "raw.csv"), str(landing / "closing.csv"), None, prefix, None, AS_OF, T2)
     assert again["silver.silver_transactions"] == 13
+    # Contracts that have changed in between are found without a time of change.
+    later = contracts_after(customers, spark.createDataFrame([("USR002", dt.date(2025, 2, 28))], "user_id string, new_end date")).where("user_id is not null")
+    third = run_pipeline(spark, str(landing / "raw.csv"), str(landing / "closing.csv"), later, prefix, None, AS_OF)
+    assert third["gold.data_checks"] == 36
+    check_marts(spark, [f"{prefix}gold.customer_activity_daily", f"{prefix}gold.activity_summary"], later, AS_OF)
     assert spark.table(f"{prefix}snapshots.transactions_history").count() == 13
 
 
