@@ -17,7 +17,6 @@ from tokenizers import Tokenizer
 
 from ledgerspan.llm import bpe
 from ledgerspan.llm.common import map_arrow
-from ledgerspan.llm.splitting import CHUNK, RUN
 
 #: Tokens of a sequence, and the id that ends each document.
 WINDOW, END_ID = 1024, 0
@@ -35,8 +34,6 @@ _BATCH = 1 << 22
 # The pattern that byte-level tokenizers split text by.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: White space that the encoder for ranks takes apart from the rest of its text.
-_RUNS = re.compile(r"\s{%d}" % RUN)
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: The byte behind each character of a byte-level vocabulary: printable ones are themselves, the others follow from 256 on.
 _BYTE_OF = {chr(b): b for b in _PRINTABLE} | {chr(256 + n): b for n, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
@@ -92,9 +89,8 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         if not self.by_rank:
             return np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4")
-        if len(text) <= CHUNK and not _RUNS.search(text):
-            return self.by_rank.encode_to_numpy(text, disallowed_special=())
-        return np.concatenate([*bpe.encode(self.by_rank, text), np.empty(0, "<u4")])
+        parts = list(bpe.encode(self.by_rank, text))
+        return parts[0] if len(parts) == 1 else np.concatenate([*parts, np.empty(0, "<u4")])
 
     def sentence_ends(self, ids: np.ndarray) -> np.ndarray:
         """Places inside a document where a sentence or line has ended."""
@@ -139,38 +135,45 @@ def sequence_ends(
     """
     at = [0, *places]
     cost, back = [0] * len(at), [0] * len(at)
-    index = {0: 0}
-    powers = [1 << k for k in range(window.bit_length() - 1)]
-    # For each number of full sequences before: the queue, its first place, how many boundaries have entered, and their span.
-    queues = [([], [0, 0], window * full, inside * full) for full in range(brims + 1)]
     level = [0] * len(at)  # cost plus place
+    place = np.array(at)
+    # Which boundaries lie a power of two before each one: few do, so that they are found for all at once.
+    exact: dict[int, list[int]] = {}
+    for power in (1 << k for k in range(window.bit_length() - 1)):
+        before = np.searchsorted(place, place - power)
+        for j in np.flatnonzero(place[before] == place - power).tolist():
+            exact.setdefault(j, []).append(int(before[j]))
+    # For each number of full sequences before: the queue and its first place, which boundaries may enter, and which still count.
+    queues = []
+    for full in range(brims + 1):
+        enter = np.searchsorted(place, place - window * full).tolist()
+        leave = np.searchsorted(place, place - window * (full + 1)).tolist()
+        queues.append(([], [0, 0], enter, leave, window * (full + 1) + inside * full))
     for j in range(1, len(at)):
         here = at[j]
         best, best_from = _FAR, 0
-        for queue, ends, span, cuts in queues:
+        for queue, ends, enter, leave, extra in queues:
             head, i = ends
-            reach = here - span
-            while i < j and at[i] < reach:
+            until, since = enter[j], leave[j]
+            while i < until:
                 value = level[i]
                 while len(queue) > head and level[queue[-1]] > value:
                     queue.pop()
                 queue.append(i)
                 i += 1
-            reach -= window
-            while head < len(queue) and at[queue[head]] < reach:
+            while head < len(queue) and queue[head] < since:
                 head += 1
             ends[0], ends[1] = head, i
             if head < len(queue):
-                total = level[queue[head]] - reach + cuts
+                total = level[queue[head]] + extra
                 if total < best:
                     best, best_from = total, queue[head]
-        for power in powers:
-            i = index.get(here - power)
-            if i is not None and cost[i] < best:
+        best -= here
+        for i in exact.get(j, ()):
+            if cost[i] < best:
                 best, best_from = cost[i], i
         cost[j], back[j] = best + penalties[j - 1], best_from
         level[j] = cost[j] + here
-        index[here] = j
     split_from = None
     if last and len(at) > 1:
         end = at[-1]

@@ -27,7 +27,7 @@ class Settings:
 
     A term is a whole word or a word's first letters (``stems`` of them), or either found so many times (``repeats``): the cosine
     alone can't tell a lone mention from many.  Terms are taken whose presence goes with the label, by a chi-square of
-    ``least_chi`` or more in ``least_df`` examples or more.  ``neighbours`` vote by the ``power`` of their cosine; ``prior`` is the
+    ``least_chi`` or more in ``least_df`` examples or more, and that are ``least_lift`` times as frequent with one label as with the other.  ``neighbours`` vote by the ``power`` of their cosine; ``prior`` is the
     weight of the rate of labels among them.
     """
 
@@ -35,6 +35,7 @@ class Settings:
     stems: tuple[int, ...] = (4, 5, 6)
     repeats: tuple[int, ...] = (2, 4)
     least_chi: float = 20.0
+    least_lift: float = 3.0
     least_df: int = 3
     neighbours: int = 8
     power: int = 4
@@ -215,7 +216,9 @@ def _choose(texts: DataFrame, settings: Settings) -> list[str]:
     pos, neg = float(totals["a"]), float(totals["b"])
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     chi = (pos + neg) * F.pow(a * (neg - b) - b * (pos - a), F.lit(2)) / ((a + b) * (pos + neg - a - b) * pos * neg)
-    ranked = often.where((F.col("term") != "") & (a + b < pos + neg)).select("term", chi.alias("chi")).where(F.col("chi") >= settings.least_chi)
+    lift = (a + 0.5) / (b + 0.5) * ((neg + 1) / (pos + 1))
+    often = often.where((F.col("term") != "") & (a + b < pos + neg) & (F.greatest(lift, 1 / lift) >= settings.least_lift))
+    ranked = often.select("term", chi.alias("chi")).where(F.col("chi") >= settings.least_chi)
     return [r["term"] for r in ranked.orderBy(F.desc("chi"), "term").collect()]
 
 
