@@ -22,10 +22,12 @@ from ledgerspan.llm.common import map_arrow
 WINDOW, END_ID = 1024, 0
 #: What a cut costs, in tokens of padding: at the end of a sentence, and inside one.
 SENTENCE, INSIDE = 4, 16
+#: Of sentences that end within so many tokens the last end counts: short ones go with the next.
+SPACING = 16
 #: Sequences filled to the brim, across sentences, that may precede a cut at a boundary.
-BRIMS = 1
+BRIMS = 2
 #: Sequences planned together, and how many of them are planned again with what follows.
-HORIZON, AGAIN = 256, 32
+HORIZON, AGAIN = 1024, 16
 #: More than any cost.
 _FAR = 1 << 62
 #: Bytes of ids sent to Spark at a time.
@@ -92,10 +94,12 @@ class Encoder:
         parts = list(bpe.encode(self.by_rank, text))
         return parts[0] if len(parts) == 1 else np.concatenate([*parts, np.empty(0, "<u4")])
 
-    def sentence_ends(self, ids: np.ndarray) -> np.ndarray:
-        """Places inside a document where a sentence or line has ended."""
+    def sentence_ends(self, ids: np.ndarray, spacing: int = SPACING) -> np.ndarray:
+        """Places inside a document where a sentence or line has ended, the last of each ``spacing`` tokens."""
         left, right = ids[:-1], ids[1:]
-        return np.flatnonzero(self.closes[left] & self.opens[right] | self.breaks[left] & ~self.breaks[right]) + 1
+        ends = np.flatnonzero(self.closes[left] & self.opens[right] | self.breaks[left] & ~self.breaks[right]) + 1
+        cells = ends // spacing
+        return ends[np.flatnonzero(np.diff(cells, append=-1))]
 
 
 _ENCODERS: dict[int, Encoder] = {}

@@ -349,6 +349,17 @@ def test_ranks_give_the_ids_of_the_library(vocabulary):
     assert [one.ids for one in found] == [encoder.ids(text).tolist() for text in texts]
 
 
+def test_odd_white_space_gives_the_ids_of_the_library(vocabulary):
+    encoder = packing.Encoder(vocabulary)
+    rng = random.Random(8)
+    pieces = [" ", "  ", "   ", "\n", "\n\n", "\t", "\x1c", "\x85", "\xa0", "\u2003", "word", "Word,", "'s", "'", "12", "3.5", "é", "\U0001f600", "-", "(", "a" * 60]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(12))) for _ in range(6000)]
+    found = encoder.library.encode_batch(texts, add_special_tokens=False)
+    assert [one.ids for one in found] == [encoder.ids(text).tolist() for text in texts]
+    long = " ".join(texts)
+    assert encoder.library.encode(long, add_special_tokens=False).ids == encoder.ids(long).tolist()
+
+
 def test_other_files_go_through_the_library():
     encoder = packing.Encoder(packing.read_tokenizer(public_tokenizers.path("word_bpe_49k.json")))
     assert not encoder.by_rank
@@ -358,5 +369,6 @@ def test_other_files_go_through_the_library():
 def test_sentences_and_documents_are_cut_last(vocabulary):
     encoder = packing.Encoder(vocabulary)
     ids = encoder.ids("One two. Three 3.14 four! Five\nsix")
-    ends = [encoder.library.decode(ids[:end].tolist()) for end in encoder.sentence_ends(ids)]
+    ends = [encoder.library.decode(ids[:end].tolist()) for end in encoder.sentence_ends(ids, 1)]
+    assert encoder.sentence_ends(ids, 100).tolist() == [encoder.sentence_ends(ids, 1)[-1]] and not len(encoder.sentence_ends(ids[:1]))
     assert ends == ["One two.", "One two. Three 3.14 four!", "One two. Three 3.14 four! Five\n"]
