@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections import deque
 from collections.abc import Iterator, Sequence
 
@@ -15,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerspan.llm import bpe
 from ledgerspan.llm.common import map_arrow
+from ledgerspan.llm.splitting import pieces
 
 #: Tokens of a sequence, and the id that ends each document.
 WINDOW, END_ID = 1024, 0
@@ -28,6 +29,8 @@ SPACING = 16
 BRIMS = 2
 #: Sequences planned together, and how many of them are planned again with what follows.
 HORIZON, AGAIN = 1024, 16
+# What a token does at the end of a sentence, as bits: the first two are compared after a shift.
+_CLOSES, _OPENS, _BREAKS = 1, 2, 4
 #: More than any cost.
 _FAR = 1 << 62
 #: Bytes of ids sent to Spark at a time.
@@ -84,22 +87,29 @@ class Encoder:
         self.by_rank = ranks and tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         raw = [self.library.decode([i]) for i in range(self.library.get_vocab_size())]
         #: Tokens after which a sentence ends if the next one opens with white space; line ends always do.
-        self.closes = np.array([bool(re.search(r"[.!?。！？]['\")\]»”’]*$", token)) for token in raw])
-        self.opens = np.array([token[:1].isspace() for token in raw])
-        self.breaks = np.array(["\n" in token for token in raw])
+        kinds = [
+            _CLOSES * bool(re.search(r"[.!?。！？]['\")\]»”’]*$", token)) + _OPENS * token[:1].isspace() + _BREAKS * ("\n" in token)
+            for token in raw
+        ]
+        self.kinds = np.array(kinds, np.uint8)
 
     def ids(self, text: str) -> np.ndarray:
         if not self.by_rank:
             return np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4")
-        parts = list(bpe.encode(self.by_rank, text))
-        return parts[0] if len(parts) == 1 else np.concatenate([*parts, np.empty(0, "<u4")])
+        found = array("I")
+        for piece, single in pieces(text):
+            found.extend(array("I", self.by_rank._encode_single_piece(piece) if single else self.by_rank.encode_ordinary(piece)))
+        return np.frombuffer(found, "<u4")
 
     def sentence_ends(self, ids: np.ndarray, spacing: int = SPACING) -> np.ndarray:
         """Places inside a document where a sentence or line has ended, the last of each ``spacing`` tokens."""
-        left, right = ids[:-1], ids[1:]
-        ends = np.flatnonzero(self.closes[left] & self.opens[right] | self.breaks[left] & ~self.breaks[right]) + 1
+        kinds = self.kinds[ids]
+        left, right = kinds[:-1], kinds[1:]
+        ends = np.flatnonzero((left & _CLOSES & (right >> 1)) | (left & ~right & _BREAKS)) + 1
         cells = ends // spacing
-        return ends[np.flatnonzero(np.diff(cells, append=-1))]
+        last = np.ones(len(ends), bool)
+        last[:-1] = cells[1:] != cells[:-1]
+        return ends[last]
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -152,26 +162,37 @@ def sequence_ends(
     for full in range(brims + 1):
         enter = np.searchsorted(place, place - window * full).tolist()
         leave = np.searchsorted(place, place - window * (full + 1)).tolist()
-        queues.append(([], [0, 0], enter, leave, window * (full + 1) + inside * full))
+        queues.append(([], enter, leave, window * (full + 1) + inside * full))
+    heads, entered = [0] * len(queues), [0] * len(queues)
+    numbered = list(enumerate(queues))
     for j in range(1, len(at)):
         here = at[j]
         best, best_from = _FAR, 0
-        for queue, ends, enter, leave, extra in queues:
-            head, i = ends
-            until, since = enter[j], leave[j]
-            while i < until:
-                value = level[i]
-                while len(queue) > head and level[queue[-1]] > value:
-                    queue.pop()
-                queue.append(i)
-                i += 1
-            while head < len(queue) and queue[head] < since:
+        for number, (queue, enter, leave, extra) in numbered:
+            until = enter[j]
+            i = entered[number]
+            if i < until:
+                head = heads[number]
+                while i < until:
+                    value = level[i]
+                    while len(queue) > head and level[queue[-1]] > value:
+                        queue.pop()
+                    queue.append(i)
+                    i += 1
+                entered[number] = i
+            elif not queue:
+                continue
+            since = leave[j]
+            head = heads[number]
+            size = len(queue)
+            while head < size and queue[head] < since:
                 head += 1
-            ends[0], ends[1] = head, i
-            if head < len(queue):
-                total = level[queue[head]] + extra
+            heads[number] = head
+            if head < size:
+                i = queue[head]
+                total = level[i] + extra
                 if total < best:
-                    best, best_from = total, queue[head]
+                    best, best_from = total, i
         best -= here
         for i in exact.get(j, ()):
             if cost[i] < best:
