@@ -210,3 +210,14 @@ def test_reopened_contract(customers, spark):
     got = keyed.apply_contract_changes(customers, changes)
     assert {r.user_id: r.churned_at for r in got.collect()}["USR005"] is None
     assert {r.user_id: r.churned_at for r in got.collect()}["USR002"] == day("2025-04-30")
+
+
+def test_days_grouped_by_customer_and_month_do_not_move(spark, customers, mart):
+    """Contract months are shuffled by the key; nothing is, once they are expanded to days."""
+    key = ["user_id", "activity_month"]
+    laid_out = activity.customer_activity_daily(customers, AS_OF, by=key)
+    counts = laid_out.groupBy(*key).agg(F.collect_list("activity_date").alias("days"))
+    after_the_days = counts._jdf.queryExecution().executedPlan().toString().split("Generate explode")[0]
+    assert "Exchange" not in after_the_days
+    assert sorted(laid_out.collect()) == sorted(mart.collect())
+    assert sum(len(r.days) for r in counts.collect()) == mart.count()
