@@ -567,3 +567,94 @@ def test_layers(spark):
 def test_silver_is_stateless(make_bronze):
     plan = to_silver(make_bronze([("6/1/2025 9:05:07", "1", "getland", "processed")]))
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_kept_are_written_where_they_are(spark, database, customers, monkeypatch):
+    """A change gathers its new rows by partition; those read from the table neither move nor are sorted."""
+    mart = f"{database}.mart"
+    stored.create_activity_mart(customers, mart, AS_OF)
+    changes_ = spark.createDataFrame([("USR002", dt.date(2025, 2, 28))], "user_id string, new_end date")
+    changed = keyed.apply_contract_changes(customers.where("user_id = 'USR002'"), changes_)
+    rebuilt = activity.customer_activity_daily(changed, AS_OF).withColumn("_loaded_at", F.current_timestamp())
+    new, gathered, real = rebuilt.count(), [], stored._by_partition
+    monkeypatch.setattr(stored, "_by_partition", lambda rows, columns: gathered.append(rows.count()) or real(rows, columns))
+    stored.upsert_into_table(spark, mart, rebuilt, ["user_id", "activity_date"])
+    stored.truncate_entities_in_table(spark, mart, changes_)
+    stored.replace_entities_in_table(spark, mart, rebuilt, changes_)
+    assert gathered == [new, new]
+    want = keyed.retroactive_churn(activity.customer_activity_daily(customers, AS_OF), customers, changes_, AS_OF)
+    assert sorted(spark.table(mart).select(*want.columns).collect()) == sorted(want.collect())
+
+
+def test_copies_go_by_groups_of_partitions(spark, database, customers, monkeypatch):
+    """Old and new files of a few partitions only lie side by side; a lost copy goes on with all of them."""
+    mart = f"{database}.mart"
+    stored.create_activity_mart(customers, mart, AS_OF)
+    changes_ = spark.createDataFrame([("USR001", dt.date(2025, 2, 10)), ("USR004", dt.date(2025, 2, 15))], "user_id string, new_end date")
+    monkeypatch.setattr(stored, "_COPIED_AT_A_TIME", 2)
+    real, groups = stored._in_groups, []
+
+    def in_groups(*args):
+        for i, some in enumerate(real(*args)):
+            if i and not groups:
+                groups.append("lost")
+                lost()
+            groups.append(some.select("activity_month").distinct().count()) if groups else None
+            yield some
+
+    monkeypatch.setattr(stored, "_in_groups", in_groups)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        stored.truncate_entities_in_table(spark, mart, changes_)
+    stored.finish(spark, mart)
+    assert max(groups[1:]) == 2 and len(groups) > 2 and pending(spark, database) == []
+    want = keyed.truncate_entities_after(activity.customer_activity_daily(customers, AS_OF), changes_)
+    assert sorted(spark.table(mart).select(*want.columns).collect()) == sorted(want.collect())
+
+
+def test_packed_keys_match_like_keys(spark):
+    """Days as bits of a month, months as bits of four years: the same rows go, null keys as before."""
+    days = [None, *(dt.date(y, m, d) for y in (1959, 1970, 2024) for m in (1, 2, 12) for d in (1, 28, 31) if (m, d) != (2, 31))]
+    target = spark.createDataFrame([(u, d) for u in ("a", "b", None) for d in days], "user_id string, activity_date date")
+    batch = target.where("user_id is null or day(activity_date) > 27 and month(activity_date) < 12 or activity_date is null")
+    keys = ["user_id", "activity_date"]
+    got = keyed.without_keys(target, keyed.key_months(batch, keys, "activity_date"), keys, "activity_date")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, target.join(batch, keys, "left_anti").collect()))
+    months = [f"{y}-{m:02d}" for y in (1959, 1970, 1999, 2024) for m in range(1, 13)]
+    target = spark.createDataFrame([(u, m) for u in ("a", "b", None) for m in months], "user_id string, activity_month string")
+    pairs = target.where("right(activity_month, 1) in ('1', '4') and coalesce(user_id, 'n') <> 'b' or activity_month = '1970-12'")
+    got = target.join(changes.packed_months(pairs), changes.in_months(), "left_semi")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, pairs.collect()))
+
+
+def test_a_refresh_joins_no_mart_rows_by_shuffle(spark, database, customers, monkeypatch):
+    """Changed months are looked up by broadcast, whatever size Spark takes for small."""
+    from ledgerspan.plans import incremental
+
+    names = [f"{database}.{t}" for t in ("mart", "summary", "contracts")]
+    refresh_activity_from_contracts(spark, customers, *names, AS_OF)
+    later = contracts_after(customers, spark.createDataFrame([("USR002", dt.date(2025, 2, 28))], "user_id string, new_end date"))
+    plans, real = [], incremental.commit
+
+    def commit(spark, listed):
+        plans.append(listed[0].result._jdf.queryExecution().executedPlan().toString())
+        return real(spark, listed)
+
+    monkeypatch.setattr(incremental, "commit", commit)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        refresh_activity_from_contracts(spark, later, *names, AS_OF)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "LeftAnti" in plans[0] and "SortMergeJoin" not in plans[0]
+    check_marts(spark, names, later, AS_OF)
+
+
+def test_sound_rows_are_dropped_before_failures_are_listed(spark, customers):
+    """Null and domain checks filter rows before a list is built of each."""
+    mart = activity.customer_activity_daily(customers, AS_OF)
+    checks = [quality.not_null("user_id"), quality.not_null("daily_premium"), quality.accepted_values("product_group", ["liability"])]
+    for found in (quality.run_checks(mart, checks), quality.results_by_partition(mart, checks, "activity_month")):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        below = plan.split("Generate explode(array_compact")[1]
+        assert " OR " in below.split("Filter")[1].split("Generate")[0]
+    assert [r.failures for r in quality.run_checks(mart, checks).orderBy("check_name", "column_name").collect()] == [2, 0, 0]
