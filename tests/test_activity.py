@@ -221,3 +221,26 @@ def test_days_grouped_by_customer_and_month_do_not_move(spark, customers, mart):
     assert "Exchange" not in after_the_days
     assert sorted(laid_out.collect()) == sorted(mart.collect())
     assert sum(len(r.days) for r in counts.collect()) == mart.count()
+
+
+def test_daily_rows_are_written_out_by_month(spark, tmp_path):
+    """The hash of a customer's month covers every mart row, repeated contracts' rows too; days are counted before texts are built."""
+    import hashlib
+
+    from ledgerspan.plans import adapters, queries
+
+    customers = [(i, group) for i, group in ((3, "A"), (3, "A"), (4, "B"), (5, None), (17, "C"))]
+    spark.createDataFrame(customers, "c_custkey bigint, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    orders = [(c, dt.datetime(1996, m, 27)) for c in (3, 4, 5, 17) for m in (1, 2 + c % 3)] + [(5, None)]
+    spark.createDataFrame(orders, "o_custkey bigint, o_orderdate timestamp_ntz").write.parquet(f"{tmp_path}/orders.parquet")
+    found = queries.QUERIES["activity_daily_rows"](spark, str(tmp_path))
+    want = {}
+    for r in activity.customer_activity_daily(adapters.customers(spark, str(tmp_path)), adapters.AS_OF).collect():
+        cells = [*(str(x or "-") for x in (r.activity_date, r.acquisition_date, r.started_at, r.churned_at)), r.product_group]
+        cells += [str(round(r.daily_premium * 1e6)), str(round(r.monthly_premium * 1e6)), str(r.days_since_acquisition)]
+        want.setdefault((r.user_id, r.activity_month), []).append("|".join(c for c in cells if c is not None))
+    got = {(r.user_id, r.activity_month): (r.mart_rows, r.rows_md5) for r in found.collect()}
+    assert got == {k: (len(v), hashlib.md5(",".join(sorted(v)).encode()).hexdigest()) for k, v in want.items()}
+    assert max(n for n, _ in got.values()) == 62
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "times_31" in plan.split("collect_list", 1)[1]
