@@ -658,3 +658,76 @@ def test_sound_rows_are_dropped_before_failures_are_listed(spark, customers):
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert any("Filter" in line and " OR " in line for line in plan.splitlines())
     assert [r.failures for r in quality.run_checks(mart, checks).orderBy("check_name", "column_name").collect()] == [2, 0, 0]
+
+
+@pytest.mark.parametrize("moment", ["none", "after the commit", "without a name", "before the partitions", "after the names"])
+def test_a_change_of_most_rows_is_written_once(spark, database, customers, monkeypatch, moment):
+    """The result, with the partitions left alone, takes the table's name; a lost job is finished, and later changes go on from it."""
+    mart = f"{database}.mart"
+    stored.create_activity_mart(customers, mart, AS_OF)
+    columns = spark.table(mart).columns
+    changes_ = spark.createDataFrame([("USR001", dt.date(2025, 2, 10)), ("USR004", dt.date(2025, 2, 15))], "user_id string, new_end date")
+    want = keyed.truncate_entities_after(activity.customer_activity_daily(customers, AS_OF), changes_)
+    gone = months_of(spark, mart) - {r[0] for r in want.select("activity_month").distinct().collect()}
+    monkeypatch.setattr(stored, "_RENAMED_FROM", 1)
+    monkeypatch.setattr(stored, "_in_groups", lambda *_: pytest.fail("copied row by row"))
+    starts = {"without a name": "ALTER TABLE", "before the partitions": "MSCK", "after the names": "DROP TABLE IF EXISTS " + database + ".pending_commit"}
+    with monkeypatch.context() as patch:
+        if moment == "after the commit":
+            patch.setattr(stored, "_copy_all", lost)
+        elif moment in starts:
+            real = type(spark).sql
+            patch.setattr(type(spark), "sql", lambda self, text, *a, **k: lost() if text.startswith(starts[moment]) else real(self, text, *a, **k))
+        if moment == "none":
+            done = stored.truncate_entities_in_table(spark, mart, changes_)
+            assert set(done["dropped"]) == gone and not set(done["rewritten"]) & gone
+            assert "2025-01" not in done["rewritten"]
+        else:
+            with pytest.raises(RuntimeError, match="driver lost"):
+                stored.truncate_entities_in_table(spark, mart, changes_)
+    stored.finish(spark, mart)
+    assert pending(spark, database) == [] and spark.table(mart).columns == columns
+    assert sorted(spark.table(mart).select(*want.columns).collect()) == sorted(want.collect())
+    assert months_of(spark, mart) == {r[0] for r in want.select("activity_month").distinct().collect()}
+    monkeypatch.undo()
+    # Rows of a new column, then a small change that is copied.
+    batch = want.where("user_id = 'USR003'").withColumns({"_loaded_at": F.current_timestamp(), "channel": F.lit("web")})
+    stored.upsert_into_table(spark, mart, batch, ["user_id", "activity_date"])
+    held = spark.table(mart)
+    assert held.where("channel = 'web'").count() == batch.count() and sorted(held.select(*want.columns).collect()) == sorted(want.collect())
+
+
+def test_other_tables_are_copied_into(spark, database, customers, monkeypatch):
+    """A table with properties keeps them; only plain ones are replaced by a result."""
+    mart = f"{database}.mart"
+    stored.create_activity_mart(customers, mart, AS_OF)
+    spark.sql(f"ALTER TABLE {mart} SET TBLPROPERTIES ('owner_team' = 'finance')")
+    monkeypatch.setattr(stored, "_RENAMED_FROM", 1)
+    changes_ = spark.createDataFrame([("USR001", dt.date(2025, 2, 10)), ("USR004", dt.date(2025, 2, 15))], "user_id string, new_end date")
+    stored.truncate_entities_in_table(spark, mart, changes_)
+    assert ("owner_team", "finance") in [tuple(r) for r in spark.sql(f"SHOW TBLPROPERTIES {mart}").collect()]
+    want = keyed.truncate_entities_after(activity.customer_activity_daily(customers, AS_OF), changes_)
+    assert sorted(spark.table(mart).select(*want.columns).collect()) == sorted(want.collect())
+
+
+def test_summary_totals_add_longs(spark):
+    """No decimal is added for a mart row; large, negative and missing premiums count exactly as before."""
+    import decimal
+
+    premiums = [0.333333, -0.25, None, 1e6, -7654321.5, 1e12, 2.0, 0.0]
+    rows = [(day("2025-01-01") + dt.timedelta(i % 2), f"p{i % 3}" if i % 5 else None, None if i % 7 == 0 else "u", p, (i % 4) * 700 - 900)
+            for i, p in enumerate(premiums * 9)]
+    mart = spark.createDataFrame(rows, "activity_date date, product_group string, user_id string, daily_premium double, times bigint")
+    for sign in (None, "times"):
+        totals, want = totals_of(mart, sign), {}
+        for at, group, user, premium, times in rows:
+            times = times if sign else 1
+            sums = want.setdefault((at, group), [0, 0, 0, decimal.Decimal(0)])
+            micros = decimal.Decimal(0 if premium is None else round(premium * 1e6))
+            for i, more in enumerate((times, times * (user is not None), times * (premium is not None), micros * times)):
+                sums[i] += more
+        assert {(r[0], r[1]): list(r)[2:] for r in totals.collect()} == want
+        partial = [line for line in totals._jdf.queryExecution().executedPlan().toString().splitlines() if "partial_sum" in line][-1]
+        assert "partial_sum" in partial and "micros" in partial and "decimal" not in partial
+    with pytest.raises(Exception, match="no sum can be kept"):
+        totals_of(mart.withColumn("daily_premium", F.lit(float("nan")))).collect()
