@@ -731,3 +731,16 @@ def test_summary_totals_add_longs(spark):
         assert "partial_sum" in partial and "micros" in partial and "decimal" not in partial
     with pytest.raises(Exception, match="no sum can be kept"):
         totals_of(mart.withColumn("daily_premium", F.lit(float("nan")))).collect()
+
+
+def test_rows_that_fail_alike_are_counted_before_they_are_listed(spark, customers):
+    """Very many failing rows become one list entry for each way to fail."""
+    mart = activity.customer_activity_daily(customers, AS_OF).withColumn("user_id", F.when(F.col("user_id") != "USR005", F.col("user_id")))
+    checks = [quality.not_null("user_id"), quality.accepted_values("user_id", ["USR001"]), quality.accepted_values("product_group", ["legal"])]
+    for found in (quality.run_checks(mart, checks), quality.results_by_partition(mart, checks, "activity_month")):
+        plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        listed = next(i for i, line in enumerate(plan) if "Generate explode(" in line and "sequence" not in line)
+        days = next(i for i, line in enumerate(plan) if i > listed and "Generate explode(" in line)
+        assert any("Aggregate" in line for line in plan[listed + 1 : days])
+    groups = {r.product_group for r in customers.collect()} - {"legal"}
+    assert sorted(r.failures for r in quality.run_checks(mart, checks).collect()) == sorted([81, 3, len(groups)])
